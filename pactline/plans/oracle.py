@@ -171,3 +171,99 @@ ORACLE = {
     "distinct_ids": DISTINCT_IDS,
     "request_fanout": REQUEST_FANOUT,
 }
+
+
+# -- per-operator oracles ---------------------------------------------------------
+
+def _pick_sql(values: list[str], idx: str) -> str:
+    arr = "[" + ", ".join("(" + (" || ".join(f"chr({ord(c)})" for c in v) or "''") + ")" for v in values) + "]"
+    return f"{arr}[({idx}) % {len(values)} + 1]"
+
+
+def _ops_oracles() -> dict[str, str]:
+    from pactline.plans.operator_queries import TRIM_WRAPPERS, TS_OFFSETS
+
+    ts_text = (f"CASE WHEN event_id % 2 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') "
+               f"ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END || {_pick_sql(TS_OFFSETS, 'event_id')}")
+    event_doc = """CASE WHEN event_id % 10 = 0 THEN substr(props, 1, length(props) - 1)
+                        WHEN event_id % 10 = 3 THEN props || props
+                        WHEN event_id % 10 = 7 THEN '[' || props || ']'
+                        WHEN event_id % 20 = 9 THEN 'null'
+                        WHEN event_id % 20 = 19 THEN '5'
+                        ELSE props END"""
+    status = """CASE WHEN NOT json_valid(t) THEN 'invalid_json'
+                     WHEN json_type(t) <> 'OBJECT' THEN 'not_object' ELSE 'ok' END"""
+    orders_b = f"""SELECT 'orders/' || cast(o_orderkey AS {S}) || '.json' AS source_path, o_orderkey, o_custkey,
+                          CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+                          o_orderdate,
+                          CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority
+                   FROM orders"""
+    eav = [("o_orderkey", "integer", 1, f"cast(o_orderkey AS {S})"),
+           ("o_custkey", "integer", 2, f"cast(o_custkey AS {S})"),
+           ("o_orderstatus", "string", 3, "o_orderstatus"),
+           ("o_orderdate", "timestamp", 4, _iso("o_orderdate")),
+           ("o_orderpriority", "string", 5, "o_orderpriority")]
+    row_key = "sha256('BDO' || '#' || interaccion_id || '#' || 'transcripciones')"
+    return {
+        "rename_default_cast": f"""WITH landing AS ({LANDING})
+            SELECT source_path, client_name AS consumidor_nombre, client_last_name AS consumidor_apellido,
+                   interaction_result AS interaccion_resultado, cast(turns AS bigint) AS interaccion_turnos,
+                   {_utc('started_at')} AS interaccion_fecha_inicio, 'BDO' AS cliente_prefijo,
+                   'temporal_id' AS caso_uso_id, 'VOICEBOT' AS canal FROM landing""",
+        "ts_to_utc": f"""SELECT event_id, ts_text, ts_utc, {_iso('ts_utc')} AS ts_iso FROM (
+            SELECT event_id, ts_text,
+                   CASE WHEN ts_text LIKE '%Z' OR ts_text LIKE '%+__:__' OR ts_text LIKE '%-__:__'
+                        THEN {_utc('ts_text')} ELSE cast(ts_text AS timestamp) END AS ts_utc
+            FROM (SELECT event_id, {ts_text} AS ts_text FROM events))""",
+        "trim_unicode": f"""SELECT conv_id, turn,
+                   trim({_pick_sql(TRIM_WRAPPERS, 'conv_id + turn')} || text || {_pick_sql(TRIM_WRAPPERS, 'turn')}, {WS}) AS trimmed
+            FROM conversations""",
+        "upper_full": "SELECT conv_id, turn, replace(upper(text), 'ẞ', 'SS') AS upper_text FROM conversations",
+        "remove_accents": "SELECT doc_id, strip_accents(text) AS plain_text FROM documents",
+        "remove_accents_exact": "SELECT doc_id, strip_accents(text) AS plain_text FROM documents",
+        "clean_in_order": f"SELECT conv_id, turn, {_clean('text', True)} AS cleaned FROM conversations",
+        "json_serialize": f"WITH landing AS ({LANDING}) SELECT source_path, messages AS mensajes FROM landing",
+        "tolerant_json": f"""SELECT event_id, {status} AS status,
+                   CASE WHEN {status} = 'ok' THEN json_extract(t, '$.k')::varchar END AS k
+            FROM (SELECT event_id, {event_doc} AS t FROM events)""",
+        "skipped_report": f"""SELECT reason, count(*) AS files FROM (
+                SELECT {status} AS reason FROM (SELECT {event_doc} AS t FROM events)) WHERE reason <> 'ok'
+            GROUP BY reason""",
+        "dedup_multi_order": """SELECT o_orderkey, o_custkey, o_orderpriority, o_orderdate FROM (
+              SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority ASC NULLS LAST,
+                                           o_orderdate DESC NULLS FIRST, o_orderkey ASC) AS rn
+              FROM (SELECT o_orderkey, o_custkey,
+                           CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+                           CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate
+                    FROM orders)) WHERE rn = 1""",
+        "hash_concat": f"""SELECT o_orderkey, sha256(concat_ws('#', cast(o_orderkey AS {S}), coalesce(o_orderstatus, ''),
+                   coalesce({_iso('o_orderdate')}, ''), '')) AS row_hash FROM ({orders_b})""",
+        "hash_chain": WITH + f"""
+            SELECT source_path, 'BDO' AS tenant_id, {row_key} AS row_key,
+                   sha256(concat_ws('|', {row_key}, coalesce({_iso('interaccion_fecha_fin')}, ''),
+                                    cast(interaccion_turnos AS {S}))) AS chain_hash
+            FROM deduped""",
+        "field_mapping": WITH + f"""
+            SELECT source_path, coalesce(interaccion_resultado, consumidor_nombre) AS fm_result,
+                   'transcripciones' AS fm_bracket, cast(NULL AS {S}) AS fm_missing,
+                   coalesce({_iso('interaccion_fecha_fin')}, '{NOW.isoformat()}') AS fm_time,
+                   cast(interaccion_turnos AS {S}) AS fm_turns
+            FROM deduped""",
+        "surrogate_unique": WITH + f"""
+            SELECT source_path, sha256(concat_ws(chr(31), '{RUN_ID}', 'registro_id', source_path)) AS registro_id,
+                   '{RUN_ID}' AS ejecucion_id FROM deduped""",
+        "file_name": """SELECT page_id, string_split(url, '/')[-1] AS url_base,
+                               string_split(url, '/')[-1] AS base_nombre FROM pages""",
+        "landing_date": WITH + f"""
+            SELECT source_path, TIMESTAMP '{_NOW_TS}' AS cargue_fecha, '{_NOW_DATE}' AS cargue_fecha_id,
+                   TIMESTAMP '{_NOW_TS}' AS archivo_fecha, '{_NOW_DATE}' AS archivo_fecha_id FROM deduped""",
+        "eav_unpivot": " UNION ALL ".join(
+            f"""SELECT '{RUN_ID}' AS ejecucion_id,
+                       sha256(concat_ws(chr(31), '{RUN_ID}', 'registro_id', source_path)) AS registro_id,
+                       sha256('TPC#ORD') AS base_id, '{n}' AS atributo_nombre, '{t}' AS atributo_tipo,
+                       cast({p} AS bigint) AS atributo_posicion, cast({e} AS {S}) AS atributo_valor
+                FROM ({orders_b})""" for n, t, p, e in eav),
+    }
+
+
+ORACLE.update(_ops_oracles())

@@ -73,3 +73,9 @@ QUERIES = {
     "distinct_ids": distinct_ids,
     "request_fanout": request_fanout,
 }
+
+
+def all_queries() -> dict:
+    from pactline.plans.operator_queries import QUERIES as OPS
+
+    return {**QUERIES, **OPS}

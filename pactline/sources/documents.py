@@ -55,20 +55,22 @@ def parse_text(text: Column, fields: list[str]) -> tuple[Column, Column]:
     status = (
         F.when(~F.is_valid_utf8(text), F.lit(INVALID_UTF8))
         .when(good, F.lit(OK))
-        .when((F.size(as_text) == 1) & ~F.ltrim(as_text.getItem(0)).startswith("{"), F.lit(NOT_OBJECT))
+        .when((F.size(as_text) == 1) & ~F.coalesce(F.ltrim(as_text.getItem(0)).startswith("{"), F.lit(False)),
+              F.lit(NOT_OBJECT))
         .otherwise(F.lit(INVALID_JSON))
     )
     record = F.when(status == F.lit(OK), parsed.getItem(0))
     return status, record
 
 
-def parse_documents(docs: DataFrame, fields: list[str], text_col: str = "text") -> DataFrame:
-    """``docs(source_path, <text_col>)`` -> ``(source_path, status, rec)``.
+def parse_documents(docs: DataFrame, fields: list[str], text_col: str = "text",
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """``docs(source_path, <text_col>)`` -> ``(*keep, source_path, status, rec)``.
 
     Narrow: one projection, no shuffle; runs inside the scan's stage.
     """
     status, record = parse_text(F.col(text_col), fields)
-    return docs.select("source_path", status.alias("status"), record.alias("rec"))
+    return docs.select(*keep, "source_path", status.alias("status"), record.alias("rec"))
 
 
 def parse_binary_documents(files: DataFrame, fields: list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote, urlsplit
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,13 @@ def scan_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def hadoop_path_text(uri: str) -> str:
+    """Percent-encoded URI (``inputFiles``) -> the form a scan's ``path`` column has."""
+    parts = urlsplit(uri)
+    authority = f"//{parts.netloc}" if parts.netloc else ""
+    return f"{parts.scheme}:{authority}{unquote(parts.path)}"
+
+
 def find_empty_files(spark: SparkSession, files: DataFrame) -> DataFrame:
     """Listed files that no scan split reads (zero-length documents).
 
@@ -36,19 +45,23 @@ def find_empty_files(spark: SparkSession, files: DataFrame) -> DataFrame:
     path; only that path list (not data) is compared, by a left-anti join
     against the paths the scan actually produced.
     """
-    listed = files.inputFiles()
-    if not listed:
+    listed = [hadoop_path_text(p) for p in files.inputFiles()]
+    if not listed or len(listed) == files.select("path").count():
         return spark.createDataFrame([], "source_path string, status string")
     listed_df = spark.createDataFrame([(p,) for p in listed], "source_path string")
     seen = files.select(F.col("path").alias("source_path"))
     return listed_df.join(seen, "source_path", "left_anti").select("source_path", F.lit(EMPTY).alias("status"))
 
 
-def read_landing(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
-    """``(source_path, status, rec)`` for every landed document, empty files included."""
-    files = scan_files(spark, path)
-    parsed = parse_binary_documents(files, fields)
+def with_empty_files(spark: SparkSession, files: DataFrame, parsed: DataFrame) -> DataFrame:
+    """Add the zero-length documents of ``files`` to ``parsed`` as status ``empty``."""
     empties = find_empty_files(spark, files).select(
         "source_path", "status", F.lit(None).cast(parsed.schema["rec"].dataType).alias("rec")
     )
     return parsed.unionByName(empties)
+
+
+def read_landing(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
+    """``(source_path, status, rec)`` for every landed document, empty files included."""
+    files = scan_files(spark, path)
+    return with_empty_files(spark, files, parse_binary_documents(files, fields))
