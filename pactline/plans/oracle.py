@@ -267,3 +267,34 @@ def _ops_oracles() -> dict[str, str]:
 
 
 ORACLE.update(_ops_oracles())
+
+
+def _io_oracles() -> dict[str, str]:
+    from pactline.plans.io_queries import FILE_DEPENDENT
+
+    date = f"'{NOW:%Y}' AS year, '{NOW:%m}' AS month, '{NOW:%d}' AS day"
+    core_cols = [c for c in ("consumidor_tipo_id consumidor_id consumidor_nombre consumidor_apellido "
+                             "consumidor_tipo_persona conversacion_id interaccion_id interaccion_fecha_inicio "
+                             "interaccion_fecha_fin interaccion_turnos interaccion_resultado tenant_id mensajes "
+                             "cliente_prefijo operacion_prefijo caso_uso_id canal origen canal_id gestion_tipo "
+                             "canal_proveedor gestion_canal base_fecha_id ejecucion_id registro_id registro_hash "
+                             "operacion_segmento operacion_proceso base_grupo base_proceso base_nombre base_id "
+                             "cargue_id cargue_fecha cargue_fecha_id parquet_nombre").split()
+                 if c not in FILE_DEPENDENT]
+    return {
+        "partition_roundtrip": f"""SELECT o_orderkey, o_totalprice, o_orderdate, o_orderpriority,
+                   CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+                   {date} FROM orders""",
+        "declared_types": f"SELECT *, {date} FROM ({CONTRACT_CORE})",
+        "incremental_ingest": f"""SELECT {', '.join(c for c in core_cols if c != 'ejecucion_id')},
+                   '{RUN_ID}-0' AS ejecucion_id FROM ({CONTRACT_CORE})""",
+        "run_manifest": WITH + """
+            SELECT (SELECT count(*) FROM landing) AS processed_files, cast(0 AS bigint) AS skipped_files,
+                   (SELECT count(*) FROM deduped) AS core_rows, (SELECT 18 * count(*) FROM deduped) AS atts_rows,
+                   (SELECT count(DISTINCT conversacion_id) FROM mapped
+                     WHERE conversacion_id IS NOT NULL AND conversacion_id <> '') AS conversation_ids,
+                   (SELECT count(*) FROM landing) AS deleted_source_files""",
+    }
+
+
+ORACLE.update(_io_oracles())

@@ -76,6 +76,7 @@ QUERIES = {
 
 
 def all_queries() -> dict:
+    from pactline.plans.io_queries import QUERIES as IO
     from pactline.plans.operator_queries import QUERIES as OPS
 
-    return {**QUERIES, **OPS}
+    return {**QUERIES, **OPS, **IO}

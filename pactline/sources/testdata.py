@@ -75,3 +75,17 @@ def landing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = landing_records(spark, sf_dir)
     doc = F.to_json(F.struct(*[F.col(c) for c in DOCUMENT_FIELDS]))
     return recs.select("conv_id", "source_path", doc.alias("text"))
+
+
+def write_landing_files(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Land every record as its own JSON document file below ``path``.
+
+    One folder per record (``doc=conv_<id>/part-*.json``), each file holding
+    exactly one JSON object; null fields are left out of the document.
+    Returns ``path``.
+    """
+    recs = landing_records(spark, sf_dir)
+    doc = F.concat(F.lit("conv_"), _pad(F.col("conv_id"), 8))
+    (recs.select(doc.alias("doc"), *DOCUMENT_FIELDS)
+     .write.mode("errorifexists").partitionBy("doc").json(path))
+    return path
