@@ -1,0 +1,85 @@
+"""End to end: landed files -> both outputs -> requests -> consume."""
+
+import json
+import os
+from pathlib import Path
+
+from pactline.contract import shipped_contract, shipped_endpoints
+from pactline.plans.pipeline import BatchConfig, run_batch
+from pactline.sinks.parquet import read_hive_parquet
+from pactline.sources.landing import read_landing
+from tests.conftest import land
+from tests.helpers import CTX
+
+
+def _cfg(workdir, **kw):
+    return BatchConfig(contract=shipped_contract(), landing_path=os.path.join(workdir, "landing"),
+                       core_path=os.path.join(workdir, "core"), atts_path=os.path.join(workdir, "atts"),
+                       endpoints=shipped_endpoints(), **kw)
+
+
+def _remaining(workdir):
+    return sorted(p.name for p in Path(workdir, "landing").rglob("*") if p.is_file())
+
+
+def test_end_to_end(spark, records, workdir):
+    land(workdir, "landing/BDO/record_a.json", records[0])
+    land(workdir, "landing/BDO/sub/record_b.JSON", records[1])
+    land(workdir, "landing/BDO/notes.txt", b"not json")
+    cfg = _cfg(workdir, delete_sources=True, requests_path=os.path.join(workdir, "requests"))
+    res = run_batch(spark, cfg, CTX)
+    m = res.manifest()
+    assert (m["processed_files"], m["skipped_files"], m["deleted_source_files"]) == (2, 0, 2)
+    assert (m["core_rows"], m["atts_rows"], m["conversation_ids"]) == (2, 36, 2)
+    assert _remaining(workdir) == ["notes.txt"]
+    core = read_hive_parquet(spark, cfg.core_path)
+    assert core.count() == 2
+    row = core.where("interaccion_id = '9f8e7d6c5b4a39281706f5e4d3c2b1a0'").first()
+    assert row.consumidor_id == "52001234"
+    assert json.loads(row.mensajes)[0]["role"] == "assistant"
+    assert row.base_nombre == "record_a.json"
+    assert (row.cliente_prefijo, row.operacion_prefijo, row.year, row.month, row.day) == ("BDO", "SAC", "2026", "08", "21")
+    atts = read_hive_parquet(spark, cfg.atts_path)
+    assert atts.count() == 36
+    assert atts.where("atributo_nombre IS NULL OR atributo_tipo IS NULL OR atributo_posicion IS NULL").count() == 0
+    reqs = spark.read.json(cfg.requests_path).collect()
+    assert len(reqs) == 2
+    assert all(r.request_context.url.endswith("/surveys") and "{conversationId}" not in r.request_context.url for r in reqs)
+
+
+def test_no_source_files_is_a_noop(spark, workdir):
+    os.makedirs(os.path.join(workdir, "landing"))
+    res = run_batch(spark, _cfg(workdir), CTX)
+    assert res.manifest()["processed_files"] == 0
+    assert res.skipped_count == 0
+    assert not os.path.exists(os.path.join(workdir, "core"))
+
+
+def test_bad_files_are_skipped_and_kept(spark, records, workdir):
+    land(workdir, "landing/a.json", records[0])
+    land(workdir, "landing/b.json", records[1])
+    land(workdir, "landing/corrupted.json", b"")
+    land(workdir, "landing/broken.json", b"not json at all")
+    land(workdir, "landing/list.json", b"[1, 2]")
+    res = run_batch(spark, _cfg(workdir, delete_sources=True), CTX)
+    assert res.processed_files == 2 and res.skipped_count == 3 and res.deleted_source_files == 2
+    skipped = {Path(r.source_path).name: r.reason for r in res.skipped_files.collect()}
+    assert skipped == {"corrupted.json": "empty", "broken.json": "invalid_json", "list.json": "not_object"}
+    assert _remaining(workdir) == ["broken.json", "corrupted.json", "list.json"]
+
+
+def test_all_bad_writes_nothing(spark, workdir):
+    land(workdir, "landing/broken.json", b"{")
+    res = run_batch(spark, _cfg(workdir, delete_sources=True), CTX)
+    assert (res.processed_files, res.skipped_count, res.deleted_source_files) == (0, 1, 0)
+    assert res.core is None and not os.path.exists(os.path.join(workdir, "core"))
+    assert _remaining(workdir) == ["broken.json"]
+
+
+def test_scan_handles_blank_names_and_suffix_case(spark, records, workdir):
+    land(workdir, "landing/with blank.json", records[0])
+    land(workdir, "landing/UPPER.JSON", records[1])
+    land(workdir, "landing/empty.json", b"")
+    parsed = read_landing(spark, os.path.join(workdir, "landing"), shipped_contract().source_fields)
+    got = {Path(r.source_path).name: r.status for r in parsed.collect()}
+    assert got == {"with blank.json": "ok", "UPPER.JSON": "ok", "empty.json": "empty"}
