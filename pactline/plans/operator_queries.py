@@ -18,7 +18,7 @@ from pactline.operators.mapping import map_values
 from pactline.operators.reshape import atts_frame
 from pactline.operators.values import Val
 from pactline.plans import stages
-from pactline.plans.queries import CTX, _landing_deduped, _landing_parsed
+from pactline.plans.queries import CTX, _landing_deduped, _landing_good
 from pactline.session import apply_defaults
 from pactline.sources.documents import parse_documents
 from pactline.sources.testdata import table
@@ -84,7 +84,7 @@ def rename_default_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     contract = shipped_contract()
     values = map_values(contract)
-    parsed = stages.good(_landing_parsed(spark, sf_dir))
+    parsed = _landing_good(spark, sf_dir)
     pick = ["consumidor_nombre", "consumidor_apellido", "interaccion_resultado", "interaccion_turnos",
             "interaccion_fecha_inicio", "cliente_prefijo", "caso_uso_id", "canal"]
     return parsed.select("source_path", *[values[n].as_type(contract.column_types[n]).alias(n) for n in pick])
@@ -94,7 +94,7 @@ def json_serialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``json`` column: nested value kept as compact JSON text, key order kept."""
     from pactline.contract import shipped_contract
 
-    mapped = stages.mapped(_landing_parsed(spark, sf_dir), shipped_contract())
+    mapped = stages.mapped(_landing_good(spark, sf_dir), shipped_contract())
     return mapped.select("source_path", "mensajes")
 
 

@@ -3,7 +3,7 @@
 Plan shape (one run):
 
 * stage 1 (narrow): ``binaryFile`` scan -> strict parse -> status. The
-  parsed frame is materialised once (reliable checkpoint into the shared
+  parsed frame is materialised once (a Parquet table below the shared
   ``spark.checkpoint.dir`` by default), because it feeds the good path,
   the quarantine report, the ids and the delete list.
 * stage 2: map/cast/clean (narrow) -> keep-best window (one shuffle on the
@@ -31,20 +31,27 @@ from pyspark.sql import functions as F
 from pactline.contract import Contract
 from pactline.operators.audit import RunContext
 from pactline.plans import stages
-from pactline.session import apply_defaults, ensure_checkpoint_dir
+from pactline.session import apply_defaults, ensure_checkpoint_dir, scratch_path
 from pactline.sinks.parquet import WriteResult, delete_paths, write_hive_parquet, write_json_rows
 from pactline.sources.documents import OK
-from pactline.sources.landing import read_landing, scan_files
+from pactline.sources.documents import parse_binary_documents
+from pactline.sources.landing import listed_files, missing_from_scan, scan_files
 
 
-def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
+def materialize(df: DataFrame, how: str = "table", name: str = "stage") -> DataFrame:
     """Cut lineage once a frame feeds several branches.
 
-    ``checkpoint``: reliable checkpoint into the shared checkpoint folder
-    (survives executor loss without recomputation). ``persist``: executor
-    memory and disk (recomputed from the sources if an executor is lost).
-    ``none``: recompute per branch.
+    ``table`` (default): one pass writing Parquet below the shared
+    ``spark.checkpoint.dir``, read back; survives executor loss without
+    recomputation. ``checkpoint``: ``DataFrame.checkpoint`` into the same
+    folder (computes its input twice). ``persist``: executor memory and
+    disk (recomputed from the sources if an executor is lost). ``none``:
+    recompute per branch.
     """
+    if how == "table":
+        path = scratch_path(df.sparkSession, name)
+        df.write.mode("errorifexists").parquet(path)
+        return df.sparkSession.read.parquet(path)
     if how == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
@@ -67,7 +74,7 @@ class BatchConfig:
     requests_path: str | None = None
     delete_sources: bool = False
     options: stages.Options = field(default_factory=stages.Options)
-    materialize: str = "checkpoint"
+    materialize: str = "table"
 
 
 @dataclass
@@ -94,15 +101,25 @@ class BatchResult:
         }
 
 
-def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx: RunContext) -> BatchResult:
-    """Everything after the scan; shared by the batch run and each micro-batch."""
-    parsed = materialize(parsed, cfg.materialize)
+def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx: RunContext,
+                   listed: list[str] | None = None) -> BatchResult:
+    """Everything after the scan; shared by the batch run and each micro-batch.
+
+    ``listed`` is the scan's file listing: files listed but absent from the
+    scan are zero-length documents and join the quarantine as ``empty``.
+    """
+    parsed = materialize(parsed, cfg.materialize, "parsed")
     counts = {r["ok"]: r["n"] for r in parsed.groupBy((F.col("status") == F.lit(OK)).alias("ok")).count()
               .withColumnRenamed("count", "n").collect()}
-    result = BatchResult(processed_files=int(counts.get(True, 0)), skipped_count=int(counts.get(False, 0)),
-                         skipped_files=stages.quarantine(parsed))
-    mapped = stages.mapped(parsed, cfg.contract, cfg.options)
-    deduped = materialize(stages.deduped(mapped, cfg.contract), cfg.materialize)
+    ok, bad = int(counts.get(True, 0)), int(counts.get(False, 0))
+    skipped = stages.quarantine(parsed)
+    if listed is not None and len(listed) > ok + bad:
+        empties = materialize(missing_from_scan(spark, listed, parsed), cfg.materialize, "empty")
+        bad += empties.count()
+        skipped = skipped.unionByName(empties.select("source_path", F.col("status").alias("reason")))
+    result = BatchResult(processed_files=ok, skipped_count=bad, skipped_files=skipped)
+    mapped = stages.mapped(stages.good(parsed).select("source_path", "rec"), cfg.contract, cfg.options)
+    deduped = materialize(stages.deduped(mapped, cfg.contract), cfg.materialize, "deduped")
     core, atts = stages.outputs(deduped, cfg.contract, ctx)
     parts = cfg.contract.partition_by
     if result.processed_files:
@@ -123,7 +140,8 @@ def run_batch(spark: SparkSession, cfg: BatchConfig, ctx: RunContext | None = No
     apply_defaults(spark)
     ctx = ctx or RunContext.fresh()
     files = scan_files(spark, cfg.landing_path)
-    if not files.inputFiles():
+    listed = listed_files(files)
+    if not listed:
         return BatchResult(skipped_files=spark.createDataFrame([], "source_path string, reason string"))
-    parsed = read_landing(spark, cfg.landing_path, cfg.contract.source_fields)
-    return process_parsed(spark, cfg, parsed, ctx)
+    parsed = parse_binary_documents(files, cfg.contract.source_fields)
+    return process_parsed(spark, cfg, parsed, ctx, listed)

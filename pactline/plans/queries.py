@@ -25,13 +25,14 @@ NOW = datetime(2026, 8, 21, 15, 30, 45, tzinfo=timezone.utc)
 CTX = RunContext(run_id=RUN_ID, now=NOW)
 
 
-def _landing_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _landing_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the good landing documents (each parsed once)."""
     apply_defaults(spark)
-    return stages.parse(landing_documents(spark, sf_dir), shipped_contract())
+    return stages.good_docs(landing_documents(spark, sf_dir), shipped_contract())
 
 
 def _landing_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stages.mapped(_landing_parsed(spark, sf_dir), shipped_contract())
+    return stages.mapped(_landing_good(spark, sf_dir), shipped_contract())
 
 
 def _landing_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pactline.operators.dedup import keep_best
 from pactline.operators.mapping import map_records
 from pactline.operators.requests import build_requests, conversation_ids
 from pactline.operators.reshape import atts_frame, core_frame
-from pactline.sources.documents import OK, parse_documents
+from pactline.sources.documents import OK, good_documents, parse_documents
 
 
 @dataclass(frozen=True)
@@ -45,11 +45,18 @@ def quarantine(parsed: DataFrame) -> DataFrame:
 
 
 def parse(docs: DataFrame, contract: Contract) -> DataFrame:
+    """Status of every document (good ones carry their record)."""
     return parse_documents(docs, contract.source_fields)
 
 
-def mapped(parsed: DataFrame, contract: Contract, opts: Options = Options()) -> DataFrame:
-    return map_records(good(parsed), contract, opts.strict_casts, opts.accents,
+def good_docs(docs: DataFrame, contract: Contract) -> DataFrame:
+    """Only the good documents' records, each document parsed once."""
+    return good_documents(docs, contract.source_fields)
+
+
+def mapped(records: DataFrame, contract: Contract, opts: Options = Options()) -> DataFrame:
+    """Good records ``(source_path, rec)`` -> typed, cleaned business columns."""
+    return map_records(records, contract, opts.strict_casts, opts.accents,
                        honor_input_formats=opts.honor_input_formats)
 
 

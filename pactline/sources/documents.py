@@ -40,46 +40,73 @@ def record_schema(fields: list[str]) -> str:
     return f"array<struct<{inner}>>"
 
 
-def parse_text(text: Column, fields: list[str]) -> tuple[Column, Column]:
-    """(status, record) for one document's text.
+def _wrapped(text: Column) -> Column:
+    """``[`` + document (one leading BOM dropped) + ``]``."""
+    return F.concat(F.lit("["), F.regexp_replace(text, "^\\x{FEFF}", ""), F.lit("]"))
+
+
+def _with_parse(docs: DataFrame, text: Column, fields: list[str], keep: tuple[str, ...],
+                path: Column) -> DataFrame:
+    """Lower projection: the document parsed once into ``_p``.
 
     Wrapping the text in ``[...]`` makes trailing data a syntax error or a
     second element instead of being silently ignored; a document is good
     when the array holds exactly one non-null struct. Nested values and
-    numbers come back as their JSON text.
+    numbers come back as their JSON text. The parse is its own projection
+    so that status and record read ``_p`` instead of re-parsing (Catalyst
+    does not collapse a non-cheap expression used more than once).
     """
-    body = F.regexp_replace(text, "^\\x{FEFF}", "")
-    parsed = F.from_json(F.concat(F.lit("["), body, F.lit("]")), record_schema(fields), STRICT_JSON)
-    good = (F.size(parsed) == 1) & parsed.getItem(0).isNotNull()
-    as_text = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<string>", STRICT_JSON)
-    status = (
-        F.when(~F.is_valid_utf8(text), F.lit(INVALID_UTF8))
-        .when(good, F.lit(OK))
+    parsed = F.from_json(_wrapped(text), record_schema(fields), STRICT_JSON)
+    return docs.select(*keep, path.alias("source_path"), text.alias("_text"), parsed.alias("_p"))
+
+
+def _is_good() -> Column:
+    p = F.col("_p")
+    return F.is_valid_utf8(F.col("_text")) & (F.size(p) == 1) & p.getItem(0).isNotNull()
+
+
+def _status() -> Column:
+    as_text = F.from_json(_wrapped(F.col("_text")), "array<string>", STRICT_JSON)
+    return (
+        F.when(~F.is_valid_utf8(F.col("_text")), F.lit(INVALID_UTF8))
+        .when(_is_good(), F.lit(OK))
         .when((F.size(as_text) == 1) & ~F.coalesce(F.ltrim(as_text.getItem(0)).startswith("{"), F.lit(False)),
               F.lit(NOT_OBJECT))
         .otherwise(F.lit(INVALID_JSON))
     )
-    record = F.when(status == F.lit(OK), parsed.getItem(0))
-    return status, record
 
 
 def parse_documents(docs: DataFrame, fields: list[str], text_col: str = "text",
                     keep: tuple[str, ...] = ()) -> DataFrame:
     """``docs(source_path, <text_col>)`` -> ``(*keep, source_path, status, rec)``.
 
-    Narrow: one projection, no shuffle; runs inside the scan's stage.
+    Narrow: projections only, no shuffle; runs inside the scan's stage.
+    """
+    lower = _with_parse(docs, F.col(text_col), fields, keep, F.col("source_path"))
+    return lower.select(*keep, "source_path", _status().alias("status"),
+                        F.when(_is_good(), F.col("_p").getItem(0)).alias("rec"))
+
+
+def good_documents(docs: DataFrame, fields: list[str], text_col: str = "text",
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """Only the good documents: ``(*keep, source_path, rec)``.
+
+    A generator (``explode`` of the one-element array, or of nothing)
+    instead of a filter: a filter on the parse result would be pushed below
+    the projection and inlined, parsing every document twice.
     """
-    status, record = parse_text(F.col(text_col), fields)
-    return docs.select(*keep, "source_path", status.alias("status"), record.alias("rec"))
+    lower = _with_parse(docs, F.col(text_col), fields, keep, F.col("source_path"))
+    return lower.select(*keep, "source_path", F.explode(F.when(_is_good(), F.col("_p"))).alias("rec"))
 
 
 def parse_binary_documents(files: DataFrame, fields: list[str]) -> DataFrame:
     """``binaryFile`` rows ``(path, length, content)`` -> ``(source_path, status, rec)``.
 
     Zero-length files never reach a ``binaryFile`` scan; see
-    ``landing.find_empty_files``.
+    ``landing.missing_from_scan``.
     """
-    text = F.col("content").cast("string")
-    status, record = parse_text(text, fields)
-    status = F.when(F.col("length") == 0, F.lit(EMPTY)).otherwise(status)
-    return files.select(F.col("path").alias("source_path"), status.alias("status"), record.alias("rec"))
+    lower = _with_parse(files.withColumn("_len", F.col("length")), F.col("content").cast("string"), fields,
+                        ("_len",), F.col("path"))
+    status = F.when(F.col("_len") == 0, F.lit(EMPTY)).otherwise(_status())
+    return lower.select("source_path", status.alias("status"),
+                        F.when(_is_good(), F.col("_p").getItem(0)).alias("rec"))

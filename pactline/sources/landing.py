@@ -37,31 +37,28 @@ def hadoop_path_text(uri: str) -> str:
     return f"{parts.scheme}:{authority}{unquote(parts.path)}"
 
 
-def find_empty_files(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Listed files that no scan split reads (zero-length documents).
+def listed_files(files: DataFrame) -> list[str]:
+    """Every file the scan's index listed (zero-length ones included), as scan paths."""
+    return [hadoop_path_text(p) for p in files.inputFiles()]
+
+
+def missing_from_scan(spark: SparkSession, listed: list[str], seen: DataFrame) -> DataFrame:
+    """Listed files that no scan split read: zero-length documents, status ``empty``.
 
     Spark plans no split for an empty file, so it never reaches the scan.
-    The file index the scan already built on the driver holds every listed
-    path; only that path list (not data) is compared, by a left-anti join
-    against the paths the scan actually produced.
+    Only paths are compared (a left-anti join against the scanned paths);
+    callers skip this when the listed and scanned counts agree.
     """
-    listed = [hadoop_path_text(p) for p in files.inputFiles()]
-    if not listed or len(listed) == files.select("path").count():
-        return spark.createDataFrame([], "source_path string, status string")
     listed_df = spark.createDataFrame([(p,) for p in listed], "source_path string")
-    seen = files.select(F.col("path").alias("source_path"))
-    return listed_df.join(seen, "source_path", "left_anti").select("source_path", F.lit(EMPTY).alias("status"))
-
-
-def with_empty_files(spark: SparkSession, files: DataFrame, parsed: DataFrame) -> DataFrame:
-    """Add the zero-length documents of ``files`` to ``parsed`` as status ``empty``."""
-    empties = find_empty_files(spark, files).select(
-        "source_path", "status", F.lit(None).cast(parsed.schema["rec"].dataType).alias("rec")
-    )
-    return parsed.unionByName(empties)
+    return listed_df.join(seen.select("source_path"), "source_path", "left_anti").select(
+        "source_path", F.lit(EMPTY).alias("status"))
 
 
 def read_landing(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
     """``(source_path, status, rec)`` for every landed document, empty files included."""
     files = scan_files(spark, path)
-    return with_empty_files(spark, files, parse_binary_documents(files, fields))
+    parsed = parse_binary_documents(files, fields)
+    listed = listed_files(files)
+    empties = missing_from_scan(spark, listed, parsed.select("source_path")).select(
+        "source_path", "status", F.lit(None).cast(parsed.schema["rec"].dataType).alias("rec"))
+    return parsed.unionByName(empties)

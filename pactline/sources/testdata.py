@@ -87,5 +87,7 @@ def write_landing_files(spark: SparkSession, sf_dir: str, path: str) -> str:
     recs = landing_records(spark, sf_dir)
     doc = F.concat(F.lit("conv_"), _pad(F.col("conv_id"), 8))
     (recs.select(doc.alias("doc"), *DOCUMENT_FIELDS)
-     .write.mode("errorifexists").partitionBy("doc").json(path))
+     .write.mode("errorifexists").partitionBy("doc")
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+     .json(path))
     return path

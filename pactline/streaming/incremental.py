@@ -24,7 +24,7 @@ from pactline.operators.audit import RunContext
 from pactline.plans.pipeline import BatchConfig, BatchResult, process_parsed
 from pactline.session import apply_defaults
 from pactline.sources.documents import parse_binary_documents
-from pactline.sources.landing import BINARY_FILE_SCHEMA, JSON_GLOB, with_empty_files
+from pactline.sources.landing import BINARY_FILE_SCHEMA, JSON_GLOB, listed_files
 
 
 def landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -46,8 +46,8 @@ def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint_location
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         ctx = RunContext(run_id=f"{run_id}-{batch_id}", now=now or datetime.now(timezone.utc))
-        parsed = with_empty_files(batch.sparkSession, batch, parse_binary_documents(batch, fields))
-        res = process_parsed(batch.sparkSession, replace(cfg), parsed, ctx)
+        parsed = parse_binary_documents(batch, fields)
+        res = process_parsed(batch.sparkSession, replace(cfg), parsed, ctx, listed_files(batch))
         if results is not None:
             results.append(res)
 

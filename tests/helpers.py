@@ -18,7 +18,7 @@ def documents(spark, records, paths=None):
 
 def mapped(spark, records, contract=None, paths=None, opts=stages.Options()):
     contract = contract or shipped_contract()
-    return stages.mapped(stages.parse(documents(spark, records, paths), contract), contract, opts)
+    return stages.mapped(stages.good_docs(documents(spark, records, paths), contract), contract, opts)
 
 
 def by(rows, key, value):
