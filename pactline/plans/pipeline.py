@@ -32,6 +32,7 @@ from pactline.contract import Contract
 from pactline.operators.audit import RunContext
 from pactline.plans import stages
 from pactline.session import apply_defaults, ensure_checkpoint_dir, scratch_path
+from pactline.sources.config import write_json_document
 from pactline.sinks.parquet import WriteResult, delete_paths, write_hive_parquet, write_json_rows
 from pactline.sources.documents import OK
 from pactline.sources.documents import parse_binary_documents
@@ -75,6 +76,7 @@ class BatchConfig:
     delete_sources: bool = False
     options: stages.Options = field(default_factory=stages.Options)
     materialize: str = "table"
+    manifest_path: str | None = None
 
 
 @dataclass
@@ -128,10 +130,15 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
     requests = stages.requests(mapped, cfg.endpoints)
     result.requests = requests
     if cfg.requests_path and result.processed_files:
-        write_json_rows(requests.drop("endpoint_order"), cfg.requests_path)
+        # Endpoint-major, ids ascending: a range-partitioned sort, no single task.
+        ordered = requests.orderBy("endpoint_order", "conversation_id").drop("endpoint_order")
+        write_json_rows(ordered, cfg.requests_path)
     result.conversation_ids = stages.conversation_ids_count(mapped) if result.processed_files else 0
     if cfg.delete_sources and result.processed_files:
         result.deleted_source_files = delete_paths(spark, stages.good(parsed).select("source_path"))
+    if cfg.manifest_path:
+        write_json_document(spark, f"{cfg.manifest_path.rstrip('/')}/run_{ctx.run_id}.json",
+                            {"run_id": ctx.run_id, "processed_at": ctx.now.isoformat(), **result.manifest()})
     return result
 
 

@@ -86,8 +86,10 @@ def write_landing_files(spark: SparkSession, sf_dir: str, path: str) -> str:
     """
     recs = landing_records(spark, sf_dir)
     doc = F.concat(F.lit("conv_"), _pad(F.col("conv_id"), 8))
+    # One file per record: spread the records over every core (a numbered
+    # repartition is not coalesced by AQE into a single writer task).
     (recs.select(doc.alias("doc"), *DOCUMENT_FIELDS)
+     .repartition(spark.sparkContext.defaultParallelism)
      .write.mode("errorifexists").partitionBy("doc")
-     .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
      .json(path))
     return path
