@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pactline.contract import RESERVED_SOURCE_FIELD
+
 OK = "ok"
 EMPTY = "empty"
 INVALID_UTF8 = "invalid_utf8"
@@ -34,24 +36,35 @@ def _ddl_name(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+# Fixed value: key of the end marker appended after every document.
+END_KEY = RESERVED_SOURCE_FIELD
+END_MARK = '{"' + END_KEY + '":1}'
+
+
 def record_schema(fields: list[str]) -> str:
     """Every source field read as its raw JSON text (strings never inferred)."""
-    inner = ",".join(f"{_ddl_name(f)}:string" for f in fields)
+    inner = ",".join(f"{_ddl_name(f)}:string" for f in [*fields, END_KEY])
     return f"array<struct<{inner}>>"
 
 
 def _wrapped(text: Column) -> Column:
-    """``[`` + document (one leading BOM dropped) + ``]``."""
-    return F.concat(F.lit("["), F.regexp_replace(text, "^\\x{FEFF}", ""), F.lit("]"))
+    """``[`` + document (one leading BOM dropped) + ``,`` + end marker + ``]``.
+
+    Spark's JSON reader stops after the first complete value and ignores
+    what follows, so the document alone, or the document in brackets,
+    would accept ``{...}] junk``. With the end marker as a second array
+    element, a good document parses to exactly ``[record, marker]``:
+    trailing data, a second document or a stray ``]`` all break that shape.
+    """
+    return F.concat(F.lit("["), F.regexp_replace(text, "^\\x{FEFF}", ""), F.lit("," + END_MARK + "]"))
 
 
 def _with_parse(docs: DataFrame, text: Column, fields: list[str], keep: tuple[str, ...],
                 path: Column) -> DataFrame:
     """Lower projection: the document parsed once into ``_p``.
 
-    Wrapping the text in ``[...]`` makes trailing data a syntax error or a
-    second element instead of being silently ignored; a document is good
-    when the array holds exactly one non-null struct. Nested values and
+    A document is good when the wrapped array is exactly one non-null
+    struct followed by the end marker (see ``_wrapped``). Nested values and
     numbers come back as their JSON text. The parse is its own projection
     so that status and record read ``_p`` instead of re-parsing (Catalyst
     does not collapse a non-cheap expression used more than once).
@@ -62,7 +75,12 @@ def _with_parse(docs: DataFrame, text: Column, fields: list[str], keep: tuple[st
 
 def _is_good() -> Column:
     p = F.col("_p")
-    return F.is_valid_utf8(F.col("_text")) & (F.size(p) == 1) & p.getItem(0).isNotNull()
+    return (F.is_valid_utf8(F.col("_text")) & (F.size(p) == 2) & p.getItem(0).isNotNull()
+            & (p.getItem(1).getField(END_KEY) == F.lit("1")))
+
+
+def _record() -> Column:
+    return F.col("_p").getItem(0).dropFields(END_KEY)
 
 
 def _status() -> Column:
@@ -70,7 +88,8 @@ def _status() -> Column:
     return (
         F.when(~F.is_valid_utf8(F.col("_text")), F.lit(INVALID_UTF8))
         .when(_is_good(), F.lit(OK))
-        .when((F.size(as_text) == 1) & ~F.coalesce(F.ltrim(as_text.getItem(0)).startswith("{"), F.lit(False)),
+        .when((F.size(as_text) == 2) & (as_text.getItem(1) == F.lit(END_MARK))
+              & ~F.coalesce(F.ltrim(as_text.getItem(0)).startswith("{"), F.lit(False)),
               F.lit(NOT_OBJECT))
         .otherwise(F.lit(INVALID_JSON))
     )
@@ -84,7 +103,7 @@ def parse_documents(docs: DataFrame, fields: list[str], text_col: str = "text",
     """
     lower = _with_parse(docs, F.col(text_col), fields, keep, F.col("source_path"))
     return lower.select(*keep, "source_path", _status().alias("status"),
-                        F.when(_is_good(), F.col("_p").getItem(0)).alias("rec"))
+                        F.when(_is_good(), _record()).alias("rec"))
 
 
 def good_documents(docs: DataFrame, fields: list[str], text_col: str = "text",
@@ -96,7 +115,8 @@ def good_documents(docs: DataFrame, fields: list[str], text_col: str = "text",
     the projection and inlined, parsing every document twice.
     """
     lower = _with_parse(docs, F.col(text_col), fields, keep, F.col("source_path"))
-    return lower.select(*keep, "source_path", F.explode(F.when(_is_good(), F.col("_p"))).alias("rec"))
+    one = F.when(_is_good(), F.array(_record()))
+    return lower.select(*keep, "source_path", F.explode(one).alias("rec"))
 
 
 def parse_binary_documents(files: DataFrame, fields: list[str]) -> DataFrame:
@@ -109,4 +129,4 @@ def parse_binary_documents(files: DataFrame, fields: list[str]) -> DataFrame:
                         ("_len",), F.col("path"))
     status = F.when(F.col("_len") == 0, F.lit(EMPTY)).otherwise(_status())
     return lower.select("source_path", status.alias("status"),
-                        F.when(_is_good(), F.col("_p").getItem(0)).alias("rec"))
+                        F.when(_is_good(), _record()).alias("rec"))

@@ -16,6 +16,12 @@ CASES = [
     ("not json at all", INVALID_JSON),
     ("{'a': 'x'}", INVALID_JSON),
     ('{"a": "x"} trailing', INVALID_JSON),
+    ('{"a": "x"}]', INVALID_JSON),
+    ('{"a": "x"}], [{"a": "y"}', INVALID_JSON),
+    ('{"a": "x"}] junk', INVALID_JSON),
+    ("[1, 2]", NOT_OBJECT),
+    ("[]", NOT_OBJECT),
+    ('{"a": {"b": [1, {"c": null}]}}', OK),
     ("5", NOT_OBJECT),
     ("null", NOT_OBJECT),
     ('[{"a": "x"}]', NOT_OBJECT),
