@@ -36,7 +36,7 @@ from pactline.sources.config import write_json_document
 from pactline.sinks.parquet import WriteResult, delete_paths, write_hive_parquet, write_json_rows
 from pactline.sources.documents import OK
 from pactline.sources.documents import parse_binary_documents
-from pactline.sources.landing import listed_files, missing_from_scan, scan_files
+from pactline.sources.landing import Listing, listing, missing_from_scan, scan_files
 
 
 def materialize(df: DataFrame, how: str = "table", name: str = "stage") -> DataFrame:
@@ -104,7 +104,7 @@ class BatchResult:
 
 
 def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx: RunContext,
-                   listed: list[str] | None = None) -> BatchResult:
+                   listed: Listing | None = None) -> BatchResult:
     """Everything after the scan; shared by the batch run and each micro-batch.
 
     ``listed`` is the scan's file listing: files listed but absent from the
@@ -115,8 +115,8 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
               .withColumnRenamed("count", "n").collect()}
     ok, bad = int(counts.get(True, 0)), int(counts.get(False, 0))
     skipped = stages.quarantine(parsed)
-    if listed is not None and len(listed) > ok + bad:
-        empties = materialize(missing_from_scan(spark, listed, parsed), cfg.materialize, "empty")
+    if listed is not None and listed.count > ok + bad:
+        empties = materialize(missing_from_scan(listed, parsed), cfg.materialize, "empty")
         bad += empties.count()
         skipped = skipped.unionByName(empties.select("source_path", F.col("status").alias("reason")))
     result = BatchResult(processed_files=ok, skipped_count=bad, skipped_files=skipped)
@@ -147,8 +147,8 @@ def run_batch(spark: SparkSession, cfg: BatchConfig, ctx: RunContext | None = No
     apply_defaults(spark)
     ctx = ctx or RunContext.fresh()
     files = scan_files(spark, cfg.landing_path)
-    listed = listed_files(files)
-    if not listed:
+    listed = listing(files)
+    if not listed.count:
         return BatchResult(skipped_files=spark.createDataFrame([], "source_path string, reason string"))
     parsed = parse_binary_documents(files, cfg.contract.source_fields)
     return process_parsed(spark, cfg, parsed, ctx, listed)

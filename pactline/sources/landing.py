@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from urllib.parse import unquote, urlsplit
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactline.sources.documents import EMPTY, parse_binary_documents
@@ -37,20 +38,53 @@ def hadoop_path_text(uri: str) -> str:
     return f"{parts.scheme}:{authority}{unquote(parts.path)}"
 
 
+def uri_to_path(uri: Column) -> Column:
+    """Percent-encoded file URI -> the form a scan's ``path`` column has (Spark SQL).
+
+    ``url_decode`` is form decoding (``+`` means a blank), so literal ``+``
+    is escaped first; an empty authority (``file:///x``) becomes ``file:/x``.
+    """
+    decoded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+
+
+@dataclass(frozen=True)
+class Listing:
+    """The scan's file listing, kept in the JVM: a count and a one-column frame."""
+
+    count: int
+    paths: DataFrame
+
+
+def listing(files: DataFrame) -> Listing:
+    """Every file the scan's index listed, zero-length ones included.
+
+    ``inputFiles`` is the listing Spark's file index already holds on the
+    driver; it is turned into a Dataset inside the JVM (no per-path
+    round trips through Python) and decoded to scan-path form in SQL.
+    """
+    spark = files.sparkSession
+    jvm = spark.sparkContext._jvm
+    uris = files._jdf.inputFiles()
+    seq = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(uris)
+    jds = spark._jsparkSession.createDataset(seq, jvm.org.apache.spark.sql.Encoders.STRING())
+    frame = DataFrame(jds.toDF(), spark).select(uri_to_path(F.col("value")).alias("source_path"))
+    return Listing(count=len(uris), paths=frame)
+
+
 def listed_files(files: DataFrame) -> list[str]:
-    """Every file the scan's index listed (zero-length ones included), as scan paths."""
+    """The listing as a Python list (small listings, tests)."""
     return [hadoop_path_text(p) for p in files.inputFiles()]
 
 
-def missing_from_scan(spark: SparkSession, listed: list[str], seen: DataFrame) -> DataFrame:
+def missing_from_scan(listed: Listing, seen: DataFrame) -> DataFrame:
     """Listed files that no scan split read: zero-length documents, status ``empty``.
 
     Spark plans no split for an empty file, so it never reaches the scan.
     Only paths are compared (a left-anti join against the scanned paths);
     callers skip this when the listed and scanned counts agree.
     """
-    listed_df = spark.createDataFrame([(p,) for p in listed], "source_path string")
-    return listed_df.join(seen.select("source_path"), "source_path", "left_anti").select(
+    return listed.paths.join(seen.select("source_path"), "source_path", "left_anti").select(
         "source_path", F.lit(EMPTY).alias("status"))
 
 
@@ -58,7 +92,6 @@ def read_landing(spark: SparkSession, path: str, fields: list[str]) -> DataFrame
     """``(source_path, status, rec)`` for every landed document, empty files included."""
     files = scan_files(spark, path)
     parsed = parse_binary_documents(files, fields)
-    listed = listed_files(files)
-    empties = missing_from_scan(spark, listed, parsed.select("source_path")).select(
+    empties = missing_from_scan(listing(files), parsed.select("source_path")).select(
         "source_path", "status", F.lit(None).cast(parsed.schema["rec"].dataType).alias("rec"))
     return parsed.unionByName(empties)

@@ -10,6 +10,11 @@ batch job while the checkpoint remembers which files were already taken.
 ``cleanSource`` is left off on purpose: it would also remove unreadable
 documents, which stay in place for investigation. Consumption of the good
 ones is the run's own consume-after-commit delete.
+
+Zero-length documents never reach a micro-batch (the file stream source
+plans no split for them), so incremental runs do not report them; like
+every unreadable document they are left in place. A batch run reports
+them as ``empty``.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from pactline.operators.audit import RunContext
 from pactline.plans.pipeline import BatchConfig, BatchResult, process_parsed
 from pactline.session import apply_defaults
 from pactline.sources.documents import parse_binary_documents
-from pactline.sources.landing import BINARY_FILE_SCHEMA, JSON_GLOB, listed_files
+from pactline.sources.landing import BINARY_FILE_SCHEMA, JSON_GLOB, listing
 
 
 def landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -47,7 +52,7 @@ def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint_location
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         ctx = RunContext(run_id=f"{run_id}-{batch_id}", now=now or datetime.now(timezone.utc))
         parsed = parse_binary_documents(batch, fields)
-        res = process_parsed(batch.sparkSession, replace(cfg), parsed, ctx, listed_files(batch))
+        res = process_parsed(batch.sparkSession, replace(cfg), parsed, ctx, listing(batch))
         if results is not None:
             results.append(res)
 

@@ -83,3 +83,15 @@ def test_scan_handles_blank_names_and_suffix_case(spark, records, workdir):
     parsed = read_landing(spark, os.path.join(workdir, "landing"), shipped_contract().source_fields)
     got = {Path(r.source_path).name: r.status for r in parsed.collect()}
     assert got == {"with blank.json": "ok", "UPPER.JSON": "ok", "empty.json": "empty"}
+
+
+def test_listing_decodes_to_scan_paths(spark, records, workdir):
+    from pactline.sources.landing import listing, scan_files
+
+    for name in ("a+b.json", "sp ace%20ü.json", "empty.json"):
+        land(workdir, f"landing/{name}", b"" if name == "empty.json" else json.dumps(records[0]).encode())
+    files = scan_files(spark, os.path.join(workdir, "landing"))
+    listed = listing(files)
+    scanned = {r.path for r in files.select("path").collect()}
+    assert listed.count == 3
+    assert scanned < {r.source_path for r in listed.paths.collect()}

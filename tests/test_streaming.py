@@ -17,6 +17,7 @@ def test_two_runs_take_new_files_only(spark, records, workdir):
     ckpt = os.path.join(workdir, "_ckpt")
     land(workdir, "landing/a.json", records[0])
     land(workdir, "landing/bad.json", b"{oops")
+    land(workdir, "landing/empty.json", b"")
     results = []
     q = start_incremental(spark, cfg, ckpt, "run", now=NOW, results=results)
     q.awaitTermination()
@@ -27,4 +28,6 @@ def test_two_runs_take_new_files_only(spark, records, workdir):
     core = read_hive_parquet(spark, cfg.core_path)
     assert core.count() == 2
     assert sorted(r.ejecucion_id for r in core.collect()) == ["run-0", "run-1"]
+    # Zero-length files never reach a micro-batch: not reported, left in place.
     assert [(r.processed_files, r.skipped_count) for r in results] == [(1, 1), (1, 0)]
+    assert os.path.exists(os.path.join(workdir, "landing", "empty.json"))
