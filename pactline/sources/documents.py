@@ -95,6 +95,16 @@ def _status() -> Column:
     )
 
 
+def _status_and_record(status: Column) -> Column:
+    """``status`` and ``rec`` through a one-row generator.
+
+    A filter on a generator's output cannot be pushed below it, so a later
+    ``status = 'ok'`` (or ``<> 'ok'``) filter does not drag the parse into
+    a pushed-down predicate and evaluate it twice.
+    """
+    return F.inline(F.array(F.struct(status.alias("status"), F.when(_is_good(), _record()).alias("rec"))))
+
+
 def parse_documents(docs: DataFrame, fields: list[str], text_col: str = "text",
                     keep: tuple[str, ...] = ()) -> DataFrame:
     """``docs(source_path, <text_col>)`` -> ``(*keep, source_path, status, rec)``.
@@ -102,8 +112,7 @@ def parse_documents(docs: DataFrame, fields: list[str], text_col: str = "text",
     Narrow: projections only, no shuffle; runs inside the scan's stage.
     """
     lower = _with_parse(docs, F.col(text_col), fields, keep, F.col("source_path"))
-    return lower.select(*keep, "source_path", _status().alias("status"),
-                        F.when(_is_good(), _record()).alias("rec"))
+    return lower.select(*keep, "source_path", _status_and_record(_status()))
 
 
 def good_documents(docs: DataFrame, fields: list[str], text_col: str = "text",
@@ -128,5 +137,4 @@ def parse_binary_documents(files: DataFrame, fields: list[str]) -> DataFrame:
     lower = _with_parse(files.withColumn("_len", F.col("length")), F.col("content").cast("string"), fields,
                         ("_len",), F.col("path"))
     status = F.when(F.col("_len") == 0, F.lit(EMPTY)).otherwise(_status())
-    return lower.select("source_path", status.alias("status"),
-                        F.when(_is_good(), _record()).alias("rec"))
+    return lower.select("source_path", _status_and_record(status))
