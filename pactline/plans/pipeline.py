@@ -135,7 +135,8 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
         write_json_rows(ordered, cfg.requests_path)
     result.conversation_ids = stages.conversation_ids_count(mapped) if result.processed_files else 0
     if cfg.delete_sources and result.processed_files:
-        result.deleted_source_files = delete_paths(spark, stages.good(parsed).select("source_path"))
+        result.deleted_source_files = delete_paths(spark, stages.good(parsed).select("source_path"),
+                                                   base=cfg.landing_path)
     if cfg.manifest_path:
         write_json_document(spark, f"{cfg.manifest_path.rstrip('/')}/run_{ctx.run_id}.json",
                             {"run_id": ctx.run_id, "processed_at": ctx.now.isoformat(), **result.manifest()})

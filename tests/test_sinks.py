@@ -89,3 +89,13 @@ def test_delete_paths_removes_exactly_the_given_files(spark, workdir):
     paths = spark.createDataFrame([(f"file:{g}",) for g in gone] + [(f"file:{workdir}/missing.json",)], "source_path string")
     assert delete_paths(spark, paths) == 3
     assert keep.exists() and not any(g.exists() for g in gone)
+
+
+def test_delete_paths_with_a_base_folder(spark, workdir):
+    gone = [Path(workdir, "land", f"d{i}", "x.json") for i in range(5)]
+    for g in gone:
+        g.parent.mkdir(parents=True)
+        g.write_text("{}")
+    paths = spark.createDataFrame([(f"file:{g}",) for g in gone], "source_path string")
+    assert delete_paths(spark, paths, base=f"file:{workdir}/land") == 5
+    assert not any(g.exists() for g in gone)
