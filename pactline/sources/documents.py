@@ -95,14 +95,18 @@ def _status() -> Column:
     )
 
 
-def _status_and_record(status: Column) -> Column:
-    """``status`` and ``rec`` through a one-row generator.
+def _status_and_record(lower: DataFrame, keep: tuple[str, ...], status: Column) -> DataFrame:
+    """``(*keep, source_path, status, rec)``, passed through a one-row generator.
 
-    A filter on a generator's output cannot be pushed below it, so a later
-    ``status = 'ok'`` (or ``<> 'ok'``) filter does not drag the parse into
-    a pushed-down predicate and evaluate it twice.
+    Status and record are computed in a (code-generated) projection; the
+    generator only re-emits them. A filter on a generator's output cannot
+    be pushed below it, so a later ``status = 'ok'`` (or ``<> 'ok'``)
+    filter does not drag the parse into a pushed-down predicate.
     """
-    return F.inline(F.array(F.struct(status.alias("status"), F.when(_is_good(), _record()).alias("rec"))))
+    upper = lower.select(*keep, "source_path", status.alias("_status"),
+                         F.when(_is_good(), _record()).alias("_rec"))
+    fence = F.inline(F.array(F.struct(F.col("_status").alias("status"), F.col("_rec").alias("rec"))))
+    return upper.select(*keep, "source_path", fence)
 
 
 def parse_documents(docs: DataFrame, fields: list[str], text_col: str = "text",
@@ -112,7 +116,7 @@ def parse_documents(docs: DataFrame, fields: list[str], text_col: str = "text",
     Narrow: projections only, no shuffle; runs inside the scan's stage.
     """
     lower = _with_parse(docs, F.col(text_col), fields, keep, F.col("source_path"))
-    return lower.select(*keep, "source_path", _status_and_record(_status()))
+    return _status_and_record(lower, keep, _status())
 
 
 def good_documents(docs: DataFrame, fields: list[str], text_col: str = "text",
@@ -137,4 +141,4 @@ def parse_binary_documents(files: DataFrame, fields: list[str]) -> DataFrame:
     lower = _with_parse(files.withColumn("_len", F.col("length")), F.col("content").cast("string"), fields,
                         ("_len",), F.col("path"))
     status = F.when(F.col("_len") == 0, F.lit(EMPTY)).otherwise(_status())
-    return lower.select("source_path", _status_and_record(status))
+    return _status_and_record(lower, (), status)
