@@ -28,8 +28,15 @@ def order_directions(dedup: dict) -> list[tuple[str, bool]]:
     return [(c, i < len(order_type) and str(order_type[i]).lower() == "desc") for i, c in enumerate(order_by)]
 
 
-def sort_exprs(directions: list[tuple[str, bool]], tie_breakers: list[str]) -> list[Column]:
-    exprs = [F.col(c).desc_nulls_first() if desc else F.col(c).asc_nulls_last() for c, desc in directions]
+def _value(df: DataFrame, name: str) -> Column:
+    """A named column, or null when the frame has no such column (a record without the field)."""
+    return F.col(name) if name in df.columns else F.lit(None)
+
+
+def sort_exprs(df: DataFrame, directions: list[tuple[str, bool]], tie_breakers: list[str]) -> list[Column]:
+    """Order columns the frame lacks are null in every row and cannot change the order: dropped."""
+    exprs = [F.col(c).desc_nulls_first() if desc else F.col(c).asc_nulls_last() for c, desc in directions
+             if c in df.columns]
     return exprs + [F.col(c).asc_nulls_last() for c in tie_breakers]
 
 
@@ -40,6 +47,9 @@ def keep_best(df: DataFrame, dedup: dict | None, tie_breakers: tuple[str, ...] =
     keys = list(dedup.get("record_key", []))
     if not keys:
         return df
-    window = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*sort_exprs(order_directions(dedup), list(tie_breakers)))
+    # A key the records do not have is null for every row: all rows then form
+    # one group, which the map-side group limit keeps to one row per task.
+    window = Window.partitionBy(*[_value(df, k) for k in keys]).orderBy(
+        *sort_exprs(df, order_directions(dedup), list(tie_breakers)))
     rank = "__keep_rank"
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1).drop(rank)

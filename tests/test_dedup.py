@@ -95,3 +95,9 @@ def test_dedup_order_is_on_timestamps_not_text(spark, records):
     b = dict(records[0], exported_at="2026-08-17T00:30:00+00:00")  # earlier instant, larger text
     out = stages.deduped(mapped(spark, [a, b]), shipped_contract()).first()
     assert out.interaccion_fecha_fin == datetime(2026, 8, 17, 4, 59)
+
+
+def test_unknown_key_column_makes_one_group(spark):
+    df = _frame(spark, [("p2", "a", 1, None), ("p1", "b", 2, None), ("p3", "c", 9, None)])
+    out = keep_best(df, {"enabled": True, "record_key": ["nope"], "order_by": ["v", "also_nope"], "order_type": "desc"})
+    assert [r.source_path for r in out.collect()] == ["p3"]
