@@ -14,6 +14,7 @@ from pactline.plans.pipeline import BatchConfig, run_batch
 from pactline.plans.queries import CTX, NOW, RUN_ID, contract_core
 from pactline.session import apply_defaults, scratch_path
 from pactline.sinks.parquet import read_hive_parquet, write_hive_parquet
+from pactline.sources.landing import read_landing
 from pactline.sources.testdata import table, write_landing_files
 from pactline.streaming.incremental import start_incremental
 
@@ -75,9 +76,24 @@ def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([tuple(int(m[k]) for k in keys)], ", ".join(f"{k} bigint" for k in keys))
 
 
+# Fixed value: landed records written twice into their file (corrupt uploads).
+DOUBLED_RULE = "conv_id % 17 = 3"
+
+
+def landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed files (some holding two concatenated documents) through the real file scan."""
+    apply_defaults(spark)
+    root = scratch_path(spark, "quarantine")
+    landing = write_landing_files(spark, sf_dir, f"{root}/landing", doubled=F.expr(DOUBLED_RULE))
+    parsed = read_landing(spark, landing, shipped_contract().source_fields)
+    doc = F.regexp_extract("source_path", r"doc=(conv_[0-9]+)/", 1)
+    return parsed.select(doc.alias("doc"), "status", F.col("rec.trace_id").alias("trace_id"))
+
+
 QUERIES = {
     "partition_roundtrip": partition_roundtrip,
     "declared_types": declared_types,
     "incremental_ingest": incremental_ingest,
     "run_manifest": run_manifest,
+    "landing_quarantine": landing_quarantine,
 }

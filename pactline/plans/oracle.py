@@ -270,7 +270,7 @@ ORACLE.update(_ops_oracles())
 
 
 def _io_oracles() -> dict[str, str]:
-    from pactline.plans.io_queries import FILE_DEPENDENT
+    from pactline.plans.io_queries import DOUBLED_RULE, FILE_DEPENDENT
 
     date = f"'{NOW:%Y}' AS year, '{NOW:%m}' AS month, '{NOW:%d}' AS day"
     core_cols = [c for c in ("consumidor_tipo_id consumidor_id consumidor_nombre consumidor_apellido "
@@ -288,6 +288,11 @@ def _io_oracles() -> dict[str, str]:
         "declared_types": f"SELECT *, {date} FROM ({CONTRACT_CORE})",
         "incremental_ingest": f"""SELECT {', '.join(c for c in core_cols if c != 'ejecucion_id')},
                    '{RUN_ID}-0' AS ejecucion_id FROM ({CONTRACT_CORE})""",
+        "landing_quarantine": f"""WITH landing AS ({LANDING})
+            SELECT 'conv_' || lpad(cast(conv_id AS {S}), 8, '0') AS doc,
+                   CASE WHEN {DOUBLED_RULE} THEN 'invalid_json' ELSE 'ok' END AS status,
+                   CASE WHEN {DOUBLED_RULE} THEN NULL ELSE trace_id END AS trace_id
+            FROM landing""",
         "run_manifest": WITH + """
             SELECT (SELECT count(*) FROM landing) AS processed_files, cast(0 AS bigint) AS skipped_files,
                    (SELECT count(*) FROM deduped) AS core_rows, (SELECT 18 * count(*) FROM deduped) AS atts_rows,

@@ -77,19 +77,22 @@ def landing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recs.select("conv_id", "source_path", doc.alias("text"))
 
 
-def write_landing_files(spark: SparkSession, sf_dir: str, path: str) -> str:
+def write_landing_files(spark: SparkSession, sf_dir: str, path: str, doubled: Column | None = None) -> str:
     """Land every record as its own JSON document file below ``path``.
 
     One folder per record (``doc=conv_<id>/part-*.json``), each file holding
     exactly one JSON object; null fields are left out of the document.
-    Returns ``path``.
+    Records matching ``doubled`` are written twice into their file (two
+    concatenated documents: a corrupt upload). Returns ``path``.
     """
     recs = landing_records(spark, sf_dir)
+    if doubled is not None:
+        recs = recs.unionByName(recs.where(doubled))
     doc = F.concat(F.lit("conv_"), _pad(F.col("conv_id"), 8))
     # One file per record: spread the records over every core (a numbered
     # repartition is not coalesced by AQE into a single writer task).
     (recs.select(doc.alias("doc"), *DOCUMENT_FIELDS)
-     .repartition(spark.sparkContext.defaultParallelism)
+     .repartition(spark.sparkContext.defaultParallelism, "doc")
      .write.mode("errorifexists").partitionBy("doc")
      .json(path))
     return path
