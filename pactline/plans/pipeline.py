@@ -21,11 +21,12 @@ sources in place, and a re-run appends again.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from typing import Mapping
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pactline.contract import Contract
@@ -39,30 +40,37 @@ from pactline.sources.documents import parse_binary_documents
 from pactline.sources.landing import Listing, listing, missing_from_scan, scan_files
 
 
-def materialize(df: DataFrame, how: str = "table", name: str = "stage") -> DataFrame:
-    """Cut lineage once a frame feeds several branches.
+def materialize(df: DataFrame, how: str = "table", name: str = "stage",
+                metrics: list[Column] | None = None) -> tuple[DataFrame, dict]:
+    """Cut lineage once a frame feeds several branches; returns (frame, metrics).
 
     ``table`` (default): one pass writing Parquet below the shared
     ``spark.checkpoint.dir``, read back; survives executor loss without
     recomputation. ``checkpoint``: ``DataFrame.checkpoint`` into the same
     folder (computes its input twice). ``persist``: executor memory and
     disk (recomputed from the sources if an executor is lost). ``none``:
-    recompute per branch.
+    recompute per branch. ``metrics`` (aggregate Columns) are observed
+    during that same pass, so counting costs no extra job.
     """
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}") if metrics else None
+    src = df.observe(obs, *metrics) if obs else df
     if how == "table":
         path = scratch_path(df.sparkSession, name)
-        df.write.mode("errorifexists").parquet(path)
-        return df.sparkSession.read.parquet(path)
-    if how == "checkpoint":
+        src.write.mode("errorifexists").parquet(path)
+        out = df.sparkSession.read.parquet(path)
+    elif how == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    if how == "persist":
-        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = src.checkpoint(eager=True)
+    elif how == "persist":
+        out = src.persist(StorageLevel.MEMORY_AND_DISK)
         out.count()
-        return out
-    if how == "none":
-        return df
-    raise ValueError(f"unknown materialisation {how!r}")
+    elif how == "none":
+        out = df
+        if obs:
+            src.write.format("noop").mode("overwrite").save()
+    else:
+        raise ValueError(f"unknown materialisation {how!r}")
+    return out, (dict(obs.get) if obs else {})
 
 
 @dataclass
@@ -110,18 +118,19 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
     ``listed`` is the scan's file listing: files listed but absent from the
     scan are zero-length documents and join the quarantine as ``empty``.
     """
-    parsed = materialize(parsed, cfg.materialize, "parsed")
-    counts = {r["ok"]: r["n"] for r in parsed.groupBy((F.col("status") == F.lit(OK)).alias("ok")).count()
-              .withColumnRenamed("count", "n").collect()}
-    ok, bad = int(counts.get(True, 0)), int(counts.get(False, 0))
+    is_ok = F.col("status") == F.lit(OK)
+    parsed, counts = materialize(parsed, cfg.materialize, "parsed",
+                                 [F.count_if(is_ok).alias("ok"), F.count_if(~is_ok).alias("bad")])
+    ok, bad = int(counts.get("ok") or 0), int(counts.get("bad") or 0)
     skipped = stages.quarantine(parsed)
     if listed is not None and listed.count > ok + bad:
-        empties = materialize(missing_from_scan(listed, parsed), cfg.materialize, "empty")
-        bad += empties.count()
+        empties, n = materialize(missing_from_scan(listed, parsed), cfg.materialize, "empty",
+                                 [F.count(F.lit(1)).alias("n")])
+        bad += int(n.get("n") or 0)
         skipped = skipped.unionByName(empties.select("source_path", F.col("status").alias("reason")))
     result = BatchResult(processed_files=ok, skipped_count=bad, skipped_files=skipped)
     mapped = stages.mapped(stages.good(parsed).select("source_path", "rec"), cfg.contract, cfg.options)
-    deduped = materialize(stages.deduped(mapped, cfg.contract), cfg.materialize, "deduped")
+    deduped, _ = materialize(stages.deduped(mapped, cfg.contract), cfg.materialize, "deduped")
     core, atts = stages.outputs(deduped, cfg.contract, ctx)
     parts = cfg.contract.partition_by
     if result.processed_files:
