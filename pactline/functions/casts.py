@@ -14,7 +14,16 @@ from pactline.contract import COLUMN_TYPES
 
 
 def _cast(col: Column, spark_type: str, strict: bool) -> Column:
-    return col.cast(spark_type) if strict else col.try_cast(spark_type)
+    """Cast with ANSI rules; strict mode fails the query on a bad value.
+
+    The failure is explicit (``raise_error``), so it does not depend on the
+    session's ``spark.sql.ansi.enabled``.
+    """
+    value = col.try_cast(spark_type)
+    if not strict:
+        return value
+    message = F.concat(F.lit(f"cannot cast value to {spark_type}: "), col)
+    return F.when(col.isNotNull() & value.isNull(), F.raise_error(message).cast(spark_type)).otherwise(value)
 
 
 def to_utc_wall_clock(instant: Column) -> Column:
@@ -29,11 +38,11 @@ def parse_timestamp(text: Column, strict: bool = True, formats: list[str] | None
     the session time zone (pinned to UTC by the session builder). With
     ``formats``, each pattern is tried in order before the ISO cast.
     """
-    candidates = []
-    for fmt in formats or []:
-        candidates.append(F.try_to_timestamp(text, F.lit(fmt)))
-    iso = _cast(text, "timestamp", strict)
-    instant = F.coalesce(*candidates, iso) if candidates else iso
+    candidates = [F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats or []]
+    instant = F.coalesce(*candidates, text.try_cast("timestamp"))
+    if strict:
+        message = F.concat(F.lit("cannot cast value to timestamp: "), text)
+        instant = F.when(text.isNotNull() & instant.isNull(), F.raise_error(message).cast("timestamp")).otherwise(instant)
     return to_utc_wall_clock(instant)
 
 

@@ -17,6 +17,7 @@ class WriteResult:
     basename: str
     partition_cols: tuple[str, ...]
     rows: int
+    partitions: int = 0
 
 
 def processing_date_columns(instant: datetime) -> dict[str, str]:
@@ -42,19 +43,24 @@ def write_hive_parquet(df: DataFrame, path: str, partition_cols: list[str] | tup
       ``coalesce(1)``. File names carry the prefix and the processing
       second, plus Spark's task/job suffix, so a re-run never overwrites.
     * An empty frame writes no data file.
+    * Rows and (approximately counted) partition combinations are observed
+      during the write itself.
     """
     instant = instant or datetime.now(timezone.utc)
     cols = tuple(c for c in partition_cols if c in df.columns)
     dated = df.withColumns({k: F.lit(v) for k, v in processing_date_columns(instant).items()})
     obs = Observation(f"rows_{abs(hash((path, instant))) % 10**9}")
-    observed = dated.observe(obs, F.count(F.lit(1)).alias("rows"))
+    combos = F.approx_count_distinct(F.struct(*[F.col(c) for c in cols])) if cols else F.lit(1)
+    observed = dated.observe(obs, F.count(F.lit(1)).alias("rows"), combos.alias("partitions"))
     basename = file_basename(file_prefix, instant)
     (observed.write.mode(mode)
      .partitionBy(*cols, *DATE_PARTITIONS)
      .option("mapreduce.output.basename", basename)
      .parquet(path))
-    rows = int(obs.get.get("rows", 0)) if obs.get else 0
-    return WriteResult(path=path, basename=basename, partition_cols=cols, rows=rows)
+    metrics = obs.get or {}
+    rows = int(metrics.get("rows") or 0)
+    parts = int(metrics.get("partitions") or 0) if rows else 0
+    return WriteResult(path=path, basename=basename, partition_cols=cols, rows=rows, partitions=parts)
 
 
 def read_hive_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -107,3 +107,29 @@ def test_contract_types_are_declared(spark, records):
     assert types["conversacion_id"] == "string"
     assert types["mensajes"] == "string"
     assert len(shipped_contract().columns) + 1 == len(types)
+
+
+def test_strict_casts_fail_even_with_ansi_off(spark, records):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="cannot cast value to bigint: seven"):
+            mapped(spark, [dict(records[0], turns="seven")]).collect()
+        with pytest.raises(Exception, match="cannot cast value to timestamp"):
+            mapped(spark, [dict(records[0], started_at="yesterday")]).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_input_formats_are_tried_first_when_honored(spark, records):
+    import copy
+
+    from pactline.contract import load_contract
+
+    raw = copy.deepcopy(dict(shipped_contract().raw))
+    raw["columns"][7]["input_formats"] = ["dd/MM/yyyy HH:mm:ss XXX"]
+    contract = load_contract(raw)
+    rec = dict(records[0], started_at="16/08/2026 15:53:07 -05:00")
+    out = mapped(spark, [rec], contract=contract, opts=stages.Options(honor_input_formats=True)).first()
+    assert out.interaccion_fecha_inicio == datetime(2026, 8, 16, 20, 53, 7)
+    iso = mapped(spark, records[:1], contract=contract, opts=stages.Options(honor_input_formats=True)).first()
+    assert iso.interaccion_fecha_inicio == datetime(2026, 8, 16, 20, 53, 7)

@@ -24,7 +24,7 @@ def test_partitioned_layout_and_file_prefix(spark, records, workdir):
     out = os.path.join(workdir, "core")
     res = write_hive_parquet(_core(spark, records), out, shipped_contract().partition_by, NOW, "transcripciones")
     files = _files(out)
-    assert res.rows == 2 and files
+    assert res.rows == 2 and res.partitions == 1 and files
     for f in files:
         assert f.startswith("cliente_prefijo=BDO/operacion_prefijo=SAC/year=2026/month=08/day=21/transcripciones_20260821T153045Z")
 
