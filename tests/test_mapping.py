@@ -5,7 +5,6 @@ from datetime import datetime
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from pactline.contract import shipped_contract
 from pactline.functions.text import remove_accents_py
