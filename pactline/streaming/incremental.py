@@ -11,6 +11,11 @@ batch job while the checkpoint remembers which files were already taken.
 documents, which stay in place for investigation. Consumption of the good
 ones is the run's own consume-after-commit delete.
 
+Each finished batch leaves a marker under the checkpoint location; a batch
+that Spark re-delivers after a restart (offsets not committed yet) is
+skipped when its marker exists. A failure between the writes and the
+marker still re-runs the batch (at-least-once, as a batch run).
+
 Zero-length documents never reach a micro-batch (the file stream source
 plans no split for them), so incremental runs do not report them; like
 every unreadable document they are left in place. A batch run reports
@@ -28,10 +33,17 @@ from pyspark.sql.streaming import StreamingQuery
 from pactline.operators.audit import RunContext
 from pactline.plans.pipeline import BatchConfig, BatchResult, process_parsed
 from pactline.session import apply_defaults
+from pactline.sources.config import write_json_document
 from pactline.sources.documents import parse_binary_documents
 from pactline.sources.landing import BINARY_FILE_SCHEMA, JSON_GLOB, listing
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", JSON_GLOB)
@@ -49,10 +61,18 @@ def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint_location
     apply_defaults(spark)
     fields = cfg.contract.source_fields
 
+    done_root = f"{checkpoint_location.rstrip('/')}/_pactline_done"
+
     def each_batch(batch: DataFrame, batch_id: int) -> None:
+        # Batch ids are stable for a checkpoint: a batch re-delivered after a
+        # restart (its offsets not yet committed) is skipped once finished.
+        marker = f"{done_root}/{batch_id}.json"
+        if _exists(batch.sparkSession, marker):
+            return
         ctx = RunContext(run_id=f"{run_id}-{batch_id}", now=now or datetime.now(timezone.utc))
         parsed = parse_binary_documents(batch, fields)
         res = process_parsed(batch.sparkSession, replace(cfg), parsed, ctx, listing(batch))
+        write_json_document(batch.sparkSession, marker, {"batch_id": batch_id, "run_id": ctx.run_id, **res.manifest()})
         if results is not None:
             results.append(res)
 

@@ -31,3 +31,24 @@ def test_two_runs_take_new_files_only(spark, records, workdir):
     # Zero-length files never reach a micro-batch: not reported, left in place.
     assert [(r.processed_files, r.skipped_count) for r in results] == [(1, 1), (1, 0)]
     assert os.path.exists(os.path.join(workdir, "landing", "empty.json"))
+
+
+def test_finished_batch_is_not_processed_again(spark, records, workdir):
+    cfg = BatchConfig(contract=shipped_contract(), landing_path=os.path.join(workdir, "landing"),
+                      core_path=os.path.join(workdir, "core"), atts_path=os.path.join(workdir, "atts"),
+                      endpoints=shipped_endpoints())
+    ckpt = os.path.join(workdir, "_ckpt")
+    land(workdir, "landing/a.json", records[0])
+    q = start_incremental(spark, cfg, ckpt, "run", now=NOW)
+    q.awaitTermination()
+    assert os.path.exists(os.path.join(ckpt, "_pactline_done", "0.json"))
+    # Simulate a restart that re-delivers batch 0: drop its offset commit.
+    for name in ("0", ".0.crc"):
+        if os.path.exists(os.path.join(ckpt, "commits", name)):
+            os.remove(os.path.join(ckpt, "commits", name))
+    results = []
+    q = start_incremental(spark, cfg, ckpt, "run2", now=NOW, results=results)
+    q.awaitTermination()
+    assert os.path.exists(os.path.join(ckpt, "commits", "0"))  # batch 0 was delivered again...
+    assert results == []  # ...and skipped
+    assert read_hive_parquet(spark, cfg.core_path).count() == 1
