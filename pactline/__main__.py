@@ -70,7 +70,9 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         query.awaitTermination()
         summary = {"batches": [r.manifest() for r in results]}
     else:
-        summary = run_batch(spark, cfg).manifest()
+        result = run_batch(spark, cfg)
+        summary = result.manifest()
+        result.drop_stages(spark)
     print(json.dumps(summary, default=str))
     return summary
 

@@ -72,6 +72,7 @@ def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                       requests_path=f"{root}/requests", delete_sources=True)
     result = run_batch(spark, cfg, CTX)
     m = result.manifest()
+    result.drop_stages(spark)
     keys = ["processed_files", "skipped_files", "core_rows", "atts_rows", "conversation_ids", "deleted_source_files"]
     return spark.createDataFrame([tuple(int(m[k]) for k in keys)], ", ".join(f"{k} bigint" for k in keys))
 

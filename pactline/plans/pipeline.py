@@ -41,7 +41,7 @@ from pactline.sources.landing import Listing, listing, missing_from_scan, scan_f
 
 
 def materialize(df: DataFrame, how: str = "table", name: str = "stage",
-                metrics: list[Column] | None = None) -> tuple[DataFrame, dict]:
+                metrics: list[Column] | None = None, stages: list[str] | None = None) -> tuple[DataFrame, dict]:
     """Cut lineage once a frame feeds several branches; returns (frame, metrics).
 
     ``table`` (default): one pass writing Parquet below the shared
@@ -50,12 +50,15 @@ def materialize(df: DataFrame, how: str = "table", name: str = "stage",
     folder (computes its input twice). ``persist``: executor memory and
     disk (recomputed from the sources if an executor is lost). ``none``:
     recompute per branch. ``metrics`` (aggregate Columns) are observed
-    during that same pass, so counting costs no extra job.
+    during that same pass, so counting costs no extra job. Table paths are
+    appended to ``stages`` so the run can drop them when done.
     """
     obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}") if metrics else None
     src = df.observe(obs, *metrics) if obs else df
     if how == "table":
         path = scratch_path(df.sparkSession, name)
+        if stages is not None:
+            stages.append(path)
         src.write.mode("errorifexists").parquet(path)
         out = df.sparkSession.read.parquet(path)
     elif how == "checkpoint":
@@ -97,6 +100,16 @@ class BatchResult:
     requests: DataFrame | None = None
     conversation_ids: int = 0
     deleted_source_files: int = 0
+    stage_paths: list[str] = field(default_factory=list)
+
+    def drop_stages(self, spark: SparkSession) -> None:
+        """Delete the run's staging tables (the returned lazy frames read them)."""
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.stage_paths:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+        self.stage_paths = []
 
     def manifest(self) -> dict:
         return {
@@ -119,18 +132,19 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
     scan are zero-length documents and join the quarantine as ``empty``.
     """
     is_ok = F.col("status") == F.lit(OK)
+    stage_paths: list[str] = []
     parsed, counts = materialize(parsed, cfg.materialize, "parsed",
-                                 [F.count_if(is_ok).alias("ok"), F.count_if(~is_ok).alias("bad")])
+                                 [F.count_if(is_ok).alias("ok"), F.count_if(~is_ok).alias("bad")], stage_paths)
     ok, bad = int(counts.get("ok") or 0), int(counts.get("bad") or 0)
     skipped = stages.quarantine(parsed)
     if listed is not None and listed.count > ok + bad:
         empties, n = materialize(missing_from_scan(listed, parsed), cfg.materialize, "empty",
-                                 [F.count(F.lit(1)).alias("n")])
+                                 [F.count(F.lit(1)).alias("n")], stage_paths)
         bad += int(n.get("n") or 0)
         skipped = skipped.unionByName(empties.select("source_path", F.col("status").alias("reason")))
-    result = BatchResult(processed_files=ok, skipped_count=bad, skipped_files=skipped)
+    result = BatchResult(processed_files=ok, skipped_count=bad, skipped_files=skipped, stage_paths=stage_paths)
     mapped = stages.mapped(stages.good(parsed).select("source_path", "rec"), cfg.contract, cfg.options)
-    deduped, _ = materialize(stages.deduped(mapped, cfg.contract), cfg.materialize, "deduped")
+    deduped, _ = materialize(stages.deduped(mapped, cfg.contract), cfg.materialize, "deduped", stages=stage_paths)
     core, atts = stages.outputs(deduped, cfg.contract, ctx)
     parts = cfg.contract.partition_by
     if result.processed_files:

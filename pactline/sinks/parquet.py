@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -49,7 +50,7 @@ def write_hive_parquet(df: DataFrame, path: str, partition_cols: list[str] | tup
     instant = instant or datetime.now(timezone.utc)
     cols = tuple(c for c in partition_cols if c in df.columns)
     dated = df.withColumns({k: F.lit(v) for k, v in processing_date_columns(instant).items()})
-    obs = Observation(f"rows_{abs(hash((path, instant))) % 10**9}")
+    obs = Observation(f"write_{uuid.uuid4().hex}")
     combos = F.approx_count_distinct(F.struct(*[F.col(c) for c in cols])) if cols else F.lit(1)
     observed = dated.observe(obs, F.count(F.lit(1)).alias("rows"), combos.alias("partitions"))
     basename = file_basename(file_prefix, instant)

@@ -56,7 +56,7 @@ def landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
 def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint_location: str, run_id: str,
                       now: datetime | None = None, available_now: bool = True,
                       max_files_per_trigger: int | None = None,
-                      results: list[BatchResult] | None = None) -> StreamingQuery:
+                      results: list[BatchResult] | None = None, keep_stages: bool = False) -> StreamingQuery:
     """Start the incremental ingest; returns the running query."""
     apply_defaults(spark)
     fields = cfg.contract.source_fields
@@ -73,6 +73,8 @@ def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint_location
         parsed = parse_binary_documents(batch, fields)
         res = process_parsed(batch.sparkSession, replace(cfg), parsed, ctx, listing(batch))
         write_json_document(batch.sparkSession, marker, {"batch_id": batch_id, "run_id": ctx.run_id, **res.manifest()})
+        if not keep_stages:
+            res.drop_stages(batch.sparkSession)
         if results is not None:
             results.append(res)
 
