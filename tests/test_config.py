@@ -42,3 +42,12 @@ def test_manifest_and_sorted_requests(spark, records, workdir):
     assert manifest["processed_files"] == 2 and manifest["core_rows"] == 2 and manifest["atts_rows"] == 36
     lines = [json.loads(line) for f in sorted(Path(workdir, "req").glob("part-*.json")) for line in f.read_text().splitlines()]
     assert [r["conversation_id"] for r in lines] == sorted(r["conversation_id"] for r in lines)
+
+
+def test_json_document_round_trip(spark, workdir):
+    from pactline.sources.config import write_json_document
+
+    target = f"file:{workdir}/some/key.json"
+    write_json_document(spark, target, {"a": 1, "b": "x", "ñ": [True, None]})
+    assert read_json_document(spark, target) == {"a": 1, "b": "x", "ñ": [True, None]}
+    assert "ñ" in Path(workdir, "some/key.json").read_text(encoding="utf-8")  # not ASCII-escaped
