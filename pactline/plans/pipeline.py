@@ -10,7 +10,8 @@ Plan shape (one run):
   record key, pre-trimmed map side). The deduplicated frame is
   materialised too: two outputs branch from it.
 * core and atts are projections / a generator of that frame: no shuffle.
-* ids: ``distinct`` (partial aggregation, then one small shuffle).
+* ids: ``distinct`` (partial aggregation, then one small shuffle),
+  materialized once with its count; the request rows are built from it.
 
 Failure semantics: a strict cast error fails the run before anything is
 written. Sources are deleted only after both outputs and the request rows
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from pactline.contract import Contract
 from pactline.operators.audit import RunContext
+from pactline.operators.requests import build_requests, conversation_ids
 from pactline.plans import stages
 from pactline.session import apply_defaults, ensure_checkpoint_dir, scratch_path
 from pactline.sources.config import write_json_document
@@ -150,13 +152,16 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
     if result.processed_files:
         result.core = write_hive_parquet(core, cfg.core_path, parts, ctx.now, cfg.contract.output_file_prefix("output_core"))
         result.atts = write_hive_parquet(atts, cfg.atts_path, parts, ctx.now, cfg.contract.output_file_prefix("output_atts"))
-    requests = stages.requests(mapped, cfg.endpoints)
+    ids = conversation_ids(mapped)
+    if result.processed_files:
+        ids, id_counts = materialize(ids, cfg.materialize, "ids", [F.count(F.lit(1)).alias("n")], stage_paths)
+        result.conversation_ids = int(id_counts.get("n") or 0)
+    requests = build_requests(ids, cfg.endpoints)
     result.requests = requests
     if cfg.requests_path and result.processed_files:
         # Endpoint-major, ids ascending: a range-partitioned sort, no single task.
         ordered = requests.orderBy("endpoint_order", "conversation_id").drop("endpoint_order")
         write_json_rows(ordered, cfg.requests_path)
-    result.conversation_ids = stages.conversation_ids_count(mapped) if result.processed_files else 0
     if cfg.delete_sources and result.processed_files:
         result.deleted_source_files = delete_paths(spark, stages.good(parsed).select("source_path"),
                                                    base=cfg.landing_path)

@@ -71,6 +71,3 @@ def outputs(deduped_df: DataFrame, contract: Contract, ctx: RunContext) -> tuple
 def requests(mapped_df: DataFrame, endpoints: Mapping[str, Mapping]) -> DataFrame:
     return build_requests(conversation_ids(mapped_df), endpoints)
 
-
-def conversation_ids_count(mapped_df: DataFrame) -> int:
-    return conversation_ids(mapped_df).count()
