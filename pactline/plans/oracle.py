@@ -303,3 +303,17 @@ def _io_oracles() -> dict[str, str]:
 
 
 ORACLE.update(_io_oracles())
+
+
+def _skew_oracles() -> dict[str, str]:
+    from pactline.plans.queries import HOT_RULE
+    from pactline.sources.testdata import HOT_TRACE_ID
+
+    hot_landing = f"SELECT * REPLACE (CASE WHEN {HOT_RULE} THEN '{HOT_TRACE_ID}' ELSE trace_id END AS trace_id) FROM ({LANDING})"
+    return {
+        "dedup_hot_key": f"""WITH landing AS ({hot_landing}), mapped AS ({MAPPED}), deduped AS ({DEDUPED})
+            SELECT source_path, interaccion_id, interaccion_fecha_fin, consumidor_nombre FROM deduped""",
+    }
+
+
+ORACLE.update(_skew_oracles())

@@ -56,6 +56,19 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed value: the records that share one dedup key in ``dedup_hot_key``.
+HOT_RULE = "conv_id % 3 = 0"
+
+
+def dedup_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep-latest when one key holds a third of all records (skew)."""
+    apply_defaults(spark)
+    contract = shipped_contract()
+    docs = landing_documents(spark, sf_dir, hot_key=F.expr(HOT_RULE))
+    deduped = stages.deduped(stages.mapped(stages.good_docs(docs, contract), contract), contract)
+    return deduped.select("source_path", "interaccion_id", "interaccion_fecha_fin", "consumidor_nombre")
+
+
 def distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pactline.operators.requests import conversation_ids
 
@@ -71,6 +84,7 @@ QUERIES = {
     "contract_core": contract_core,
     "contract_atts": contract_atts,
     "dedup_latest": dedup_latest,
+    "dedup_hot_key": dedup_hot_key,
     "distinct_ids": distinct_ids,
     "request_fanout": request_fanout,
 }

@@ -60,19 +60,25 @@ def landing_records(spark: SparkSession, sf_dir: str, with_messages: bool = True
     return g.select(*cols)
 
 
+# Fixed value: the shared trace id of the skewed records.
+HOT_TRACE_ID = "ffffffffffffffffffffffffffffffff"
+
 DOCUMENT_FIELDS = (
     "tenant_id", "client_dni", "client_dni_type", "genesys_cloud_id", "trace_id", "interaction_result",
     "started_at", "exported_at", "turns", "messages", "person_type", "client_name", "client_last_name",
 )
 
 
-def landing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landing_documents(spark: SparkSession, sf_dir: str, hot_key: Column | None = None) -> DataFrame:
     """``(source_path, text)``: each record as one JSON object document.
 
     ``interaction_result`` is left out of the document when null (an
-    absent field), like a source that omits empty fields.
+    absent field), like a source that omits empty fields. Records matching
+    ``hot_key`` all carry the same trace id (a skewed dedup key).
     """
     recs = landing_records(spark, sf_dir)
+    if hot_key is not None:
+        recs = recs.withColumn("trace_id", F.when(hot_key, F.lit(HOT_TRACE_ID)).otherwise(F.col("trace_id")))
     doc = F.to_json(F.struct(*[F.col(c) for c in DOCUMENT_FIELDS]))
     return recs.select("conv_id", "source_path", doc.alias("text"))
 
