@@ -35,10 +35,9 @@ from pactline.operators.audit import RunContext
 from pactline.operators.requests import build_requests, conversation_ids
 from pactline.plans import stages
 from pactline.session import apply_defaults, ensure_checkpoint_dir, scratch_path
-from pactline.sources.config import write_json_document
 from pactline.sinks.parquet import WriteResult, delete_paths, write_hive_parquet, write_json_rows
-from pactline.sources.documents import OK
-from pactline.sources.documents import parse_binary_documents
+from pactline.sources.config import write_json_document
+from pactline.sources.documents import OK, parse_binary_documents
 from pactline.sources.landing import Listing, listing, missing_from_scan, scan_files
 
 
@@ -146,10 +145,10 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
         skipped = skipped.unionByName(empties.select("source_path", F.col("status").alias("reason")))
     result = BatchResult(processed_files=ok, skipped_count=bad, skipped_files=skipped, stage_paths=stage_paths)
     mapped = stages.mapped(stages.good(parsed).select("source_path", "rec"), cfg.contract, cfg.options)
-    deduped, _ = materialize(stages.deduped(mapped, cfg.contract), cfg.materialize, "deduped", stages=stage_paths)
-    core, atts = stages.outputs(deduped, cfg.contract, ctx)
-    parts = cfg.contract.partition_by
     if result.processed_files:
+        deduped, _ = materialize(stages.deduped(mapped, cfg.contract), cfg.materialize, "deduped", stages=stage_paths)
+        core, atts = stages.outputs(deduped, cfg.contract, ctx)
+        parts = cfg.contract.partition_by
         result.core = write_hive_parquet(core, cfg.core_path, parts, ctx.now, cfg.contract.output_file_prefix("output_core"))
         result.atts = write_hive_parquet(atts, cfg.atts_path, parts, ctx.now, cfg.contract.output_file_prefix("output_atts"))
     ids = conversation_ids(mapped)
