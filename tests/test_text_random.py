@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from pactline.functions.text import PY_WHITESPACE, remove_accents, remove_accents_py, trim_ws, upper_full
 
-# Code points the JVM case-maps under a newer Unicode version than Python's.
+# Code points of the sampled range that the JVM case-maps under a newer
+# Unicode version than Python's (27 in all, all from Unicode 16).
 UNICODE_VERSION_CASE_DIFFS = {"ƛ", "ɤ", "ᲊ"}
 
 
