@@ -12,6 +12,8 @@ Plan shape (one run):
 * core and atts are projections / a generator of that frame: no shuffle.
 * ids: ``distinct`` (partial aggregation, then one small shuffle),
   materialized once with its count; the request rows are built from it.
+* the two output writes and the ids/requests chain are independent jobs,
+  submitted concurrently.
 
 Failure semantics: a strict cast error fails the run before anything is
 written. Sources are deleted only after both outputs and the request rows
@@ -145,22 +147,34 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
         skipped = skipped.unionByName(empties.select("source_path", F.col("status").alias("reason")))
     result = BatchResult(processed_files=ok, skipped_count=bad, skipped_files=skipped, stage_paths=stage_paths)
     mapped = stages.mapped(stages.good(parsed).select("source_path", "rec"), cfg.contract, cfg.options)
+    ids = conversation_ids(mapped)
     if result.processed_files:
         deduped, _ = materialize(stages.deduped(mapped, cfg.contract), cfg.materialize, "deduped", stages=stage_paths)
         core, atts = stages.outputs(deduped, cfg.contract, ctx)
         parts = cfg.contract.partition_by
-        result.core = write_hive_parquet(core, cfg.core_path, parts, ctx.now, cfg.contract.output_file_prefix("output_core"))
-        result.atts = write_hive_parquet(atts, cfg.atts_path, parts, ctx.now, cfg.contract.output_file_prefix("output_atts"))
-    ids = conversation_ids(mapped)
-    if result.processed_files:
-        ids, id_counts = materialize(ids, cfg.materialize, "ids", [F.count(F.lit(1)).alias("n")], stage_paths)
-        result.conversation_ids = int(id_counts.get("n") or 0)
-    requests = build_requests(ids, cfg.endpoints)
-    result.requests = requests
-    if cfg.requests_path and result.processed_files:
-        # Endpoint-major, ids ascending: a range-partitioned sort, no single task.
-        ordered = requests.orderBy("endpoint_order", "conversation_id").drop("endpoint_order")
-        write_json_rows(ordered, cfg.requests_path)
+
+        def write_core() -> None:
+            result.core = write_hive_parquet(core, cfg.core_path, parts, ctx.now,
+                                             cfg.contract.output_file_prefix("output_core"))
+
+        def write_atts() -> None:
+            result.atts = write_hive_parquet(atts, cfg.atts_path, parts, ctx.now,
+                                             cfg.contract.output_file_prefix("output_atts"))
+
+        def ids_and_requests() -> None:
+            staged, id_counts = materialize(ids, cfg.materialize, "ids", [F.count(F.lit(1)).alias("n")], stage_paths)
+            result.conversation_ids = int(id_counts.get("n") or 0)
+            result.requests = build_requests(staged, cfg.endpoints)
+            if cfg.requests_path:
+                # Endpoint-major, ids ascending: a range-partitioned sort, no single task.
+                ordered = result.requests.orderBy("endpoint_order", "conversation_id").drop("endpoint_order")
+                write_json_rows(ordered, cfg.requests_path)
+
+        # Independent jobs over materialized tables, submitted together so
+        # their tails overlap; any failure is raised before sources are touched.
+        run_concurrently([write_core, write_atts, ids_and_requests])
+    else:
+        result.requests = build_requests(ids, cfg.endpoints)
     if cfg.delete_sources and result.processed_files:
         result.deleted_source_files = delete_paths(spark, stages.good(parsed).select("source_path"),
                                                    base=cfg.landing_path)
@@ -170,6 +184,16 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
     return result
 
 
+def run_concurrently(jobs: list) -> None:
+    """Run driver-side job submissions in parallel threads; re-raise the first failure."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(job) for job in jobs]
+    for f in futures:
+        f.result()
+
+
 def run_batch(spark: SparkSession, cfg: BatchConfig, ctx: RunContext | None = None) -> BatchResult:
     """One batch run over everything that has landed below ``cfg.landing_path``."""
     apply_defaults(spark)
