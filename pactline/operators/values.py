@@ -80,6 +80,8 @@ class Val:
             if ctype == "timestamp":
                 return _literal_timestamp(self.value)
             if ctype == "integer":
+                if isinstance(self.value, (bool, int)):
+                    return F.lit(int(self.value)).cast("bigint")
                 return F.lit(written_text(self.value)).cast("bigint")
             return F.lit(written_text(self.value))
         if ctype == self.ctype or (ctype in ("string", "json") and self.ctype in ("string", "json")):
