@@ -16,10 +16,10 @@ that Spark re-delivers after a restart (offsets not committed yet) is
 skipped when its marker exists. A failure between the writes and the
 marker still re-runs the batch (at-least-once, as a batch run).
 
-Zero-length documents never reach a micro-batch (the file stream source
-plans no split for them), so incremental runs do not report them; like
-every unreadable document they are left in place. A batch run reports
-them as ``empty``.
+Zero-length documents never reach a micro-batch (no split is planned for
+them, and the micro-batch frame carries no file listing to compare with),
+so incremental runs do not report them; like every unreadable document
+they are left in place. A batch run reports them as ``empty``.
 """
 
 from __future__ import annotations
