@@ -46,8 +46,10 @@ def apply_defaults(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster it is set by the deployment and only read here. When it is
-    unset (local runs and tests) a fresh local folder is set instead.
+    On a cluster it is set by the deployment and only read here; a cluster
+    session without it is refused (a machine-local folder would be a
+    different folder on every executor). In local mode (tests) an unset
+    folder is replaced by a fresh local one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -55,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder (staging tables are written there)")
     local = tempfile.mkdtemp(prefix="pactline-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
