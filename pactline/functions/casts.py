@@ -13,17 +13,23 @@ from pyspark.sql import functions as F
 from pactline.contract import COLUMN_TYPES
 
 
-def _cast(col: Column, spark_type: str, strict: bool) -> Column:
-    """Cast with ANSI rules; strict mode fails the query on a bad value.
+def parse_integer(text: Column, strict: bool = True) -> Column:
+    """JSON text -> BIGINT, as ``int()`` treats a parsed JSON value.
 
-    The failure is explicit (``raise_error``), so it does not depend on the
-    session's ``spark.sql.ansi.enabled``.
+    Integers as they are; numbers with a fraction or exponent truncated
+    toward zero (``int(7.9) == 7``); ``true``/``false`` as 1/0. The parsed
+    text cannot tell ``7.0`` from ``"7.0"``, so the quoted forms are
+    accepted too (where the original would stop the run).
     """
-    value = col.try_cast(spark_type)
+    value = F.coalesce(
+        text.try_cast("bigint"),
+        text.try_cast("decimal(38,9)").try_cast("bigint"),
+        F.when(text == F.lit("true"), F.lit(1).cast("bigint")).when(text == F.lit("false"), F.lit(0).cast("bigint")),
+    )
     if not strict:
         return value
-    message = F.concat(F.lit(f"cannot cast value to {spark_type}: "), col)
-    return F.when(col.isNotNull() & value.isNull(), F.raise_error(message).cast(spark_type)).otherwise(value)
+    message = F.concat(F.lit("cannot cast value to bigint: "), text)
+    return F.when(text.isNotNull() & value.isNull(), F.raise_error(message).cast("bigint")).otherwise(value)
 
 
 def to_utc_wall_clock(instant: Column) -> Column:
@@ -51,7 +57,7 @@ def cast_declared(text: Column, col_type: str, strict: bool = True, formats: lis
     if col_type in ("string", "json"):
         return text
     if col_type == "integer":
-        return _cast(text, "bigint", strict)
+        return parse_integer(text, strict)
     if col_type == "timestamp":
         return parse_timestamp(text, strict, formats)
     raise ValueError(f"unsupported column type {col_type!r}")

@@ -132,3 +132,9 @@ def test_input_formats_are_tried_first_when_honored(spark, records):
     assert out.interaccion_fecha_inicio == datetime(2026, 8, 16, 20, 53, 7)
     iso = mapped(spark, records[:1], contract=contract, opts=stages.Options(honor_input_formats=True)).first()
     assert iso.interaccion_fecha_inicio == datetime(2026, 8, 16, 20, 53, 7)
+
+
+@pytest.mark.parametrize("turns,expected", [(7, 7), (7.0, 7), (7.9, 7), (-3.5, -3), (1e3, 1000), (True, 1),
+                                            (" 7 ", 7), ("12", 12)])
+def test_integer_cast_follows_int_of_the_json_value(spark, records, turns, expected):
+    assert mapped(spark, [dict(records[0], turns=turns)]).first().interaccion_turnos == expected
