@@ -86,7 +86,9 @@ def remove_accents(col: Column, mode: str = "native") -> Column:
     if mode != "native":
         raise ValueError(f"unknown accents mode {mode!r}")
     matching, replace, _ = accent_table()
-    return F.translate(col, matching, replace)
+    # ASCII text (as many bytes as characters) has nothing to remove: skip
+    # the per-character table lookups.
+    return F.when(F.octet_length(col) == F.length(col), col).otherwise(F.translate(col, matching, replace))
 
 
 @F.pandas_udf(StringType())
