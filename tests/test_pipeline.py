@@ -99,3 +99,26 @@ def test_listing_decodes_to_scan_paths(spark, records, workdir):
     scanned = {r.path for r in files.select("path").collect()}
     assert listed.count == 3
     assert scanned < {r.source_path for r in listed.paths.collect()}
+
+
+def test_cast_error_fails_before_anything_is_written(spark, records, workdir):
+    import pytest
+
+    land(workdir, "landing/a.json", records[0])
+    land(workdir, "landing/b.json", dict(records[1], turns="seven"))
+    cfg = _cfg(workdir, delete_sources=True, requests_path=os.path.join(workdir, "requests"))
+    with pytest.raises(Exception, match="cannot cast value to bigint: seven"):
+        run_batch(spark, cfg, CTX)
+    assert not os.path.exists(os.path.join(workdir, "core"))
+    assert not os.path.exists(os.path.join(workdir, "atts"))
+    assert not os.path.exists(os.path.join(workdir, "requests"))
+    assert _remaining(workdir) == ["a.json", "b.json"]
+
+
+def test_lenient_casts_write_null(spark, records, workdir):
+    from pactline.plans.stages import Options
+
+    land(workdir, "landing/b.json", dict(records[1], turns="seven"))
+    res = run_batch(spark, _cfg(workdir, options=Options(strict_casts=False)), CTX)
+    assert res.processed_files == 1
+    assert read_hive_parquet(spark, os.path.join(workdir, "core")).first().interaccion_turnos is None
