@@ -8,12 +8,19 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Applied only where the deployment (spark-submit --conf, spark-defaults)
+# has not set a value.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Output and shuffle partitions of ~256 MB; pack small documents into
+    # scan tasks (an open costs about as much as reading 1 MB).
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.files.openCostInBytes": "1m",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -22,11 +29,15 @@ DEFAULTS = {
 
 def build_session(master: str | None = None, app: str = "pactline", shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
+    from pyspark import SparkConf
+
+    deployed = SparkConf()  # what spark-submit / spark-defaults already set
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in DEFAULTS.items():
-        builder = builder.config(key, value)
+        if not deployed.contains(key):
+            builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
