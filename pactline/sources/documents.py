@@ -17,6 +17,7 @@ EMPTY = "empty"
 INVALID_UTF8 = "invalid_utf8"
 INVALID_JSON = "invalid_json"
 NOT_OBJECT = "not_object"
+TOO_LARGE = "too_large"
 
 # Strict JSON: no single quotes, no comments, no unquoted names, no
 # leading zeros, no raw control characters (Spark defaults differ on the
@@ -136,13 +137,23 @@ def good_documents(docs: DataFrame, fields: list[str], text_col: str = "text",
     return lower.select(*keep, "source_path", F.explode(one).alias("rec"))
 
 
-def parse_binary_documents(files: DataFrame, fields: list[str]) -> DataFrame:
+def parse_binary_documents(files: DataFrame, fields: list[str], max_bytes: int | None = None) -> DataFrame:
     """``binaryFile`` rows ``(path, length, content)`` -> ``(source_path, status, rec)``.
 
     Zero-length files never reach a ``binaryFile`` scan; see
-    ``landing.missing_from_scan``.
+    ``landing.missing_from_scan``. With ``max_bytes``, larger files are not
+    read at all (the ``length`` filter is evaluated by the file source before
+    it loads content) and are reported as ``too_large`` instead of failing
+    the scan.
     """
-    lower = _with_parse(files.withColumn("_len", F.col("length")), F.col("content").cast("string"), fields,
+    readable = files if max_bytes is None else files.where(F.col("length") <= F.lit(max_bytes))
+    lower = _with_parse(readable.withColumn("_len", F.col("length")), F.col("content").cast("string"), fields,
                         ("_len",), F.col("path"))
     status = F.when(F.col("_len") == 0, F.lit(EMPTY)).otherwise(_status())
-    return _status_and_record(lower, (), status)
+    parsed = _status_and_record(lower, (), status)
+    if max_bytes is None:
+        return parsed
+    oversized = files.where(F.col("length") > F.lit(max_bytes)).select(
+        F.col("path").alias("source_path"), F.lit(TOO_LARGE).alias("status"),
+        F.lit(None).cast(parsed.schema["rec"].dataType).alias("rec"))
+    return parsed.unionByName(oversized)

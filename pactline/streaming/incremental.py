@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from pactline.operators.audit import RunContext
-from pactline.plans.pipeline import BatchConfig, BatchResult, process_parsed
+from pactline.plans.pipeline import BatchConfig, BatchResult, document_limit, process_parsed
 from pactline.session import apply_defaults
 from pactline.sources.config import write_json_document
 from pactline.sources.documents import parse_binary_documents
@@ -70,7 +70,7 @@ def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint_location
         if _exists(batch.sparkSession, marker):
             return
         ctx = RunContext(run_id=f"{run_id}-{batch_id}", now=now or datetime.now(timezone.utc))
-        parsed = parse_binary_documents(batch, fields)
+        parsed = parse_binary_documents(batch, fields, document_limit(batch.sparkSession, cfg))
         res = process_parsed(batch.sparkSession, replace(cfg), parsed, ctx, listing(batch))
         write_json_document(batch.sparkSession, marker, {"batch_id": batch_id, "run_id": ctx.run_id, **res.manifest()})
         if not keep_stages:

@@ -122,3 +122,23 @@ def test_lenient_casts_write_null(spark, records, workdir):
     res = run_batch(spark, _cfg(workdir, options=Options(strict_casts=False)), CTX)
     assert res.processed_files == 1
     assert read_hive_parquet(spark, os.path.join(workdir, "core")).first().interaccion_turnos is None
+
+
+def test_oversized_documents_are_quarantined_not_read(spark, records, workdir):
+    land(workdir, "landing/small.json", {"trace_id": "s"})
+    land(workdir, "landing/big.json", records[0])
+    res = run_batch(spark, _cfg(workdir, max_document_bytes=200, delete_sources=True), CTX)
+    assert (res.processed_files, res.skipped_count) == (1, 1)
+    assert {Path(r.source_path).name: r.reason for r in res.skipped_files.collect()} == {"big.json": "too_large"}
+    assert _remaining(workdir) == ["big.json"]
+
+
+def test_length_filter_reaches_the_file_source(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from pactline.sources.landing import scan_files
+
+    land(workdir, "landing/a.json", {"a": 1})
+    plan = scan_files(spark, os.path.join(workdir, "landing")).where(F.col("length") <= 10) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(length), LessThanOrEqual(length,10)]" in plan
