@@ -24,7 +24,11 @@ from pactline.sources.config import read_contract, read_endpoints
 def build_config(spark, args) -> BatchConfig:
     contract = read_contract(spark, args.contract)
     loc = Locations(prefix=args.env_prefix, root=args.root)
-    endpoints = read_endpoints(spark, loc.resolve(args.resources), args.api_index) if args.api_index else {}
+
+    def endpoints() -> dict:
+        # Loaded only once a run has documents (an empty landing folder reads no configuration).
+        return read_endpoints(spark, loc.resolve(args.resources), args.api_index) if args.api_index else {}
+
     return BatchConfig(
         contract=contract,
         landing_path=loc.path(contract.source_location, contract.source_prefix),

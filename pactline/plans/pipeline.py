@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, field
-from typing import Mapping
+from typing import Callable, Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -85,7 +85,9 @@ class BatchConfig:
     landing_path: str
     core_path: str
     atts_path: str
-    endpoints: Mapping[str, Mapping] = field(default_factory=dict)
+    # The endpoint table, or a function loading it (called only when a run
+    # has documents to build requests for).
+    endpoints: Mapping[str, Mapping] | Callable[[], Mapping[str, Mapping]] = field(default_factory=dict)
     requests_path: str | None = None
     delete_sources: bool = False
     options: stages.Options = field(default_factory=stages.Options)
@@ -152,6 +154,7 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
     result = BatchResult(processed_files=ok, skipped_count=bad, skipped_files=skipped, stage_paths=stage_paths)
     mapped = stages.mapped(stages.good(parsed).select("source_path", "rec"), cfg.contract, cfg.options)
     ids = conversation_ids(mapped)
+    endpoints = cfg.endpoints() if callable(cfg.endpoints) else cfg.endpoints
     if result.processed_files:
         deduped, _ = materialize(stages.deduped(mapped, cfg.contract), cfg.materialize, "deduped", stages=stage_paths)
         core, atts = stages.outputs(deduped, cfg.contract, ctx)
@@ -168,7 +171,7 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
         def ids_and_requests() -> None:
             staged, id_counts = materialize(ids, cfg.materialize, "ids", [F.count(F.lit(1)).alias("n")], stage_paths)
             result.conversation_ids = int(id_counts.get("n") or 0)
-            result.requests = build_requests(staged, cfg.endpoints)
+            result.requests = build_requests(staged, endpoints)
             if cfg.requests_path:
                 # Endpoint-major, ids ascending: a range-partitioned sort, no single task.
                 ordered = result.requests.orderBy("endpoint_order", "conversation_id").drop("endpoint_order")
@@ -178,7 +181,7 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
         # their tails overlap; any failure is raised before sources are touched.
         run_concurrently([write_core, write_atts, ids_and_requests])
     else:
-        result.requests = build_requests(ids, cfg.endpoints)
+        result.requests = build_requests(ids, endpoints)
     if cfg.delete_sources and result.processed_files:
         result.deleted_source_files = delete_paths(spark, stages.good(parsed).select("source_path"),
                                                    base=cfg.landing_path)
