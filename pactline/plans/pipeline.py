@@ -2,13 +2,14 @@
 
 Plan shape (one run):
 
-* stage 1 (narrow): ``binaryFile`` scan -> strict parse -> status. The
-  parsed frame is materialised once (a Parquet table below the shared
-  ``spark.checkpoint.dir`` by default), because it feeds the good path,
-  the quarantine report, the ids and the delete list.
-* stage 2: map/cast/clean (narrow) -> keep-best window (one shuffle on the
-  record key, pre-trimmed map side). The deduplicated frame is
-  materialised too: two outputs branch from it.
+* stage 1 (narrow): ``binaryFile`` scan -> strict parse -> status ->
+  map/cast/clean. This staged frame (typed business columns next to the
+  status) is materialised once (a Parquet table below the shared
+  ``spark.checkpoint.dir`` by default), because it feeds the dedup, the
+  quarantine report, the ids and the delete list.
+* stage 2: keep-best window (one shuffle on the record key, pre-trimmed
+  map side). The deduplicated frame is materialised too: two outputs
+  branch from it.
 * core and atts are projections / a generator of that frame: no shuffle.
 * ids: ``distinct`` (partial aggregation, then one small shuffle),
   materialized once with its count; the request rows are built from it.
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 
 from pactline.contract import Contract
 from pactline.operators.audit import RunContext
+from pactline.operators.mapping import map_records
 from pactline.operators.requests import build_requests, conversation_ids
 from pactline.plans import stages
 from pactline.session import apply_defaults, ensure_checkpoint_dir, scratch_path
@@ -142,17 +144,21 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
     """
     is_ok = F.col("status") == F.lit(OK)
     stage_paths: list[str] = []
-    parsed, counts = materialize(parsed, cfg.materialize, "parsed",
+    # Map/cast/clean once, in the scan's stage, next to the status; a strict
+    # cast error stops the run here, before any output is written.
+    staged = map_records(parsed, cfg.contract, cfg.options.strict_casts, cfg.options.accents,
+                         keep=("source_path", "status"), honor_input_formats=cfg.options.honor_input_formats)
+    staged, counts = materialize(staged, cfg.materialize, "staged",
                                  [F.count_if(is_ok).alias("ok"), F.count_if(~is_ok).alias("bad")], stage_paths)
     ok, bad = int(counts.get("ok") or 0), int(counts.get("bad") or 0)
-    skipped = stages.quarantine(parsed)
+    skipped = stages.quarantine(staged)
     if listed is not None and listed.count > ok + bad:
-        empties, n = materialize(missing_from_scan(listed, parsed), cfg.materialize, "empty",
+        empties, n = materialize(missing_from_scan(listed, staged), cfg.materialize, "empty",
                                  [F.count(F.lit(1)).alias("n")], stage_paths)
         bad += int(n.get("n") or 0)
         skipped = skipped.unionByName(empties.select("source_path", F.col("status").alias("reason")))
     result = BatchResult(processed_files=ok, skipped_count=bad, skipped_files=skipped, stage_paths=stage_paths)
-    mapped = stages.mapped(stages.good(parsed).select("source_path", "rec"), cfg.contract, cfg.options)
+    mapped = stages.good(staged).drop("status")
     ids = conversation_ids(mapped)
     endpoints = cfg.endpoints() if callable(cfg.endpoints) else cfg.endpoints
     if result.processed_files:
@@ -183,7 +189,7 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
     else:
         result.requests = build_requests(ids, endpoints)
     if cfg.delete_sources and result.processed_files:
-        result.deleted_source_files = delete_paths(spark, stages.good(parsed).select("source_path"),
+        result.deleted_source_files = delete_paths(spark, mapped.select("source_path"),
                                                    base=cfg.landing_path)
     if cfg.manifest_path:
         write_json_document(spark, f"{cfg.manifest_path.rstrip('/')}/run_{ctx.run_id}.json",
