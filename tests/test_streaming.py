@@ -66,3 +66,20 @@ def test_max_files_per_trigger_bounds_each_batch(spark, records, workdir):
     q.awaitTermination()
     assert [r.processed_files for r in results] == [1, 1, 1, 1]
     assert read_hive_parquet(spark, cfg.core_path).count() == 4
+
+
+def test_incremental_consumes_good_files_only(spark, records, workdir):
+    cfg = BatchConfig(contract=shipped_contract(), landing_path=os.path.join(workdir, "landing"),
+                      core_path=os.path.join(workdir, "core"), atts_path=os.path.join(workdir, "atts"),
+                      endpoints=shipped_endpoints(), delete_sources=True)
+    ckpt = os.path.join(workdir, "_ckpt")
+    land(workdir, "landing/a.json", records[0])
+    land(workdir, "landing/bad.json", b"[1]")
+    results = []
+    start_incremental(spark, cfg, ckpt, "run", now=NOW, results=results).awaitTermination()
+    assert sorted(os.listdir(os.path.join(workdir, "landing"))) == ["bad.json"]
+    land(workdir, "landing/b.json", records[1])
+    start_incremental(spark, cfg, ckpt, "run", now=NOW, results=results).awaitTermination()
+    assert sorted(os.listdir(os.path.join(workdir, "landing"))) == ["bad.json"]
+    assert [(r.processed_files, r.skipped_count, r.deleted_source_files) for r in results] == [(1, 1, 1), (1, 0, 1)]
+    assert read_hive_parquet(spark, cfg.core_path).count() == 2
