@@ -99,3 +99,12 @@ def test_delete_paths_with_a_base_folder(spark, workdir):
     paths = spark.createDataFrame([(f"file:{g}",) for g in gone], "source_path string")
     assert delete_paths(spark, paths, base=f"file:{workdir}/land") == 5
     assert not any(g.exists() for g in gone)
+
+
+def test_partition_values_with_separators_round_trip(spark, workdir):
+    out = os.path.join(workdir, "esc")
+    df = spark.createDataFrame([("a/b", 1), ("k=v", 2), ("ñ x", 3)], "k string, v bigint")
+    write_hive_parquet(df, out, ["k"], NOW, "p")
+    assert {r.v: r.k for r in read_hive_parquet(spark, out).collect()} == {1: "a/b", 2: "k=v", 3: "ñ x"}
+    top = sorted(p.name for p in Path(out).iterdir() if p.is_dir())
+    assert len(top) == 3  # one folder level per value: separators are escaped
