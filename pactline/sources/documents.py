@@ -89,13 +89,18 @@ def _record() -> Column:
 
 
 def _status() -> Column:
+    """Why a document is (not) good; the second parse runs for bad documents only.
+
+    Every field is read as text, so any JSON object parses to a non-null
+    record: a document that is valid JSON (the wrapped array parses to the
+    value and the end marker) but not good is a non-object value.
+    """
     as_text = F.from_json(_wrapped(F.col("_text")), "array<string>", STRICT_JSON)
+    valid_json = (F.size(as_text) == 2) & (as_text.getItem(1) == F.lit(END_MARK))
     return (
         F.when(~F.is_valid_utf8(F.col("_text")), F.lit(INVALID_UTF8))
         .when(_is_good(), F.lit(OK))
-        .when((F.size(as_text) == 2) & (as_text.getItem(1) == F.lit(END_MARK))
-              & ~F.coalesce(F.ltrim(as_text.getItem(0)).startswith("{"), F.lit(False)),
-              F.lit(NOT_OBJECT))
+        .when(valid_json, F.lit(NOT_OBJECT))
         .otherwise(F.lit(INVALID_JSON))
     )
 
