@@ -20,7 +20,10 @@ def load_fixture(name: str) -> dict:
 def spark():
     from pactline.session import build_session
 
-    session = build_session("local[4]", app="pactline-tests", shuffle_partitions=8)
+    # A generated-code compile failure fails the test instead of silently
+    # falling back to interpreted execution.
+    session = build_session("local[4]", app="pactline-tests", shuffle_partitions=8,
+                            extra={"spark.sql.codegen.fallback": "false"})
     yield session
     session.stop()
 
