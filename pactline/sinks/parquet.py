@@ -132,7 +132,7 @@ def delete_paths(spark: SparkSession, paths: DataFrame, column: str = "source_pa
             return sum(delete_one(p) for p in page)
 
     deleted = 0
-    rows = (r[0] for r in paths.select(column).toLocalIterator())
+    rows = (r[0] for r in paths.select(column).toLocalIterator(prefetchPartitions=True))
     with ThreadPoolExecutor(max_workers=threads) as pool:
         while True:
             chunk = list(islice(rows, 10_000))
