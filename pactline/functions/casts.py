@@ -37,52 +37,34 @@ def to_utc_wall_clock(instant: Column) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
-# ISO 8601 as Python's ``datetime.fromisoformat`` reads it: extended or
-# basic date, any one separator character, hours with optional minutes,
-# seconds and a fraction ("." or ","), and an optional Z or +-HH[[:]MM[[:]SS[.f]]] offset.
-ISO_PATTERN = (
-    r"^(?:(\d{4})-(\d{2})-(\d{2})|(\d{4})(\d{2})(\d{2}))"
-    r"(?:.(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?"
-    r"(?:(Z)|([+-])(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?)?)?$"
+# Rewrites from the ISO 8601 variants Python's ``datetime.fromisoformat``
+# reads to the extended form Spark's cast reads, applied in order: basic
+# date, any one separator character, basic time, missing minutes and
+# seconds, "," fraction, fraction beyond microseconds, +-HHMM and +-HH offsets.
+ISO_REWRITES = (
+    (r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3"),
+    (r"^(\d{4}-\d{2}-\d{2})[^\d](?=\d)", "$1T"),
+    (r"T(\d{2})(\d{2})(\d{2})(?![\d:])", "T$1:$2:$3"),
+    (r"T(\d{2})(\d{2})(?![\d:])", "T$1:$2"),
+    (r"T(\d{2})(?![\d:])", "T$1:00"),
+    (r"T(\d{2}):(\d{2})(?![\d:])", "T$1:$2:00"),
+    (r"(T\d{2}:\d{2}:\d{2}),(\d)", "$1.$2"),
+    (r"(T\d{2}:\d{2}:\d{2}\.\d{6})\d+", "$1"),
+    (r"(T[\d:.]+[+-]\d{2})(\d{2})$", "$1:$2"),
+    (r"(T[\d:.]+[+-]\d{2})$", "$1:00"),
 )
 
 
-# The pattern's groups rewritten as one "|"-separated field list:
-# year|month|day|hour|minute|second|fraction|Z|sign|off_h|off_m|off_s|off_fraction
-ISO_FIELDS = "$1$4|$2$5|$3$6|$7|$8|$9|$10|$11|$12|$13|$14|$15|$16"
+def _iso_extended(text: Column) -> Column:
+    """The ISO variants Spark's cast rejects, rewritten to the extended form.
 
-
-def _iso_python_form(text: Column) -> Column:
-    """UTC wall clock for the ISO forms Spark's cast rejects (null if none matches).
-
-    One regex rewrite produces the field list; a one-element ``transform``
-    binds it to a lambda variable, so the regex runs once and the
-    expression stays small (it is only reached when the cast failed).
+    A chain of single-pass rewrites (each appears once in the expression),
+    reached only when the plain cast failed.
     """
-    fields = F.split(F.regexp_replace(text, ISO_PATTERN, ISO_FIELDS), r"\|", -1)
-
-    def build(a: Column) -> Column:
-        def f(i: int) -> Column:
-            return F.nullif(a.getItem(i), F.lit(""))
-
-        def num(i: int) -> Column:
-            return F.coalesce(f(i).cast("int"), F.lit(0))
-
-        def micros(i: int) -> Column:  # fraction digits, truncated to microseconds
-            return F.coalesce(F.rpad(F.substring(f(i), 1, 6), 6, "0").cast("int"), F.lit(0))
-
-        seconds = (num(5) + micros(6) / F.lit(1_000_000)).cast("decimal(8,6)")
-        # make_timestamp rolls second 60 into the next minute; fromisoformat rejects it.
-        wall = F.when(num(5) < 60, F.try_make_timestamp_ntz(f(0).cast("int"), f(1).cast("int"), f(2).cast("int"),
-                                                             num(3), num(4), seconds))
-        sign = F.when(f(8) == F.lit("-"), F.lit(-1)).otherwise(F.lit(1))
-        offset = sign * (num(9) * 3600 + num(10) * 60 + num(11) + micros(12) / F.lit(1_000_000))
-        with_offset = F.when(F.abs(offset) < F.lit(86400),  # fromisoformat's only rule: |offset| < 24 h
-                             wall - F.make_interval(secs=offset.cast("decimal(18,6)")))
-        local = F.convert_timezone(F.current_timezone(), F.lit("UTC"), wall)
-        return F.when(f(7).isNotNull(), wall).when(f(8).isNotNull(), with_offset).otherwise(local)
-
-    return F.when(text.rlike(ISO_PATTERN), F.transform(F.array(fields), build).getItem(0))
+    out = text
+    for pattern, replacement in ISO_REWRITES:
+        out = F.regexp_replace(out, pattern, replacement)
+    return out
 
 
 def parse_timestamp(text: Column, strict: bool = True, formats: list[str] | None = None) -> Column:
@@ -93,15 +75,15 @@ def parse_timestamp(text: Column, strict: bool = True, formats: list[str] | None
     ``formats``, each pattern is tried first. Spark's cast reads the common
     extended form; the other forms Python's ``fromisoformat`` accepts
     (basic format, ``HH:MM``, ``+HHMM`` offsets, ``,`` fractions ...) are
-    parsed by ``ISO_PATTERN``, only for values the cast rejected.
+    rewritten by ``ISO_REWRITES``, only for values the cast rejected.
     """
-    candidates = [to_utc_wall_clock(F.try_to_timestamp(text, F.lit(fmt))) for fmt in formats or []]
-    candidates.append(to_utc_wall_clock(text.try_cast("timestamp")))
-    candidates.append(_iso_python_form(text))
-    value = F.coalesce(*candidates)
+    candidates = [F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats or []]
+    candidates.append(text.try_cast("timestamp"))
+    candidates.append(_iso_extended(text).try_cast("timestamp"))
+    value = to_utc_wall_clock(F.coalesce(*candidates))
     if strict:
         message = F.concat(F.lit("cannot cast value to timestamp: "), text)
-        value = F.when(text.isNotNull() & value.isNull(), F.raise_error(message).cast("timestamp_ntz")).otherwise(value)
+        value = F.coalesce(value, F.when(text.isNotNull(), F.raise_error(message).cast("timestamp_ntz")))
     return value
 
 

@@ -21,8 +21,13 @@ def _forms(n=2000, seed=3):
         time = rng.choice([f"{h:02d}:{mi:02d}:{s:02d}{frac}", f"{h:02d}:{mi:02d}", f"{h:02d}{mi:02d}{s:02d}", f"{h:02d}"])
         out.append(rng.choice([f"{date}{sep}{time}{off}", date, f"{date}{sep}{time}"]))
     return out + ["2026-02-30T10:00:00", "2026-08-16T24:00:00", "nonsense", "2026-08-16T15:53:07+25:00",
-                  "2026-08-16T15:53:07+23:59", "2026-08-16T15:53:07+05:75", "2026-08-16T15:53:07-05:30:75",
-                  "2026-08-16T15:53:60"]
+                  "2026-08-16T15:53:60", "2026-08-16T15:53:07-03:30:15", "2026-08-16T15:53:07+18:00"]
+
+
+# Offsets fromisoformat reads but Java's ZoneOffset does not (beyond +-18:00,
+# minute or second overflow, fractional seconds): rejected here.
+EXOTIC_OFFSETS = ["2026-08-16T15:53:07+23:59", "2026-08-16T15:53:07+05:75", "2026-08-16T15:53:07-05:30:75",
+                  "2026-08-16T15:53:07-03:30:15.5"]
 
 
 def _python(text):
@@ -47,3 +52,9 @@ def test_parsing_matches_fromisoformat(spark):
             assert text.endswith("UTC"), text
         else:
             assert got[i] == expected, text
+
+
+def test_exotic_offsets_are_rejected(spark):
+    df = spark.createDataFrame([(t,) for t in EXOTIC_OFFSETS], "t string")
+    assert [r.u for r in df.select(parse_timestamp(F.col("t"), strict=False).alias("u")).collect()] == [None] * 4
+    assert all(_python(t) is not None for t in EXOTIC_OFFSETS)
