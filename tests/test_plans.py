@@ -35,3 +35,10 @@ def test_keep_best_is_trimmed_before_its_shuffle(plans, name):
 def test_only_the_exact_mode_uses_python(plans):
     with_python = {n for n, p in plans.items() if "ArrowEvalPython" in p}
     assert with_python == {"remove_accents_exact"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_cleaning_projections_stay_in_whole_stage_codegen(plans, name):
+    for line in plans[name].splitlines():
+        if "Project [" in line and "translate(" in line:
+            assert line.lstrip(" +-:").startswith("*("), f"{name}: {line[:120]}"
