@@ -11,9 +11,18 @@ STORAGE = {"partition_roundtrip", "declared_types", "incremental_ingest", "run_m
 NAMES = sorted(n for n in entry_mod.queries() if n not in STORAGE)
 
 
+def _final_plan(df) -> str:
+    """The executed plan after running it (AQE's final plan, with codegen stages)."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "== Final Plan ==" in plan:
+        plan = plan.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
+    return plan
+
+
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {n: entry_mod.queries()[n](spark, SF)._jdf.queryExecution().executedPlan().toString() for n in NAMES}
+    return {n: _final_plan(entry_mod.queries()[n](spark, SF)) for n in NAMES}
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -39,6 +48,9 @@ def test_only_the_exact_mode_uses_python(plans):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_cleaning_projections_stay_in_whole_stage_codegen(plans, name):
-    for line in plans[name].splitlines():
-        if "Project [" in line and "translate(" in line:
-            assert line.lstrip(" +-:").startswith("*("), f"{name}: {line[:120]}"
+    # The accents step starts with its ASCII test (the long translate literal is cut from plan strings).
+    lines = [line for line in plans[name].splitlines() if "Project [" in line and "octet_length(" in line]
+    if not lines:
+        pytest.skip("no cleaning projection")
+    for line in lines:
+        assert line.lstrip(" +-:").startswith("*("), f"{name}: {line[:120]}"
