@@ -1,6 +1,5 @@
 """Differential test of keep-best dedup against a direct Python statement of the rule."""
 
-import functools
 import random
 
 from pactline.operators.dedup import keep_best
