@@ -20,13 +20,13 @@ MAX_CONFIG_BYTES = 16 * 1024 * 1024
 
 def read_json_document(spark: SparkSession, path: str) -> Any:
     """Parse one whole JSON document (``json.loads`` semantics)."""
-    rows = (spark.read.format("binaryFile").load(path)
-            .select("length", "content").take(2))
-    if len(rows) != 1:
-        raise FileNotFoundError(f"expected exactly one document at {path}, found {len(rows)}")
-    if rows[0]["length"] > MAX_CONFIG_BYTES:
-        raise ValueError(f"{path} is {rows[0]['length']} bytes; configuration is capped at {MAX_CONFIG_BYTES}")
-    return json.loads(bytes(rows[0]["content"]))
+    files = spark.read.format("binaryFile").load(path)
+    sizes = files.select("length").take(2)  # metadata only: content is not read
+    if len(sizes) != 1:
+        raise FileNotFoundError(f"expected exactly one document at {path}, found {len(sizes)}")
+    if sizes[0]["length"] > MAX_CONFIG_BYTES:
+        raise ValueError(f"{path} is {sizes[0]['length']} bytes; configuration is capped at {MAX_CONFIG_BYTES}")
+    return json.loads(bytes(files.select("content").first()["content"]))
 
 
 def read_contract(spark: SparkSession, path: str) -> Contract:
