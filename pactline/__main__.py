@@ -57,13 +57,41 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--incremental", default=None, metavar="CHECKPOINT",
                    help="run as Structured Streaming (availableNow) with this checkpoint location")
     p.add_argument("--run-id", default=None, help="run id (incremental runs append the batch id)")
+    p.add_argument("--explain", action="store_true",
+                   help="print the physical plans of the run (staged, core, atts) without running it")
     return p.parse_args(argv)
 
 
+def explain(spark, cfg: BatchConfig) -> dict:
+    """The plans a run would execute, as text (nothing is read or written)."""
+    from pactline.operators.audit import RunContext
+    from pactline.operators.mapping import map_records
+    from pactline.plans import stages
+    from pactline.sources.documents import parse_binary_documents
+    from pactline.sources.landing import scan_files
+
+    parsed = parse_binary_documents(scan_files(spark, cfg.landing_path), cfg.contract.source_fields)
+    staged = map_records(parsed, cfg.contract, cfg.options.strict_casts, cfg.options.accents,
+                         keep=("source_path", "status"))
+    mapped = stages.good(staged).drop("status")
+    core, atts = stages.outputs(stages.deduped(mapped, cfg.contract), cfg.contract, RunContext.fresh())
+
+    def plan(df) -> str:
+        return df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+    return {"staged": plan(staged), "core": plan(core), "atts": plan(atts)}
+
+
 def main(argv: list[str] | None = None, spark=None) -> dict:
     args = parse_args(sys.argv[1:] if argv is None else argv)
     spark = spark or build_session()
     cfg = build_config(spark, args)
+    if args.explain:
+        plans = explain(spark, cfg)
+        for name, text in plans.items():
+            print(f"== {name} ==\n{text}")
+        return plans
     if args.incremental:
         import uuid
 
