@@ -38,7 +38,7 @@ def build_config(spark, args) -> BatchConfig:
         requests_path=args.requests,
         manifest_path=args.manifests,
         delete_sources=args.delete_sources,
-        options=Options(strict_casts=not args.lenient_casts, accents=args.accents),
+        options=Options(strict_casts=not args.lenient_casts, accents=args.accents, json_text=args.json_text),
     )
 
 
@@ -54,6 +54,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--delete-sources", action="store_true", help="consume read documents after both writes")
     p.add_argument("--lenient-casts", action="store_true", help="bad integers/timestamps become null")
     p.add_argument("--accents", choices=("native", "exact"), default="native")
+    p.add_argument("--json-text", choices=("compact", "python"), default="compact",
+                   help="json columns as compact JSON, or spaced as json.dumps writes them")
     p.add_argument("--incremental", default=None, metavar="CHECKPOINT",
                    help="run as Structured Streaming (availableNow) with this checkpoint location")
     p.add_argument("--run-id", default=None, help="run id (incremental runs append the batch id)")

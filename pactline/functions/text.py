@@ -112,3 +112,34 @@ RULES_PY = {
 def basename(path: Column) -> Column:
     """Last ``/``-separated segment; empty when the path ends with ``/``."""
     return F.element_at(F.split(path, "/"), -1)
+
+
+def python_json_text_py(text: str | None) -> str | None:
+    """JSON text re-serialised as ``json.dumps(value, ensure_ascii=False)`` writes it.
+
+    Text that is not JSON is a JSON string's content (the parser unquotes
+    strings) and is written as a quoted JSON string.
+    """
+    import json
+
+    if text is None:
+        return None
+    try:
+        value = json.loads(text)
+    except ValueError:
+        value = text
+    return json.dumps(value, ensure_ascii=False)
+
+
+@F.pandas_udf(StringType())
+def _python_json_text(values: pd.Series) -> pd.Series:
+    return values.map(python_json_text_py)
+
+
+def json_text(col: Column, mode: str = "compact") -> Column:
+    """Text of a ``json`` column: compact (JVM) or ``json.dumps`` spacing (Arrow UDF)."""
+    if mode == "compact":
+        return col
+    if mode == "python":
+        return _python_json_text(col)
+    raise ValueError(f"unknown json text mode {mode!r}")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pactline.contract import Contract
 from pactline.functions.casts import cast_declared
-from pactline.functions.text import RULES_PY, RULES_SPARK
+from pactline.functions.text import RULES_PY, RULES_SPARK, json_text
 from pactline.operators.values import Val
 
 
@@ -67,19 +67,24 @@ def clean_values(contract: Contract, values: dict[str, Val], accents: str = "nat
 
 
 def business_values(contract: Contract, rec: str = "rec", strict_casts: bool = True,
-                    accents: str = "native", honor_input_formats: bool = False) -> dict[str, Val]:
-    return clean_values(contract, map_values(contract, rec, strict_casts, honor_input_formats), accents)
+                    accents: str = "native", honor_input_formats: bool = False,
+                    json_mode: str = "compact") -> dict[str, Val]:
+    values = clean_values(contract, map_values(contract, rec, strict_casts, honor_input_formats), accents)
+    if json_mode != "compact":
+        values = {n: Val.col(json_text(v.value, json_mode), v.ctype) if (not v.is_lit and v.ctype == "json") else v
+                  for n, v in values.items()}
+    return values
 
 
 def map_records(parsed: DataFrame, contract: Contract, strict_casts: bool = True,
                 accents: str = "native", keep: tuple[str, ...] = ("source_path",),
-                honor_input_formats: bool = False) -> DataFrame:
+                honor_input_formats: bool = False, json_mode: str = "compact") -> DataFrame:
     """Good documents -> ``(source_path, <business columns typed>)``.
 
     Every business column is materialised with its declared Spark type,
     constants included, so downstream operators see one static schema.
     """
-    values = business_values(contract, "rec", strict_casts, accents, honor_input_formats)
+    values = business_values(contract, "rec", strict_casts, accents, honor_input_formats, json_mode)
     cols = [v.as_type(contract.column_types[n]).alias(n) for n, v in values.items()]
     return parsed.select(*keep, *cols)
 

@@ -147,7 +147,8 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
     # Map/cast/clean once, in the scan's stage, next to the status; a strict
     # cast error stops the run here, before any output is written.
     staged = map_records(parsed, cfg.contract, cfg.options.strict_casts, cfg.options.accents,
-                         keep=("source_path", "status"), honor_input_formats=cfg.options.honor_input_formats)
+                         keep=("source_path", "status"), honor_input_formats=cfg.options.honor_input_formats,
+                         json_mode=cfg.options.json_text)
     staged, counts = materialize(staged, cfg.materialize, "staged",
                                  [F.count_if(is_ok).alias("ok"), F.count_if(~is_ok).alias("bad")], stage_paths)
     ok, bad = int(counts.get("ok") or 0), int(counts.get("bad") or 0)

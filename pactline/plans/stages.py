@@ -29,11 +29,14 @@ class Options:
       reference); ``False`` yields null instead.
     * ``accents``: ``native`` (JVM ``translate``) or ``exact`` (Arrow UDF).
     * ``honor_input_formats``: try ``columns[].input_formats`` patterns first.
+    * ``json_text``: ``compact`` (JVM) or ``python`` (``json.dumps`` spacing,
+      byte-identical to the original's text; Arrow UDF on json columns).
     """
 
     strict_casts: bool = True
     accents: str = "native"
     honor_input_formats: bool = False
+    json_text: str = "compact"
 
 
 def good(parsed: DataFrame) -> DataFrame:
@@ -57,7 +60,7 @@ def good_docs(docs: DataFrame, contract: Contract) -> DataFrame:
 def mapped(records: DataFrame, contract: Contract, opts: Options = Options()) -> DataFrame:
     """Good records ``(source_path, rec)`` -> typed, cleaned business columns."""
     return map_records(records, contract, opts.strict_casts, opts.accents,
-                       honor_input_formats=opts.honor_input_formats)
+                       honor_input_formats=opts.honor_input_formats, json_mode=opts.json_text)
 
 
 def deduped(mapped_df: DataFrame, contract: Contract) -> DataFrame:

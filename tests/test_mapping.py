@@ -138,3 +138,11 @@ def test_input_formats_are_tried_first_when_honored(spark, records):
                                             (" 7 ", 7), ("12", 12)])
 def test_integer_cast_follows_int_of_the_json_value(spark, records, turns, expected):
     assert mapped(spark, [dict(records[0], turns=turns)]).first().interaccion_turnos == expected
+
+
+def test_python_json_text_matches_json_dumps(spark, records):
+    rec = dict(records[0], messages=[{"role": "user", "content": "ñ \"x\" / 1.0"}, {"n": 1e5, "t": True}])
+    out = mapped(spark, [rec], opts=stages.Options(json_text="python")).first()
+    assert out.mensajes == json.dumps(rec["messages"], ensure_ascii=False)
+    plain = mapped(spark, [dict(records[0], messages="just text")], opts=stages.Options(json_text="python")).first()
+    assert plain.mensajes == '"just text"'
