@@ -29,3 +29,18 @@ def test_integer_parsing_matches_int_of_json_numbers(spark):
     got = {r.i: r.v for r in df.select("i", parse_integer(F.col("t"), strict=False).alias("v")).collect()}
     for i, text in enumerate(texts):
         assert got[i] == int(json.loads(text)), text
+
+
+def test_joined_hash_matches_hashlib(spark):
+    import hashlib
+
+    from pactline.functions.hashing import sha256_joined
+
+    rng = random.Random(9)
+    alphabet = "ab#ñé中😀\t \\\"'"
+    rows = [tuple(None if rng.random() < 0.2 else "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 8)))
+                  for _ in range(3)) for _ in range(1500)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a string, b string, c string")
+    got = {r.i: r.h for r in df.select("i", sha256_joined([F.col("a"), F.col("b"), F.col("c")], "#").alias("h")).collect()}
+    for i, r in enumerate(rows):
+        assert got[i] == hashlib.sha256("#".join(v or "" for v in r).encode("utf-8")).hexdigest()
