@@ -42,6 +42,17 @@ def declared_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_hive_parquet(spark, out)
 
 
+def atts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The EAV output after the typed, partitioned write, read back from storage."""
+    from pactline.plans.queries import contract_atts
+
+    contract = shipped_contract()
+    out = scratch_path(spark, "atts")
+    write_hive_parquet(contract_atts(spark, sf_dir), out, contract.partition_by, NOW,
+                       contract.output_file_prefix("output_atts"))
+    return read_hive_parquet(spark, out)
+
+
 # Columns of the core output that depend on landed file names (unknown
 # before the files are written), left out of the comparison.
 FILE_DEPENDENT = ("registro_id", "registro_hash", "base_nombre")
@@ -94,6 +105,7 @@ def landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "partition_roundtrip": partition_roundtrip,
     "declared_types": declared_types,
+    "atts_roundtrip": atts_roundtrip,
     "incremental_ingest": incremental_ingest,
     "run_manifest": run_manifest,
     "landing_quarantine": landing_quarantine,

@@ -286,6 +286,7 @@ def _io_oracles() -> dict[str, str]:
                    CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
                    {date} FROM orders""",
         "declared_types": f"SELECT *, {date} FROM ({CONTRACT_CORE})",
+        "atts_roundtrip": f"SELECT *, {date} FROM ({CONTRACT_ATTS})",
         "incremental_ingest": f"""SELECT {', '.join(c for c in core_cols if c != 'ejecucion_id')},
                    '{RUN_ID}-0' AS ejecucion_id FROM ({CONTRACT_CORE})""",
         "landing_quarantine": f"""WITH landing AS ({LANDING})

@@ -7,7 +7,8 @@ import pytest
 import __spark_entry__ as entry_mod
 
 SF = "/root/testdata/sf0.001"
-STORAGE = {"partition_roundtrip", "declared_types", "incremental_ingest", "run_manifest", "landing_quarantine"}
+STORAGE = {"partition_roundtrip", "declared_types", "atts_roundtrip", "incremental_ingest", "run_manifest",
+           "landing_quarantine"}
 NAMES = sorted(n for n in entry_mod.queries() if n not in STORAGE)
 
 
