@@ -172,7 +172,7 @@ def hash_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.select("o_orderkey", audit["row_hash"].as_type("string").alias("row_hash"))
 
 
-CHAIN_RAW = {"client_prefix": "BDO", "section": {"name": "transcripciones"}}
+CHAIN_RAW = {"client_prefix": "CLX", "section": {"name": "transcripciones"}}
 CHAIN_SPECS = {
     "tenant_id": {"calculus_type": "field_mapping", "columns": ["client_prefix"]},
     "chain_hash": {"calculus_type": "concatetation", "delimiter": "|",

@@ -32,7 +32,7 @@ SELECT conv_id,
        'tenant_' || cast(conv_id % 3 AS {S}) AS tenant_id,
        cast(10000000 + conv_id * 7919 AS {S}) AS client_dni,
        'CC' AS client_dni_type,
-       substr(h,1,8)||'-'||substr(h,9,4)||'-'||substr(h,13,4)||'-'||substr(h,17,4)||'-'||substr(h,21,12) AS genesys_cloud_id,
+       substr(h,1,8)||'-'||substr(h,9,4)||'-'||substr(h,13,4)||'-'||substr(h,17,4)||'-'||substr(h,21,12) AS cloud_conversation_id,
        md5('t' || cast(conv_id - CASE WHEN conv_id % 4 = 1 THEN 1 ELSE 0 END AS {S})) AS trace_id,
        CASE WHEN conv_id % 5 = 0 THEN '' ELSE '  Niño ' || cast(conv_id AS {S}) || ' ' END AS client_name,
        CASE WHEN conv_id % 2 = 0 THEN 'Muñoz' ELSE 'Pérez' END AS client_last_name,
@@ -55,7 +55,7 @@ SELECT source_path,
        {_clean('client_name', True)} AS consumidor_nombre,
        {_clean('client_last_name', True)} AS consumidor_apellido,
        {_clean('person_type', False)} AS consumidor_tipo_persona,
-       {_clean('genesys_cloud_id', False)} AS conversacion_id,
+       {_clean('cloud_conversation_id', False)} AS conversacion_id,
        {_clean('trace_id', False)} AS interaccion_id,
        {_utc('started_at')} AS interaccion_fecha_inicio,
        {_utc('exported_at')} AS interaccion_fecha_fin,
@@ -63,8 +63,8 @@ SELECT source_path,
        {_clean('interaction_result', False)} AS interaccion_resultado,
        {_clean('tenant_id', False)} AS tenant_id,
        messages AS mensajes,
-       'BDO' AS cliente_prefijo, 'SAC' AS operacion_prefijo, 'temporal_id' AS caso_uso_id,
-       'VOICEBOT' AS canal, 'GENESYS_CLOUD' AS origen
+       'CLX' AS cliente_prefijo, 'SAC' AS operacion_prefijo, 'temporal_id' AS caso_uso_id,
+       'VOICEBOT' AS canal, 'NUBE_CONTACTO' AS origen
 FROM landing
 """
 
@@ -82,10 +82,10 @@ AUDITED = f"""
 SELECT d.*,
        '{RUN_ID}' AS a_ejecucion_id,
        sha256(concat_ws(chr(31), '{RUN_ID}', 'registro_id', source_path)) AS a_registro_id,
-       sha256('BDO' || '#' || 'SAC' || '#' || 'Servicio al Cliente' || '#' || 'EmpatIA') AS a_base_id,
+       sha256('CLX' || '#' || 'SAC' || '#' || 'Servicio al Cliente' || '#' || 'Asistente') AS a_base_id,
        '{_NOW_DATE}' AS a_cargue_fecha_id,
-       sha256(sha256('BDO#SAC#Servicio al Cliente#EmpatIA') || '#' || '{_NOW_DATE}') AS a_cargue_id,
-       sha256(sha256(sha256('BDO#SAC#Servicio al Cliente#EmpatIA') || '#' || '{_NOW_DATE}') || '#' ||
+       sha256(sha256('CLX#SAC#Servicio al Cliente#Asistente') || '#' || '{_NOW_DATE}') AS a_cargue_id,
+       sha256(sha256(sha256('CLX#SAC#Servicio al Cliente#Asistente') || '#' || '{_NOW_DATE}') || '#' ||
               sha256(concat_ws(chr(31), '{RUN_ID}', 'registro_id', source_path))) AS a_registro_hash,
        string_split(source_path, '/')[-1] AS a_base_nombre
 FROM deduped d
@@ -96,12 +96,12 @@ WITH = f"WITH landing AS ({LANDING}), mapped AS ({MAPPED}), deduped AS ({DEDUPED
 CONTRACT_CORE = WITH + f"""
 SELECT consumidor_tipo_id, consumidor_id, consumidor_nombre, consumidor_apellido, consumidor_tipo_persona,
        conversacion_id, interaccion_id, interaccion_fecha_inicio, interaccion_fecha_fin, interaccion_turnos,
-       interaccion_resultado, tenant_id, mensajes, 'BDO' AS cliente_prefijo, 'SAC' AS operacion_prefijo,
+       interaccion_resultado, tenant_id, mensajes, 'CLX' AS cliente_prefijo, 'SAC' AS operacion_prefijo,
        caso_uso_id, canal, origen,
-       'VOZ' AS canal_id, cast(NULL AS {S}) AS gestion_tipo, 'Genesys-Accenture' AS canal_proveedor,
+       'VOZ' AS canal_id, cast(NULL AS {S}) AS gestion_tipo, 'Proveedor-Voz' AS canal_proveedor,
        cast(NULL AS {S}) AS gestion_canal, cast(NULL AS {S}) AS base_fecha_id,
        a_ejecucion_id AS ejecucion_id, a_registro_id AS registro_id, a_registro_hash AS registro_hash,
-       'Servicio al Cliente' AS operacion_segmento, 'EmpatIA' AS operacion_proceso,
+       'Servicio al Cliente' AS operacion_segmento, 'Asistente' AS operacion_proceso,
        cast(NULL AS {S}) AS base_grupo, cast(NULL AS {S}) AS base_proceso, a_base_nombre AS base_nombre,
        a_base_id AS base_id, a_cargue_id AS cargue_id, TIMESTAMP '{_NOW_TS}' AS cargue_fecha,
        a_cargue_fecha_id AS cargue_fecha_id, 'transcripciones' AS parquet_nombre
@@ -139,7 +139,7 @@ _ATTS_VALUES = [
 
 CONTRACT_ATTS = WITH + " " + " UNION ALL ".join(
     f"""SELECT a_ejecucion_id AS ejecucion_id, a_registro_id AS registro_id, a_registro_hash AS registro_hash,
-       a_base_id AS base_id, a_cargue_id AS cargue_id, 'BDO' AS cliente_prefijo, 'SAC' AS operacion_prefijo,
+       a_base_id AS base_id, a_cargue_id AS cargue_id, 'CLX' AS cliente_prefijo, 'SAC' AS operacion_prefijo,
        'Servicio al Cliente' AS operacion_segmento, '{_NOW_DATE}' AS archivo_fecha_id,
        'transcripciones' AS parquet_nombre, '{name}' AS atributo_nombre, '{ctype}' AS atributo_tipo,
        cast({pos} AS bigint) AS atributo_posicion, cast({expr} AS {S}) AS atributo_valor
@@ -203,12 +203,12 @@ def _ops_oracles() -> dict[str, str]:
            ("o_orderstatus", "string", 3, "o_orderstatus"),
            ("o_orderdate", "timestamp", 4, _iso("o_orderdate")),
            ("o_orderpriority", "string", 5, "o_orderpriority")]
-    row_key = "sha256('BDO' || '#' || interaccion_id || '#' || 'transcripciones')"
+    row_key = "sha256('CLX' || '#' || interaccion_id || '#' || 'transcripciones')"
     return {
         "rename_default_cast": f"""WITH landing AS ({LANDING})
             SELECT source_path, client_name AS consumidor_nombre, client_last_name AS consumidor_apellido,
                    interaction_result AS interaccion_resultado, cast(turns AS bigint) AS interaccion_turnos,
-                   {_utc('started_at')} AS interaccion_fecha_inicio, 'BDO' AS cliente_prefijo,
+                   {_utc('started_at')} AS interaccion_fecha_inicio, 'CLX' AS cliente_prefijo,
                    'temporal_id' AS caso_uso_id, 'VOICEBOT' AS canal FROM landing""",
         "ts_to_utc": f"""SELECT event_id, ts_text, ts_utc, {_iso('ts_utc')} AS ts_iso FROM (
             SELECT event_id, ts_text,
@@ -239,7 +239,7 @@ def _ops_oracles() -> dict[str, str]:
         "hash_concat": f"""SELECT o_orderkey, sha256(concat_ws('#', cast(o_orderkey AS {S}), coalesce(o_orderstatus, ''),
                    coalesce({_iso('o_orderdate')}, ''), '')) AS row_hash FROM ({orders_b})""",
         "hash_chain": WITH + f"""
-            SELECT source_path, 'BDO' AS tenant_id, {row_key} AS row_key,
+            SELECT source_path, 'CLX' AS tenant_id, {row_key} AS row_key,
                    sha256(concat_ws('|', {row_key}, coalesce({_iso('interaccion_fecha_fin')}, ''),
                                     cast(interaccion_turnos AS {S}))) AS chain_hash
             FROM deduped""",

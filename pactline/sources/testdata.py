@@ -45,7 +45,7 @@ def landing_records(spark: SparkSession, sf_dir: str, with_messages: bool = True
         (F.lit(10000000) + cid * 7919).cast("string").alias("client_dni"),
         F.lit("CC").alias("client_dni_type"),
         F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
-                    F.substring(h, 17, 4), F.substring(h, 21, 12)).alias("genesys_cloud_id"),
+                    F.substring(h, 17, 4), F.substring(h, 21, 12)).alias("cloud_conversation_id"),
         F.md5(F.concat(F.lit("t"), (cid - F.when(cid % 4 == 1, 1).otherwise(0)).cast("string"))).alias("trace_id"),
         F.when(cid % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("  Niño "), cid.cast("string"), F.lit(" "))).alias("client_name"),
         F.when(cid % 2 == 0, F.lit("Muñoz")).otherwise(F.lit("Pérez")).alias("client_last_name"),
@@ -64,7 +64,7 @@ def landing_records(spark: SparkSession, sf_dir: str, with_messages: bool = True
 HOT_TRACE_ID = "ffffffffffffffffffffffffffffffff"
 
 DOCUMENT_FIELDS = (
-    "tenant_id", "client_dni", "client_dni_type", "genesys_cloud_id", "trace_id", "interaction_result",
+    "tenant_id", "client_dni", "client_dni_type", "cloud_conversation_id", "trace_id", "interaction_result",
     "started_at", "exported_at", "turns", "messages", "person_type", "client_name", "client_last_name",
 )
 

@@ -19,7 +19,7 @@ def test_one_row_per_record(spark, records):
 def test_defaults_are_stamped(spark, records):
     for r in mapped(spark, records).collect():
         assert (r.cliente_prefijo, r.operacion_prefijo, r.caso_uso_id, r.canal, r.origen) == (
-            "BDO", "SAC", "temporal_id", "VOICEBOT", "GENESYS_CLOUD")
+            "CLX", "SAC", "temporal_id", "VOICEBOT", "NUBE_CONTACTO")
 
 
 def test_trim_uppercase_remove_accents_in_order(spark, records):

@@ -23,9 +23,9 @@ def _remaining(workdir):
 
 
 def test_end_to_end(spark, records, workdir):
-    land(workdir, "landing/BDO/record_a.json", records[0])
-    land(workdir, "landing/BDO/sub/record_b.JSON", records[1])
-    land(workdir, "landing/BDO/notes.txt", b"not json")
+    land(workdir, "landing/CLX/record_a.json", records[0])
+    land(workdir, "landing/CLX/sub/record_b.JSON", records[1])
+    land(workdir, "landing/CLX/notes.txt", b"not json")
     cfg = _cfg(workdir, delete_sources=True, requests_path=os.path.join(workdir, "requests"))
     res = run_batch(spark, cfg, CTX)
     m = res.manifest()
@@ -38,7 +38,7 @@ def test_end_to_end(spark, records, workdir):
     assert row.consumidor_id == "52001234"
     assert json.loads(row.mensajes)[0]["role"] == "assistant"
     assert row.base_nombre == "record_a.json"
-    assert (row.cliente_prefijo, row.operacion_prefijo, row.year, row.month, row.day) == ("BDO", "SAC", "2026", "08", "21")
+    assert (row.cliente_prefijo, row.operacion_prefijo, row.year, row.month, row.day) == ("CLX", "SAC", "2026", "08", "21")
     atts = read_hive_parquet(spark, cfg.atts_path)
     assert atts.count() == 36
     assert atts.where("atributo_nombre IS NULL OR atributo_tipo IS NULL OR atributo_posicion IS NULL").count() == 0

@@ -32,7 +32,7 @@ def test_every_endpoint_for_every_id(spark):
 
 
 def test_ids_are_distinct_nonempty_and_taken_before_dedup(spark, records):
-    dup = dict(records[0], exported_at="2026-08-17T00:00:00-05:00", genesys_cloud_id="  other-id ")
-    blank = dict(records[1], genesys_cloud_id="", trace_id="zz")
+    dup = dict(records[0], exported_at="2026-08-17T00:00:00-05:00", cloud_conversation_id="  other-id ")
+    blank = dict(records[1], cloud_conversation_id="", trace_id="zz")
     ids = {r.conversation_id for r in conversation_ids(mapped(spark, records + [dup, blank])).collect()}
     assert ids == set(IDS) | {"other-id"}

@@ -26,7 +26,7 @@ def test_partitioned_layout_and_file_prefix(spark, records, workdir):
     files = _files(out)
     assert res.rows == 2 and res.partitions == 1 and files
     for f in files:
-        assert f.startswith("cliente_prefijo=BDO/operacion_prefijo=SAC/year=2026/month=08/day=21/transcripciones_20260821T153045Z")
+        assert f.startswith("cliente_prefijo=CLX/operacion_prefijo=SAC/year=2026/month=08/day=21/transcripciones_20260821T153045Z")
 
 
 def test_partition_columns_live_in_the_path_only(spark, records, workdir):
@@ -45,7 +45,7 @@ def test_read_back_keeps_zero_padded_text(spark, records, workdir):
     out = os.path.join(workdir, "core")
     write_hive_parquet(_core(spark, records), out, shipped_contract().partition_by, NOW, "t")
     back = read_hive_parquet(spark, out).select("cliente_prefijo", "year", "month", "day").distinct().collect()
-    assert [tuple(r) for r in back] == [("BDO", "2026", "08", "21")]
+    assert [tuple(r) for r in back] == [("CLX", "2026", "08", "21")]
 
 
 def test_empty_frame_writes_no_data_file(spark, workdir):
