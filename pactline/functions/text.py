@@ -93,7 +93,8 @@ def remove_accents(col: Column, mode: str = "native") -> Column:
 
 @F.pandas_udf(StringType())
 def _remove_accents_exact(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: None if v is None else remove_accents_py(v))
+    # ASCII text has nothing to remove.
+    return values.map(lambda v: None if v is None else v if v.isascii() else remove_accents_py(v))
 
 
 RULES_SPARK = {
