@@ -142,3 +142,24 @@ def test_length_filter_reaches_the_file_source(spark, workdir):
     plan = scan_files(spark, os.path.join(workdir, "landing")).where(F.col("length") <= 10) \
         ._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(length), LessThanOrEqual(length,10)]" in plan
+
+
+def test_every_materialization_mode_gives_the_same_run(spark, records, workdir):
+    import pytest
+
+    manifests = []
+    for mode in ("table", "checkpoint", "persist", "none"):
+        root = os.path.join(workdir, mode)
+        land(root, "landing/a.json", records[0])
+        land(root, "landing/b.json", records[1])
+        land(root, "landing/bad.json", b"{")
+        res = run_batch(spark, _cfg(root, materialize=mode), CTX)
+        m = res.manifest()
+        manifests.append({k: m[k] for k in ("processed_files", "skipped_files", "core_rows", "atts_rows",
+                                            "conversation_ids")})
+        assert read_hive_parquet(spark, os.path.join(root, "core")).count() == 2
+    assert all(m == manifests[0] for m in manifests), manifests
+    assert manifests[0] == {"processed_files": 2, "skipped_files": 1, "core_rows": 2, "atts_rows": 36,
+                            "conversation_ids": 2}
+    with pytest.raises(ValueError):
+        run_batch(spark, _cfg(os.path.join(workdir, "table"), materialize="bogus"), CTX)
