@@ -108,3 +108,17 @@ def test_partition_values_with_separators_round_trip(spark, workdir):
     assert {r.v: r.k for r in read_hive_parquet(spark, out).collect()} == {1: "a/b", 2: "k=v", 3: "ñ x"}
     top = sorted(p.name for p in Path(out).iterdir() if p.is_dir())
     assert len(top) == 3  # one folder level per value: separators are escaped
+
+
+def test_written_files_lists_one_writes_files(spark, records, workdir):
+    from pactline.sinks.parquet import written_files
+
+    out = os.path.join(workdir, "core")
+    first = write_hive_parquet(_core(spark, records), out, shipped_contract().partition_by, NOW, "t")
+    later = NOW.replace(second=50)
+    second = write_hive_parquet(_core(spark, records), out, shipped_contract().partition_by, later, "t")
+    a = {r.path for r in written_files(spark, first).collect()}
+    b = {r.path for r in written_files(spark, second).collect()}
+    assert a and b and not a & b
+    assert all(p.rsplit("/", 1)[-1].startswith("t_20260821T153045Z") for p in a)
+    assert len(a | b) == len(_files(out))
