@@ -132,6 +132,8 @@ class BatchResult:
             "deleted_source_files": self.deleted_source_files,
             "output_core_path": self.core.path if self.core else None,
             "output_atts_path": self.atts.path if self.atts else None,
+            "output_core_partitions": self.core.partitions if self.core else 0,
+            "output_atts_partitions": self.atts.partitions if self.atts else 0,
         }
 
 

@@ -40,6 +40,7 @@ def test_manifest_and_sorted_requests(spark, records, workdir):
     run_batch(spark, cfg, CTX)
     manifest = json.loads(Path(workdir, "runs", f"run_{CTX.run_id}.json").read_text())
     assert manifest["processed_files"] == 2 and manifest["core_rows"] == 2 and manifest["atts_rows"] == 36
+    assert manifest["output_core_partitions"] == 1 and manifest["output_atts_partitions"] == 1
     lines = [json.loads(line) for f in sorted(Path(workdir, "req").glob("part-*.json")) for line in f.read_text().splitlines()]
     assert [r["conversation_id"] for r in lines] == sorted(r["conversation_id"] for r in lines)
 
