@@ -30,10 +30,12 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
 def test_query_matches_oracle_at_smallest_scale(spark, duck, name):
-    from tools.compare import digest
+    from tools.compare import digest, type_diffs
 
     df = entry_mod.queries()[name](spark, SF)
     rows = df.collect()
+    rel = duck.sql(entry_mod.oracle_sql()[name])
+    assert type_diffs(dict(df.dtypes), dict(zip(rel.columns, [str(t) for t in rel.types]))) == []
     cur = duck.execute(entry_mod.oracle_sql()[name])
     names = [d[0] for d in cur.description]
     assert sorted(names) == sorted(df.columns)
