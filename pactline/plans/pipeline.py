@@ -64,7 +64,8 @@ def materialize(df: DataFrame, how: str = "table", name: str = "stage",
         path = scratch_path(df.sparkSession, name)
         if stages is not None:
             stages.append(path)
-        src.write.mode("errorifexists").parquet(path)
+        # zstd: staged documents are mostly text, written and read back once per run.
+        src.write.mode("errorifexists").option("compression", "zstd").parquet(path)
         out = df.sparkSession.read.parquet(path)
     elif how == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
