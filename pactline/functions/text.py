@@ -82,7 +82,7 @@ def remove_accents(col: Column, mode: str = "native") -> Column:
     (Hangul syllables, ligatures such as ``ﬁ``).
     """
     if mode == "exact":
-        return _remove_accents_exact(col)
+        return _exact_accents_udf()(col)
     if mode != "native":
         raise ValueError(f"unknown accents mode {mode!r}")
     matching, replace, _ = accent_table()
@@ -91,10 +91,24 @@ def remove_accents(col: Column, mode: str = "native") -> Column:
     return F.when(F.octet_length(col) == F.length(col), col).otherwise(F.translate(col, matching, replace))
 
 
-@F.pandas_udf(StringType())
-def _remove_accents_exact(values: pd.Series) -> pd.Series:
-    # ASCII text has nothing to remove.
-    return values.map(lambda v: None if v is None else v if v.isascii() else remove_accents_py(v))
+@lru_cache(maxsize=1)
+def _exact_accents_udf():
+    """Arrow-batched NFKD accent removal.
+
+    Built as a closure over the standard library only, so it is shipped to
+    the Python workers by value: executors need no copy of this package.
+    """
+    import unicodedata as ud
+
+    def strip_accents(values: pd.Series) -> pd.Series:
+        def one(v):
+            if v is None or v.isascii():  # ASCII text has nothing to remove
+                return v
+            return "".join(ch for ch in ud.normalize("NFKD", v) if not ud.combining(ch))
+
+        return values.map(one)
+
+    return F.pandas_udf(strip_accents, StringType())
 
 
 RULES_SPARK = {
@@ -132,9 +146,24 @@ def python_json_text_py(text: str | None) -> str | None:
     return json.dumps(value, ensure_ascii=False)
 
 
-@F.pandas_udf(StringType())
-def _python_json_text(values: pd.Series) -> pd.Series:
-    return values.map(python_json_text_py)
+@lru_cache(maxsize=1)
+def _python_json_udf():
+    """Arrow-batched ``json.dumps`` re-serialisation (a closure shipped by value)."""
+    import json as js
+
+    def dumps(values: pd.Series) -> pd.Series:
+        def one(text):
+            if text is None:
+                return None
+            try:
+                value = js.loads(text)
+            except ValueError:
+                value = text
+            return js.dumps(value, ensure_ascii=False)
+
+        return values.map(one)
+
+    return F.pandas_udf(dumps, StringType())
 
 
 def json_text(col: Column, mode: str = "compact") -> Column:
@@ -142,5 +171,5 @@ def json_text(col: Column, mode: str = "compact") -> Column:
     if mode == "compact":
         return col
     if mode == "python":
-        return _python_json_text(col)
+        return _python_json_udf()(col)
     raise ValueError(f"unknown json text mode {mode!r}")

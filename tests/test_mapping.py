@@ -146,3 +146,13 @@ def test_python_json_text_matches_json_dumps(spark, records):
     assert out.mensajes == json.dumps(rec["messages"], ensure_ascii=False)
     plain = mapped(spark, [dict(records[0], messages="just text")], opts=stages.Options(json_text="python")).first()
     assert plain.mensajes == '"just text"'
+
+
+def test_python_udfs_ship_without_the_package():
+    """Executors need no copy of pactline: the UDFs are pickled by value."""
+    from pyspark import cloudpickle
+
+    from pactline.functions.text import _exact_accents_udf, _python_json_udf
+
+    for make in (_exact_accents_udf, _python_json_udf):
+        assert b"pactline" not in cloudpickle.dumps(make().func)
