@@ -148,11 +148,31 @@ def test_python_json_text_matches_json_dumps(spark, records):
     assert plain.mensajes == '"just text"'
 
 
-def test_python_udfs_ship_without_the_package():
-    """Executors need no copy of pactline: the UDFs are pickled by value."""
+def test_python_udfs_ship_without_the_package(tmp_path):
+    """Executors need no copy of pactline: the UDFs unpickle and run where it cannot be imported."""
+    import subprocess
+    import sys
+
     from pyspark import cloudpickle
 
     from pactline.functions.text import _exact_accents_udf, _python_json_udf
 
-    for make in (_exact_accents_udf, _python_json_udf):
-        assert b"pactline" not in cloudpickle.dumps(make().func)
+    blob = tmp_path / "udfs.pkl"
+    blob.write_bytes(cloudpickle.dumps([_exact_accents_udf().func, _python_json_udf().func]))
+    probe = tmp_path / "probe.py"
+    probe.write_text("""
+import pickle, sys
+sys.path = [p for p in sys.path if "repo" not in p and p not in ("", ".")]
+try:
+    import pactline
+    raise SystemExit("pactline importable")
+except ImportError:
+    pass
+import pandas as pd
+accents, dumps = pickle.load(open(sys.argv[1], "rb"))
+print(accents(pd.Series(["Ñandú", None]))[0], dumps(pd.Series(['[1,{"a":2}]']))[0])
+""", encoding="utf-8")
+    out = subprocess.run([sys.executable, str(probe), str(blob)], cwd=str(tmp_path),
+                         capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    assert out.stdout.strip() == 'Nandu [1, {"a": 2}]'
