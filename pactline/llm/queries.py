@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pactline.llm import decontamination, fingerprints, packing, sharding, toxicity
+from pactline.llm import decontamination, fingerprints, neardup, packing, sharding, toxicity
 from pactline.llm.common import read_table
 
 
@@ -26,12 +26,16 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op7_toxicity(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.op9_neardup(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.op10_contamination(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_fingerprints, op4_sharding, op6_packing, op7_toxicity, op10_decontamination)
+    f.__name__: f for f in (op2_fingerprints, op4_sharding, op6_packing, op7_toxicity, op9_neardup, op10_decontamination)
 }
 
 ORACLE_SQL = {"op10_decontamination": decontamination.ORACLE}
