@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pactline.llm import decontamination, fingerprints, neardup, packing, sharding, toxicity
+from pactline.llm import decontamination, fingerprints, linededup, neardup, packing, sharding, toxicity
 from pactline.llm.common import read_table
 
 
+def op1_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.op1_lines(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(spark, read_table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_fingerprints, op4_sharding, op6_packing, op7_toxicity, op9_neardup, op10_decontamination)
+    f.__name__: f for f in (op1_linededup, op2_fingerprints, op4_sharding, op6_packing, op7_toxicity, op9_neardup, op10_decontamination)
 }
 
-ORACLE_SQL = {"op10_decontamination": decontamination.ORACLE}
+ORACLE_SQL = {"op1_linededup": linededup.ORACLE, "op10_decontamination": decontamination.ORACLE}
