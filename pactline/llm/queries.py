@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pactline.llm import decontamination, fingerprints, linededup, neardup, packing, sharding, toxicity
+from pactline.llm import decontamination, fingerprints, linededup, neardup, packing, repeats, sharding, toxicity
 from pactline.llm.common import read_table
 
 
@@ -30,6 +30,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op7_toxicity(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.op8_repeats(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.op9_neardup(spark, read_table(spark, sf_dir, "documents"))
 
@@ -39,7 +43,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_linededup, op2_fingerprints, op4_sharding, op6_packing, op7_toxicity, op9_neardup, op10_decontamination)
+    f.__name__: f for f in (op1_linededup, op2_fingerprints, op4_sharding, op6_packing, op7_toxicity, op8_repeats, op9_neardup, op10_decontamination)
 }
 
 ORACLE_SQL = {"op1_linededup": linededup.ORACLE, "op10_decontamination": decontamination.ORACLE}
