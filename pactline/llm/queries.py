@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pactline.llm import decontamination, fingerprints, html_extract, linededup, neardup, packing, repeats, sharding, toxicity
+from pactline.llm import decontamination, fingerprints, html_extract, linededup, lm, neardup, packing, repeats, sharding, toxicity
 from pactline.llm.common import read_table
 
 
@@ -26,6 +26,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op4_shards(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.op5_lm(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op6_pack(spark, read_table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_linededup, op2_fingerprints, op3_html, op4_sharding, op6_packing, op7_toxicity, op8_repeats, op9_neardup, op10_decontamination)
+    f.__name__: f for f in (op1_linededup, op2_fingerprints, op3_html, op4_sharding, op5_lm, op6_packing, op7_toxicity, op8_repeats, op9_neardup, op10_decontamination)
 }
 
 ORACLE_SQL = {"op1_linededup": linededup.ORACLE, "op10_decontamination": decontamination.ORACLE}
