@@ -114,16 +114,30 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     text = text_of(docs)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("tid"), text.cast("binary").alias("t"))
-    return texts.join(wanted, ["doc", "tid"]).select("node", "t").mapInArrow(run, "node long, shingles array<long>")
+    # the list grows with the corpus: never broadcast, so the plan is the same at every size
+    return texts.hint("merge").join(wanted, ["doc", "tid"]).select("node", "t").mapInArrow(run, "node long, shingles array<long>")
+
+
+def linkable_nodes(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, m) of nodes that can have a link: at least ``percent`` of their shingles, m, occur in another node too.
+
+    Links need that share in one partner, so this drops nothing that has one; texts
+    that share only a passage with others go here, before any pair is made.
+    """
+    owners = sets.select("node", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("node").alias("node"), F.max("node").alias("last"))
+    lone = owners.where("node = last").groupBy("node").agg(F.count(F.lit(1)).alias("lone"))
+    sizes = sets.groupBy("node").agg(F.first(F.size("shingles")).alias("n"))
+    common = sizes.join(lone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("m"))
+    return common.where(f"100 * m >= {percent} * n").select("node", "m")
 
 
 def ranked_members(members: DataFrame) -> DataFrame:
     """Adds ``rank``, from 1, within each band: ranks in SALTS parts of a band, plus the parts before."""
     cut = members.withColumn("salt", F.pmod(F.col("node"), F.lit(SALTS)))
     before = Window.partitionBy("band").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    bases = cut.groupBy("band", "salt").agg(F.count(F.lit(1)).alias("m")).select("band", "salt", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("base"))
+    bases = cut.groupBy("band", "salt").agg(F.count(F.lit(1)).alias("c")).select("band", "salt", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("base"))
     own = F.row_number().over(Window.partitionBy("band", "salt").orderBy("node"))
-    return cut.withColumn("own", own).join(bases, ["band", "salt"]).select("band", "node", "n", (F.col("own") + F.col("base")).alias("rank"))
+    return cut.withColumn("own", own).join(bases, ["band", "salt"]).select("band", "node", "n", "m", (F.col("own") + F.col("base")).alias("rank"))
 
 
 def find_links(spark: SparkSession, ranked: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
@@ -145,10 +159,11 @@ def find_links(spark: SparkSession, ranked: DataFrame, sets: DataFrame, percent:
         if left.isEmpty():
             drop_stage(spark, left)
             return labels
-        a = left.where(f"rank >= {low} and rank < {high}").select("band", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("rank").alias("ra"))
-        b = left.select("band", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("rank").alias("rb"))
+        a = left.where(f"rank >= {low} and rank < {high}").select("band", F.col("node").alias("a"), F.col("n").alias("na"), F.col("m").alias("ma"), F.col("label").alias("la"), F.col("rank").alias("ra"))
+        b = left.select("band", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("m").alias("mb"), F.col("label").alias("lb"), F.col("rank").alias("rb"))
+        # a pair has at most least(ma, mb) shingles in common, and must have percent of its union
         pairs = a.join(b, "band").where(
-            f"ra < rb and la <> lb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct()
+            f"ra < rb and la <> lb and 100 * least(na, nb) >= {percent} * greatest(na, nb) and (100 + {percent}) * least(ma, mb) >= {percent} * (na + nb)").select("a", "b").distinct()
         side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}"))
         both = pairs.join(side("b"), "b").join(side("a"), "a").withColumn("common", F.size(F.array_intersect("sa", "sb")))
         new = stage(spark, both.where(f"100 * common >= {percent} * (size(sa) + size(sb) - common)").select("a", "b"), "links")
@@ -171,8 +186,9 @@ def find_components(spark: SparkSession, docs: DataFrame, size: int = 4, percent
     buckets = stage(spark, member.join(shared, "band"), "buckets")
     wanted = stage(spark, buckets.select("node", "at.doc", "at.tid").distinct(), "wanted")
     sets = stage(spark, shingle_sets(docs, wanted, size), "sets")
-    ranked = stage(spark, ranked_members(buckets.select("band", "node", "n")), "ranks")
-    for done in (shared, buckets, wanted):
+    able = stage(spark, linkable_nodes(sets, percent), "linkable")
+    ranked = stage(spark, ranked_members(buckets.select("band", "node", "n").join(able, "node")), "ranks")
+    for done in (shared, buckets, wanted, able):
         drop_stage(spark, done)
     labels = find_links(spark, ranked, sets, percent)
     drop_stage(spark, sets)
