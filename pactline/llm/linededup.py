@@ -121,7 +121,7 @@ def removed_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     shared = stage(spark, halves.groupBy("key").agg(F.min("h").alias("l"), F.max("h").alias("g")).where("l <> g").select("key"), "line-halves")
     places = halves.join(shared, "key").groupBy("at._doc", "at._tid").agg(F.collect_set("at.pos").alias("places"))
     places = stage(spark, places, "line-places")
-    found = keyed.where("text is not null").select("_doc", "_tid", "text").join(places, ["_doc", "_tid"]).select(
+    found = keyed.where("text is not null").select("_doc", "_tid", "text").hint("merge").join(places, ["_doc", "_tid"]).select(
         "_doc", "_tid", "places", F.posexplode(F.split("text", "\n")).alias("pos", "line")).where("array_contains(places, pos)")
     lines = stage(spark, found.select(F.xxhash64("line").alias("h"), F.char_length("line").alias("n"), F.struct("_doc", "_tid", "pos").alias("at"), "line").dropDuplicates(["at"]), "line-texts")
     near = _near_links(spark, lines)
@@ -138,7 +138,8 @@ def removed_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` less its removed lines, plus ``n_lines`` and ``n_removed``."""
     keyed = _keyed(docs.drop("n_lines", "n_removed"))
-    joined = keyed.join(removed_lines(spark, docs), ["_doc", "_tid"], "left")
+    # the list grows with the corpus: never broadcast, so the plan is the same at every size
+    joined = keyed.hint("merge").join(removed_lines(spark, docs), ["_doc", "_tid"], "left")
     gone = F.col("drops")
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(gone, i)), "\n")
     n_lines = F.coalesce(F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0))
