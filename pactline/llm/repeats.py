@@ -186,7 +186,7 @@ def removed_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) ->
     where = F.struct("tid", "place")
     repeated = stage(spark, samples.groupBy("seed").agg(F.min(where).alias("l"), F.max(where).alias("g")).where("l <> g").select("seed"), "seeds")
     wanted = stage(spark, samples.join(repeated, "seed").groupBy("tid").agg(F.collect_set("place").alias("places")).join(ones, "tid").select("tid", "doc", "places"), "places")
-    tuples = _contexts(keyed.join(wanted, ["tid", "doc"]).select("tid", "t", "places"), length)
+    tuples = _contexts(keyed.hint("merge").join(wanted, ["tid", "doc"]).select("tid", "t", "places"), length)
     dealt = tuples.repartition(partitions(spark), "seed").sortWithinPartitions("seed", "following")
     spans = _induced(dealt, length).groupBy("tid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     out = stage(spark, ones.select("tid", "copies").join(spans, "tid", "left").where("copies > 1 or spans is not null"), "spans")
@@ -199,7 +199,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept (binary: the remaining bytes)."""
     text = text_of(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tid"), text.cast("binary").alias("t"))
-    joined = rows.join(removed_spans(spark, docs, length), "tid", "left").select("doc_id", "t", "copies", F.col("spans.start").alias("start"), F.col("spans.stop").alias("stop"))
+    # the list grows with the corpus: never broadcast, so the plan is the same at every size
+    joined = rows.hint("merge").join(removed_spans(spark, docs, length), "tid", "left").select("doc_id", "t", "copies", F.col("spans.start").alias("start"), F.col("spans.stop").alias("stop"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
