@@ -132,20 +132,22 @@ def nnls(rows: np.ndarray, cols: np.ndarray, size: int, goal: np.ndarray, n: int
     return x
 
 
-def plan(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[tuple[int, ...], int]]:
-    """``(lengths, repeats)`` of every pattern; all pieces are covered, none twice."""
+def _solve(histogram: dict[int, int], window: int, rounds: tuple[tuple[int, ...], ...]) -> list[tuple[tuple[int, ...], int]]:
+    """One plan: NNLS over the combinations of each round's depths, then the residual greedily."""
     left = np.zeros(window + 1, np.int64)
     for length, n in histogram.items():
         left[length] = n
     chosen: list[tuple[tuple[int, ...], int]] = []
-    combos = combinations(np.flatnonzero(left), window)
-    if combos:
+    for depths in rounds:
+        combos = [c for c in combinations(np.flatnonzero(left), window) if len(c) in depths]
+        if not combos:
+            continue
         rows = np.array([v for c in combos for v in c])
         cols = np.repeat(np.arange(len(combos)), [len(c) for c in combos])
         x = nnls(rows, cols, window + 1, left.astype(float), len(combos))
         for i in np.argsort(-x, kind="stable"):
             need = {v: combos[i].count(v) for v in combos[i]}
-            n = min(int(x[i] + 0.5), *(int(left[v]) // k for v, k in need.items())) if len(need) > 1 else min(int(x[i] + 0.5), int(left[combos[i][0]]) // len(combos[i]))
+            n = min([int(x[i] + 0.5), *(int(left[v]) // k for v, k in need.items())])
             if n > 0:
                 chosen.append((combos[i], n))
                 for v, k in need.items():
@@ -163,6 +165,17 @@ def plan(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[tuple[in
     return chosen
 
 
+def plan(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[tuple[int, ...], int]]:
+    """``(lengths, repeats)`` of every pattern; all pieces are covered, none twice.
+
+    Where many pieces exceed half a window, triples take the small pieces that
+    they need; so pairs are also solved before triples, and alone, and the plan with least padding counts.
+    """
+    plans = [_solve(histogram, window, rounds) for rounds in (((1, 2, 3),), ((1, 2), (3,)), ((1, 2),))]
+    padding = lambda p: sum(n * (window - sum(c)) for c, n in p if sum(c) & (sum(c) - 1))
+    return min(plans, key=padding)
+
+
 def pack_documents(spark: SparkSession, docs: DataFrame, window: int = WINDOW, tokenizer: str = TOKENIZER, end_id: int = 1, with_ids: bool = False) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``; with ``with_ids`` their token ids too."""
     pieces = stage(spark, tokenize_pieces(docs, window, tokenizer, end_id, with_ids), "pieces")
