@@ -4,11 +4,12 @@ Ids are taken from the mapped, cleaned rows *before* deduplication; null
 and empty ids are dropped. Each id is paired with every configured
 endpoint. The endpoint table is a small configuration document, so the
 pairing is a generator over a literal array (one projection, no join and
-no shuffle beyond the ``distinct``); its size is checked.
+no shuffle beyond the ``distinct``).
 """
 
 from __future__ import annotations
 
+import json
 from typing import Mapping
 
 from pyspark.sql import DataFrame
@@ -19,9 +20,6 @@ from pactline.contract import CONVERSATION_ID_COLUMN
 # Fixed value: placeholder filled with the conversation id.
 URL_PLACEHOLDER = "{conversationId}"
 
-# Guard on the endpoint table inlined into the plan.
-MAX_ENDPOINTS = 1000
-
 REQUEST_FIELDS = ("url", "method", "type", "path", "result_data")
 
 
@@ -35,10 +33,15 @@ def conversation_ids(mapped: DataFrame, column: str = CONVERSATION_ID_COLUMN) ->
     )
 
 
+def _endpoint_text(value) -> str | None:
+    """Text of an endpoint setting; nested values as JSON."""
+    if value is None or isinstance(value, str):
+        return value
+    return json.dumps(value, ensure_ascii=False) if isinstance(value, (dict, list)) else str(value)
+
+
 def build_requests(ids: DataFrame, endpoints: Mapping[str, Mapping]) -> DataFrame:
     """``(conversation_id, endpoint, endpoint_order, request_context)``."""
-    if len(endpoints) > MAX_ENDPOINTS:
-        raise ValueError(f"{len(endpoints)} endpoints exceed the inline limit of {MAX_ENDPOINTS}")
     if not endpoints:
         return ids.select(
             "conversation_id",
@@ -50,7 +53,7 @@ def build_requests(ids: DataFrame, endpoints: Mapping[str, Mapping]) -> DataFram
         F.struct(
             F.lit(i).alias("endpoint_order"),
             F.lit(name).alias("endpoint"),
-            *[F.lit(None if spec.get(f) is None else str(spec.get(f))).cast("string").alias(f) for f in REQUEST_FIELDS],
+            *[F.lit(_endpoint_text(spec.get(f))).cast("string").alias(f) for f in REQUEST_FIELDS],
         )
         for i, (name, spec) in enumerate(endpoints.items())
     ])

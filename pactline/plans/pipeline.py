@@ -96,10 +96,6 @@ class BatchConfig:
     options: stages.Options = field(default_factory=stages.Options)
     materialize: str = "table"
     manifest_path: str | None = None
-    # Documents above this size are quarantined as ``too_large`` (default:
-    # Spark's ``spark.sql.sources.binaryFile.maxLength``, beyond which the
-    # reader would fail the whole scan).
-    max_document_bytes: int | None = None
 
 
 @dataclass
@@ -211,9 +207,8 @@ def run_concurrently(jobs: list) -> None:
         f.result()
 
 
-def document_limit(spark: SparkSession, cfg: BatchConfig) -> int:
-    if cfg.max_document_bytes is not None:
-        return int(cfg.max_document_bytes)
+def document_limit(spark: SparkSession) -> int:
+    """The engine's own bound on one value (2 GiB); larger files are reported as ``too_large``, never read."""
     return int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(2**31 - 1)))
 
 
@@ -225,5 +220,5 @@ def run_batch(spark: SparkSession, cfg: BatchConfig, ctx: RunContext | None = No
     listed = listing(files)
     if not listed.count:
         return BatchResult(skipped_files=spark.createDataFrame([], "source_path string, reason string"))
-    parsed = parse_binary_documents(files, cfg.contract.source_fields, document_limit(spark, cfg))
+    parsed = parse_binary_documents(files, cfg.contract.source_fields, document_limit(spark))
     return process_parsed(spark, cfg, parsed, ctx, listed)

@@ -14,9 +14,6 @@ from pyspark.sql import SparkSession
 
 from pactline.contract import Contract, load_contract, resolve_endpoints
 
-# Guard: a configuration document larger than this is not configuration.
-MAX_CONFIG_BYTES = 16 * 1024 * 1024
-
 
 def read_json_document(spark: SparkSession, path: str) -> Any:
     """Parse one whole JSON document (``json.loads`` semantics)."""
@@ -24,8 +21,6 @@ def read_json_document(spark: SparkSession, path: str) -> Any:
     sizes = files.select("length").take(2)  # metadata only: content is not read
     if len(sizes) != 1:
         raise FileNotFoundError(f"expected exactly one document at {path}, found {len(sizes)}")
-    if sizes[0]["length"] > MAX_CONFIG_BYTES:
-        raise ValueError(f"{path} is {sizes[0]['length']} bytes; configuration is capped at {MAX_CONFIG_BYTES}")
     return json.loads(bytes(files.select("content").first()["content"]))
 
 

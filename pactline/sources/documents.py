@@ -30,6 +30,10 @@ STRICT_JSON = {
     "allowUnquotedControlChars": "false",
     "allowBackslashEscapingAnyCharacter": "false",
     "mode": "PERMISSIVE",
+    # No parser limits: any document that fits in a value is read.
+    "maxStringLen": "2147483647",
+    "maxNumLen": "2147483647",
+    "maxNestingDepth": "2147483647",
 }
 
 

@@ -2,7 +2,7 @@
 
 ``readStream`` over the landing folder (``binaryFile``) discovers new
 documents; each micro-batch runs the same plan as a batch run through
-``foreachBatch`` (dedup stays within the batch, as in a batch run), with
+``foreachBatch`` (one batch takes everything landed, so dedup covers it as in a batch run), with
 its own run id ``<run id>-<batch id>``. ``trigger(availableNow=True)``
 processes what has landed and stops, so a scheduler can run it like a
 batch job while the checkpoint remembers which files were already taken.
@@ -44,18 +44,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
-def landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+def landing_stream(spark: SparkSession, path: str) -> DataFrame:
+    return (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", JSON_GLOB)
-              .option("recursiveFileLookup", "true"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path)
+              .option("recursiveFileLookup", "true").load(path))
 
 
 def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint_location: str, run_id: str,
                       now: datetime | None = None, available_now: bool = True,
-                      max_files_per_trigger: int | None = None,
                       results: list[BatchResult] | None = None, keep_stages: bool = False) -> StreamingQuery:
     """Start the incremental ingest; returns the running query."""
     apply_defaults(spark)
@@ -70,7 +66,7 @@ def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint_location
         if _exists(batch.sparkSession, marker):
             return
         ctx = RunContext(run_id=f"{run_id}-{batch_id}", now=now or datetime.now(timezone.utc))
-        parsed = parse_binary_documents(batch, fields, document_limit(batch.sparkSession, cfg))
+        parsed = parse_binary_documents(batch, fields, document_limit(batch.sparkSession))
         res = process_parsed(batch.sparkSession, replace(cfg), parsed, ctx, listing(batch))
         write_json_document(batch.sparkSession, marker, {"batch_id": batch_id, "run_id": ctx.run_id, **res.manifest()})
         if not keep_stages:
@@ -78,7 +74,7 @@ def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint_location
         if results is not None:
             results.append(res)
 
-    writer = (landing_stream(spark, cfg.landing_path, max_files_per_trigger).writeStream
+    writer = (landing_stream(spark, cfg.landing_path).writeStream
               .foreachBatch(each_batch)
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

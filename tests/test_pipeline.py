@@ -124,13 +124,14 @@ def test_lenient_casts_write_null(spark, records, workdir):
     assert read_hive_parquet(spark, os.path.join(workdir, "core")).first().interaccion_turnos is None
 
 
-def test_oversized_documents_are_quarantined_not_read(spark, records, workdir):
-    land(workdir, "landing/small.json", {"trace_id": "s"})
-    land(workdir, "landing/big.json", records[0])
-    res = run_batch(spark, _cfg(workdir, max_document_bytes=200, delete_sources=True), CTX)
-    assert (res.processed_files, res.skipped_count) == (1, 1)
-    assert {Path(r.source_path).name: r.reason for r in res.skipped_files.collect()} == {"big.json": "too_large"}
-    assert _remaining(workdir) == ["big.json"]
+def test_very_long_strings_numbers_and_nesting_are_read(spark, records, workdir):
+    land(workdir, "landing/long.json", dict(records[0], trace_id="long", client_name="x" * 21_000_000))
+    land(workdir, "landing/number.json", ('{"trace_id":"number","turns":' + "1" * 1500 + "}").encode())
+    land(workdir, "landing/deep.json", ('{"trace_id":"deep","extra":' + "[" * 1200 + "]" * 1200 + "}").encode())
+    from pactline.sources.landing import read_landing
+
+    got = read_landing(spark, os.path.join(workdir, "landing"), ["trace_id", "client_name", "extra"]).collect()
+    assert {r.rec.trace_id: r.status for r in got} == {"long": "ok", "number": "ok", "deep": "ok"}
 
 
 def test_length_filter_reaches_the_file_source(spark, workdir):

@@ -54,18 +54,16 @@ def test_finished_batch_is_not_processed_again(spark, records, workdir):
     assert read_hive_parquet(spark, cfg.core_path).count() == 1
 
 
-def test_max_files_per_trigger_bounds_each_batch(spark, records, workdir):
+def test_one_batch_dedups_everything_landed(spark, records, workdir):
     cfg = BatchConfig(contract=shipped_contract(), landing_path=os.path.join(workdir, "landing"),
                       core_path=os.path.join(workdir, "core"), atts_path=os.path.join(workdir, "atts"),
                       endpoints=shipped_endpoints())
     for i, rec in enumerate(records * 2):
-        land(workdir, f"landing/r{i}.json", dict(rec, trace_id=f"t{i}"))
+        land(workdir, f"landing/r{i}.json", dict(rec, trace_id="same"))
     results = []
-    q = start_incremental(spark, cfg, os.path.join(workdir, "_ckpt"), "run", now=NOW,
-                          max_files_per_trigger=1, results=results)
-    q.awaitTermination()
-    assert [r.processed_files for r in results] == [1, 1, 1, 1]
-    assert read_hive_parquet(spark, cfg.core_path).count() == 4
+    start_incremental(spark, cfg, os.path.join(workdir, "_ckpt"), "run", now=NOW, results=results).awaitTermination()
+    assert [r.processed_files for r in results] == [4]
+    assert read_hive_parquet(spark, cfg.core_path).count() == 1
 
 
 def test_incremental_consumes_good_files_only(spark, records, workdir):
