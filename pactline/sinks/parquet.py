@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -39,20 +39,21 @@ def write_hive_parquet(df: DataFrame, path: str, partition_cols: list[str] | tup
     * Partition columns absent from ``df`` are ignored; the values live in
       the path only (not in the files). A null or empty value goes to
       Hive's default partition and reads back as null.
-    * One dynamic-partition write pass: every task writes its own files for
-      the combinations it holds, no per-combination rescans, no
-      ``coalesce(1)``. File names carry the prefix and the processing
+    * One dynamic-partition write pass after a rebalance by the partition
+      columns: a combination is written by as few tasks as its size needs
+      (large ones are split), no per-combination rescans, no ``coalesce(1)``. File names carry the prefix and the processing
       second, plus Spark's task/job suffix, so a re-run never overwrites.
     * An empty frame writes no data file.
-    * Rows and (approximately counted) partition combinations are observed
-      during the write itself.
+    * Rows are observed during the write itself; partition combinations are
+      counted exactly, from the folders of the written files.
     """
     instant = instant or datetime.now(timezone.utc)
     cols = tuple(c for c in partition_cols if c in df.columns)
     dated = df.withColumns({k: F.lit(v) for k, v in processing_date_columns(instant).items()})
     obs = Observation(f"write_{uuid.uuid4().hex}")
-    combos = F.approx_count_distinct(F.struct(*[F.col(c) for c in cols])) if cols else F.lit(1)
-    observed = dated.observe(obs, F.count(F.lit(1)).alias("rows"), combos.alias("partitions"))
+    if cols:
+        dated = dated.hint("rebalance", *cols)
+    observed = dated.observe(obs, F.count(F.lit(1)).alias("rows"))
     basename = file_basename(file_prefix, instant)
     (observed.write.mode(mode)
      .partitionBy(*cols, *DATE_PARTITIONS)
@@ -60,8 +61,11 @@ def write_hive_parquet(df: DataFrame, path: str, partition_cols: list[str] | tup
      .parquet(path))
     metrics = obs.get or {}
     rows = int(metrics.get("rows") or 0)
-    parts = int(metrics.get("partitions") or 0) if rows else 0
-    return WriteResult(path=path, basename=basename, partition_cols=cols, rows=rows, partitions=parts)
+    result = WriteResult(path=path, basename=basename, partition_cols=cols, rows=rows)
+    if not rows:
+        return result
+    folders = written_files(df.sparkSession, result).select(F.regexp_replace("path", "/[^/]*$", "")).distinct()
+    return replace(result, partitions=folders.count() if cols else 1)
 
 
 def read_hive_parquet(spark: SparkSession, path: str) -> DataFrame:
