@@ -55,6 +55,12 @@ ISO_REWRITES = (
 )
 
 
+# A calendar date, then optionally any one separator, a time and an offset.
+# Spark's cast alone would also read times without a date (as today), years
+# and months alone, zone names and outer blanks.
+ISO_DATE_TIME = r"^\d{4}(-\d{2}-\d{2}|\d{4})([^\d]\d{2}[\d:.,]*(Z|[+-]\d{2}[\d:.]*)?)?$"
+
+
 def _iso_extended(text: Column) -> Column:
     """The ISO variants Spark's cast rejects, rewritten to the extended form.
 
@@ -84,8 +90,9 @@ def parse_timestamp(text: Column, strict: bool = True, formats: list[str] | None
     in practice.
     """
     candidates = [F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats or []]
-    candidates.append(text.try_cast("timestamp"))
-    candidates.append(_iso_extended(text).try_cast("timestamp"))
+    iso = F.when(text.rlike(ISO_DATE_TIME), text)
+    candidates.append(iso.try_cast("timestamp"))
+    candidates.append(_iso_extended(iso).try_cast("timestamp"))
     value = to_utc_wall_clock(F.coalesce(*candidates))
     if strict:
         message = F.concat(F.lit("cannot cast value to timestamp: "), text)
