@@ -83,13 +83,15 @@ def sample_suffixes(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.n
     return place, h[place], place - last, place - first
 
 
-def induce(seeds: np.ndarray, following: np.ndarray, before: np.ndarray, low: np.ndarray, high: np.ndarray, length: int = LENGTH) -> np.ndarray:
+def induce(seeds: np.ndarray, following: np.ndarray, before: np.ndarray, low: np.ndarray, high: np.ndarray, several: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """``[row, d]``: whether the window that starts d bytes before the row's sample is repeated.
 
-    Rows are sorted by (seed, following bytes); ``before`` holds the preceding bytes, nearest first.
+    Rows are sorted by (seed, following bytes); ``before`` holds the preceding bytes, nearest first;
+    ``several`` marks rows that stand for more than one place.
     """
     n, width = len(seeds), before.shape[1]
-    repeated = np.zeros((n, width + 1), bool)
+    distance = np.arange(width + 1)
+    repeated = several[:, None] & (low[:, None] <= distance) & (distance <= high[:, None])
     if n < 2:
         return repeated
     same = following[1:] == following[:-1]
@@ -104,7 +106,7 @@ def induce(seeds: np.ndarray, following: np.ndarray, before: np.ndarray, low: np
             continue
         run = np.concatenate([[0], np.cumsum(common < length - d)])[rows]
         _, at, count = np.unique(run * (rank.max() + 1) + rank[rows], return_inverse=True, return_counts=True)
-        repeated[rows, d] = count[at] > 1
+        repeated[rows, d] |= count[at] > 1
     return repeated
 
 
@@ -127,8 +129,11 @@ def _samples(texts: DataFrame, length: int) -> DataFrame:
 
 
 def _contexts(texts: DataFrame, length: int) -> DataFrame:
-    """Sorting tuples of the samples whose places are listed in ``texts(tid, t, places)``."""
-    names = ["seed", "tid", "place", "low", "high", "following", "before"]
+    """Sorting tuples of the samples whose places are listed in ``texts(tid, t, places)``.
+
+    Places of a text with equal surroundings, as in a run that repeats, share a tuple.
+    """
+    names = ["seed", "tid", "places", "low", "high", "following", "before"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,13 +141,15 @@ def _contexts(texts: DataFrame, length: int) -> DataFrame:
                 text = data.as_py()
                 place, seed, low, high = sample_suffixes(text, length)
                 rows = np.flatnonzero(np.isin(place, wanted.values.to_numpy(zero_copy_only=False)))
-                p, lo, hi = place[rows].tolist(), low[rows].tolist(), high[rows].tolist()
+                tuples: dict[tuple, list[int]] = {}
+                for h, p, lo, hi in zip(seed[rows].view(np.int64).tolist(), place[rows].tolist(), low[rows].tolist(), high[rows].tolist(), strict=True):
+                    tuples.setdefault((h, lo, hi, text[p: p + length - lo], text[p - hi: p][::-1]), []).append(p)
+                h, lo, hi, following, before = zip(*tuples, strict=True)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(seed[rows].view(np.int64)), pa.array(np.full(len(rows), tid)), pa.array(p, pa.int32()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()),
-                    pa.array([text[a: a + length - x] for a, x in zip(p, lo, strict=True)], pa.binary()),
-                    pa.array([text[a - x: a][::-1] for a, x in zip(p, hi, strict=True)], pa.binary())], names=names)
+                    pa.array(h, pa.int64()), pa.array([tid] * len(h), pa.int64()), pa.array(tuples.values(), pa.list_(pa.int32())), pa.array(lo, pa.int32()),
+                    pa.array(hi, pa.int32()), pa.array(following, pa.binary()), pa.array(before, pa.binary())], names=names)
 
-    return texts.mapInArrow(run, "seed long, tid long, place int, low int, high int, following binary, before binary")
+    return texts.mapInArrow(run, "seed long, tid long, places array<int>, low int, high int, following binary, before binary")
 
 
 def _matrix(column: list[bytes], width: int) -> np.ndarray:
@@ -154,13 +161,13 @@ def _induced(sorted_rows: DataFrame, length: int) -> DataFrame:
     names = ["tid", "start", "stop"]
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        seed, tid, place, low, high, following, before = zip(*rows, strict=True)
+        seed, tid, places, low, high, following, before = zip(*rows, strict=True)
         low, high = np.array(low), np.array(high)
-        found = induce(np.array(seed), _matrix(following, length), _matrix(before, max(1, int(high.max()))), low, high, length)
+        found = induce(np.array(seed), _matrix(following, length), _matrix(before, max(1, int(high.max()))), low, high, np.array([len(p) > 1 for p in places]), length)
         out: list[tuple[int, int, int]] = []
         for row in np.flatnonzero(found.any(axis=1)):
             for a, b in zip(*_runs(found[row]), strict=True):  # distances a .. b - 1
-                out.append((tid[row], place[row] - int(b) + 1, place[row] - int(a) + length))
+                out += [(tid[row], p - int(b) + 1, p - int(a) + length) for p in places[row]]
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), *(pa.array([r[k] for r in out], pa.int32()) for k in (1, 2))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
