@@ -11,6 +11,12 @@ no round emits all pairs: round by round a growing number of its nodes
 component, until every node has had its turn or the bucket is one component.
 So no link between components is lost and there is no cap on buckets.
 
+A pair leaves the join only if its parity bitmaps allow a link. A bitmap holds,
+per slot of the shingle space, whether an odd number of the set's shingles fall
+there; each shingle in which two sets differ flips one bit, so the bits in which
+two bitmaps differ are never more than the shingles in which the sets do. At two
+to four slots a shingle, that exact bound stops pairs whose similarity is below about 0.78.
+
 Defined results: documents without words link with nothing and are their own
 component; rows are told apart by (doc_id, text); a component's id is its
 least non-null doc_id; rows without an id are kept only if their component
@@ -84,23 +90,42 @@ def bands(hashes: np.ndarray) -> np.ndarray:
     return keys
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a shingle set: a power of two of slots, at least two a shingle, in 64-bit words."""
+    slots = 64
+    while slots < 2 * len(hashes):
+        slots *= 2
+    odd = np.bincount((hashes & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    # slot i is bit i // words of word i % words: folding a bitmap to fewer slots is an exclusive or of whole words
+    words = odd.reshape(64, slots // 64).astype(np.uint64) << np.arange(64, dtype=np.uint64)[:, None]
+    return np.bitwise_or.reduce(words, axis=0).view(np.int64)
+
+
+def differing_bits(a: str, b: str) -> str:
+    """SQL: the bits in which two parity bitmaps differ, the longer one folded to the words of the shorter."""
+    fold = lambda c, w: f"if(size({c}) = {w}, {c}, transform(sequence(0, {w} - 1), i -> aggregate(sequence(i, size({c}) - 1, {w}), 0L, (x, j) -> x ^ {c}[j])))"
+    words = f"least(size({a}), size({b}))"
+    return f"aggregate(zip_with({fold(a, words)}, {fold(b, words)}, (x, y) -> bit_count(x ^ y)), 0, (t, c) -> t + c)"
+
+
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, tid, n, node, bands): tid tells texts apart, node equal shingle sets."""
+    """(doc_id, tid, n, node, bands, bits): tid tells texts apart, node equal shingle sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            counts, nodes, keys = [], [], []
+            counts, nodes, keys, bits = [], [], [], []
             for text in batch.column(2):
                 own = shingles(text.as_py(), size, words)
                 counts.append(len(own))
                 nodes.append(int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(own.tobytes())))) if len(own) else None)
                 keys.append(bands(own).view(np.int64) if len(own) else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "tid", "n", "node", "bands"])
+                bits.append(parities(own) if len(own) else [])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], names=["doc_id", "tid", "n", "node", "bands", "bits"])
 
     text = text_of(docs)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tid"), text.cast("binary").alias("t")).mapInArrow(
-        run, "doc_id long, tid long, n long, node long, bands array<long>")
+        run, "doc_id long, tid long, n long, node long, bands array<long>, bits array<long>")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -118,29 +143,28 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return texts.hint("merge").join(wanted, ["doc", "tid"]).select("node", "t").mapInArrow(run, "node long, shingles array<long>")
 
 
-def linkable_nodes(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, m) of nodes that can have a link: at least ``percent`` of their shingles, m, occur in another node too.
-
-    Links need that share in one partner, so this drops nothing that has one; texts
-    that share only a passage with others go here, before any pair is made.
-    """
-    owners = sets.select("node", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("node").alias("node"), F.max("node").alias("last"))
-    lone = owners.where("node = last").groupBy("node").agg(F.count(F.lit(1)).alias("lone"))
-    sizes = sets.groupBy("node").agg(F.first(F.size("shingles")).alias("n"))
-    common = sizes.join(lone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("m"))
-    return common.where(f"100 * m >= {percent} * n").select("node", "m")
-
-
 def ranked_members(members: DataFrame) -> DataFrame:
     """Adds ``rank``, from 1, within each band: ranks in SALTS parts of a band, plus the parts before."""
     cut = members.withColumn("salt", F.pmod(F.col("node"), F.lit(SALTS)))
     before = Window.partitionBy("band").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     bases = cut.groupBy("band", "salt").agg(F.count(F.lit(1)).alias("c")).select("band", "salt", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("base"))
     own = F.row_number().over(Window.partitionBy("band", "salt").orderBy("node"))
-    return cut.withColumn("own", own).join(bases, ["band", "salt"]).select("band", "node", "n", "m", (F.col("own") + F.col("base")).alias("rank"))
+    return cut.withColumn("own", own).join(bases, ["band", "salt"]).select("band", "node", "n", "bits", (F.col("own") + F.col("base")).alias("rank"))
+
 
+def confirmed(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The ``pairs(a, b)`` whose full shingle sets are similar enough; sets are made for their nodes alone."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = nodes.select("node", "at.doc", "at.tid").join(named, "node", "left_semi")
+    sets = stage(spark, shingle_sets(docs, wanted, size), "sets")
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a").withColumn("common", F.size(F.array_intersect("sa", "sb")))
+    out = stage(spark, both.where(f"100 * common >= {percent} * (size(sa) + size(sb) - common)").select("a", "b"), "links")
+    drop_stage(spark, sets)
+    return out
 
-def find_links(spark: SparkSession, ranked: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+
+def find_links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, ranked: DataFrame, size: int, percent: int) -> DataFrame | None:
     """Confirmed links, enough of them to join every component, as (node, root); None without links.
 
     ``ranked`` is a staged table; the tables of each round are dropped when the next has been written.
@@ -159,15 +183,14 @@ def find_links(spark: SparkSession, ranked: DataFrame, sets: DataFrame, percent:
         if left.isEmpty():
             drop_stage(spark, left)
             return labels
-        a = left.where(f"rank >= {low} and rank < {high}").select("band", F.col("node").alias("a"), F.col("n").alias("na"), F.col("m").alias("ma"), F.col("label").alias("la"), F.col("rank").alias("ra"))
-        b = left.select("band", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("m").alias("mb"), F.col("label").alias("lb"), F.col("rank").alias("rb"))
-        # a pair has at most least(ma, mb) shingles in common, and must have percent of its union
-        pairs = a.join(b, "band").where(
-            f"ra < rb and la <> lb and 100 * least(na, nb) >= {percent} * greatest(na, nb) and (100 + {percent}) * least(ma, mb) >= {percent} * (na + nb)").select("a", "b").distinct()
-        side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}"))
-        both = pairs.join(side("b"), "b").join(side("a"), "a").withColumn("common", F.size(F.array_intersect("sa", "sb")))
-        new = stage(spark, both.where(f"100 * common >= {percent} * (size(sa) + size(sb) - common)").select("a", "b"), "links")
-        if not new.isEmpty():
+        a = left.where(f"rank >= {low} and rank < {high}").select("band", F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"), F.col("label").alias("la"), F.col("rank").alias("ra"))
+        b = left.select("band", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"), F.col("label").alias("lb"), F.col("rank").alias("rb"))
+        # a link differs in at most (100 - percent) / (100 + percent) of both sizes together
+        pairs = stage(spark, a.join(b, "band").where(
+            f"ra < rb and la <> lb and 100 * least(na, nb) >= {percent} * greatest(na, nb) and {100 + percent} * {differing_bits('ba', 'bb')} <= {100 - percent} * (na + nb)").select("a", "b").distinct(), "pairs")
+        new = None if pairs.isEmpty() else confirmed(spark, docs, nodes, pairs, size, percent)
+        drop_stage(spark, pairs)
+        if new is not None and not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             labels = connected_components(spark, links)
         drop_stage(spark, ranked)
@@ -180,18 +203,12 @@ def find_components(spark: SparkSession, docs: DataFrame, size: int = 4, percent
     """Per row: (doc_id, tid, n_shingles, root, component_id, kept); ``root`` is null without words."""
     found = stage(spark, signatures(docs, size), "signatures")
     nodes = stage(spark, found.where("n > 0").groupBy("node").agg(
-        F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "tid")).alias("at"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
-    member = nodes.select("node", "at", "n", F.explode("bands").alias("band"))
-    shared = stage(spark, member.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("band"), "shared-bands")
-    buckets = stage(spark, member.join(shared, "band"), "buckets")
-    wanted = stage(spark, buckets.select("node", "at.doc", "at.tid").distinct(), "wanted")
-    sets = stage(spark, shingle_sets(docs, wanted, size), "sets")
-    able = stage(spark, linkable_nodes(sets, percent), "linkable")
-    ranked = stage(spark, ranked_members(buckets.select("band", "node", "n").join(able, "node")), "ranks")
-    for done in (shared, buckets, wanted, able):
-        drop_stage(spark, done)
-    labels = find_links(spark, ranked, sets, percent)
-    drop_stage(spark, sets)
+        F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "tid")).alias("at"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits")), "nodes")
+    member = nodes.select("node", "n", "bits", F.explode("bands").alias("band"))
+    shared = stage(spark, member.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("band"), "shared-bands")
+    ranked = stage(spark, ranked_members(member.join(shared, "band")), "ranks")
+    drop_stage(spark, shared)
+    labels = find_links(spark, docs, nodes, ranked, size, percent)
     rooted = nodes.select("node", F.col("at.doc").alias("doc"))
     if labels is None:
         named = rooted.select("node", F.col("node").alias("root"), F.col("doc").alias("least"))
