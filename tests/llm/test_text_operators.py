@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from pactline.llm import decontamination, linededup, neardup, repeats
@@ -147,3 +148,18 @@ def test_decontamination(spark):
     assert decontamination.drop_contaminated(spark, docs, bench).columns == docs.columns
     assert decontamination.op10_contamination(spark, empty_docs(spark), bench).count() == 0
     assert decontamination.op10_contamination(spark, docs, bench.limit(0)).where("contaminated").count() == 0
+
+
+def test_differing_bits_never_exceed_differing_shingles(spark):
+    """Also for bitmaps of different lengths, where the longer one is folded."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(60):
+        base = rng.integers(0, 1 << 63, int(rng.integers(1, 700)), dtype=np.uint64)
+        other = np.concatenate([base[int(rng.integers(0, len(base))):], rng.integers(0, 1 << 63, int(rng.integers(0, 300)), dtype=np.uint64)])
+        a, b = np.unique(base), np.unique(other)
+        rows.append((neardup.parities(a).tolist(), neardup.parities(b).tolist(), len(np.setxor1d(a, b))))
+    rows.append((neardup.parities(base).tolist(), neardup.parities(base).tolist(), 0))
+    found = spark.createDataFrame(rows, "a array<long>, b array<long>, d long").selectExpr("d", f"{neardup.differing_bits('a', 'b')} AS bits", "size(a) <> size(b) AS folded").collect()
+    assert any(r.folded for r in found)
+    assert all(r.bits <= r.d and (r.d - r.bits) % 2 == 0 for r in found)
