@@ -96,9 +96,9 @@ def parities(hashes: np.ndarray) -> np.ndarray:
     while slots < 2 * len(hashes):
         slots *= 2
     odd = np.bincount((hashes & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
-    # slot i is bit i // words of word i % words: folding a bitmap to fewer slots is an exclusive or of whole words
-    words = odd.reshape(64, slots // 64).astype(np.uint64) << np.arange(64, dtype=np.uint64)[:, None]
-    return np.bitwise_or.reduce(words, axis=0).view(np.int64)
+    # slot i is bit i % 64 of word i // 64: folding a bitmap to fewer slots is an exclusive or of whole words
+    words = odd.reshape(-1, 64).astype(np.uint64) << np.arange(64, dtype=np.uint64)
+    return np.bitwise_or.reduce(words, axis=1).view(np.int64)
 
 
 def differing_bits(a: str, b: str) -> str:
