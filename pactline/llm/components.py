@@ -18,17 +18,15 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     now = stage(spark, edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stage(spark, both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("m", "a").alias("m")), "cc-least")
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("m", "a").alias("m"))
         # large star: every greater neighbour of a node points at the node's least neighbour
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = stage(spark, large, "cc")
-        drop_stage(spark, least)
         # small star: a node's lesser neighbours, and the node, point at the least of them
-        down = stage(spark, large.groupBy("a").agg(F.min("b").alias("m")), "cc-least")
+        down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
         new = stage(spark, small.select("e.*").where("a <> b").distinct(), "cc")
         drop_stage(spark, large)
-        drop_stage(spark, down)
         # a star forest: no node is both a leaf and a root, and no leaf has two roots
         leaves = new.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
         roots = new.select(F.col("b").alias("a")).distinct()

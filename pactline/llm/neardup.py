@@ -7,7 +7,7 @@ Candidates are confirmed on full shingle sets and joined into components.
 
 Documents with equal shingle sets form one node first. In a bucket of nodes
 no round emits all pairs: round by round a growing number of its nodes
-(1, 4, 16, ...) is compared with the later nodes that are not yet in the same
+(1, 16, 256, ...) is compared with the later nodes that are not yet in the same
 component, until every node has had its turn or the bucket is one component.
 So no link between components is lost and there is no cap on buckets.
 
@@ -177,9 +177,7 @@ def find_links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, ranked: D
             now = ranked.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
         # buckets with two components and a node that has not had its turn
         ends = now.groupBy("band").agg(F.min("label").alias("l"), F.max("label").alias("g"), F.max("rank").alias("last"))
-        open_ = stage(spark, ends.where(f"l < g and last > {low}").select("band"), "open-bands")
-        left = stage(spark, now.join(open_, "band"), "open")
-        drop_stage(spark, open_)
+        left = stage(spark, now.join(ends.where(f"l < g and last > {low}").select("band"), "band"), "open")
         if left.isEmpty():
             drop_stage(spark, left)
             return labels
@@ -196,7 +194,7 @@ def find_links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, ranked: D
         drop_stage(spark, ranked)
         ranked = left.drop("label")
         ranked._llm_path = left._llm_path
-        low, high = high, high + 4 * (high - low)
+        low, high = high, high + 16 * (high - low)
 
 
 def find_components(spark: SparkSession, docs: DataFrame, size: int = 4, percent: int = PERCENT) -> DataFrame:
