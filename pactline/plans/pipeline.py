@@ -135,14 +135,31 @@ class BatchResult:
 
 
 def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx: RunContext,
-                   listed: Listing | None = None) -> BatchResult:
+                   listed: Listing | None = None, token: str | None = None,
+                   before_consume: Callable[[BatchResult], None] | None = None) -> BatchResult:
     """Everything after the scan; shared by the batch run and each micro-batch.
 
+    A run that raises drops its staging tables first. With ``token``, outputs
+    replace what an earlier attempt of the same batch wrote; ``before_consume``
+    is called once all outputs are written, before any source is deleted.
+    """
+    result = BatchResult()
+    try:
+        return _process(spark, cfg, parsed, ctx, listed, result, token, before_consume)
+    except BaseException:
+        result.drop_stages(spark)
+        raise
+
+
+def _process(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx: RunContext, listed: Listing | None,
+             result: BatchResult, token: str | None, before_consume: Callable[[BatchResult], None] | None) -> BatchResult:
+    """The steps of ``process_parsed``.
+
     ``listed`` is the scan's file listing: files listed but absent from the
     scan are zero-length documents and join the quarantine as ``empty``.
     """
     is_ok = F.col("status") == F.lit(OK)
-    stage_paths: list[str] = []
+    stage_paths = result.stage_paths
     # Map/cast/clean once, in the scan's stage, next to the status; a strict
     # cast error stops the run here, before any output is written.
     staged = map_records(parsed, cfg.contract, cfg.options.strict_casts, cfg.options.accents,
@@ -157,7 +174,7 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
                                  [F.count(F.lit(1)).alias("n")], stage_paths)
         bad += int(n.get("n") or 0)
         skipped = skipped.unionByName(empties.select("source_path", F.col("status").alias("reason")))
-    result = BatchResult(processed_files=ok, skipped_count=bad, skipped_files=skipped, stage_paths=stage_paths)
+    result.processed_files, result.skipped_count, result.skipped_files = ok, bad, skipped
     mapped = stages.good(staged).drop("status")
     ids = conversation_ids(mapped)
     endpoints = cfg.endpoints() if callable(cfg.endpoints) else cfg.endpoints
@@ -168,11 +185,11 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
 
         def write_core() -> None:
             result.core = write_hive_parquet(core, cfg.core_path, parts, ctx.now,
-                                             cfg.contract.output_file_prefix("output_core"))
+                                             cfg.contract.output_file_prefix("output_core"), token=token)
 
         def write_atts() -> None:
             result.atts = write_hive_parquet(atts, cfg.atts_path, parts, ctx.now,
-                                             cfg.contract.output_file_prefix("output_atts"))
+                                             cfg.contract.output_file_prefix("output_atts"), token=token)
 
         def ids_and_requests() -> None:
             staged, id_counts = materialize(ids, cfg.materialize, "ids", [F.count(F.lit(1)).alias("n")], stage_paths)
@@ -181,13 +198,15 @@ def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx
             if cfg.requests_path:
                 # Endpoint-major, ids ascending: a range-partitioned sort, no single task.
                 ordered = result.requests.orderBy("endpoint_order", "conversation_id").drop("endpoint_order")
-                write_json_rows(ordered, cfg.requests_path)
+                write_json_rows(ordered, cfg.requests_path, token=token)
 
         # Independent jobs over materialized tables, submitted together so
         # their tails overlap; any failure is raised before sources are touched.
         run_concurrently([write_core, write_atts, ids_and_requests])
     else:
         result.requests = build_requests(ids, endpoints)
+    if before_consume:
+        before_consume(result)
     if cfg.delete_sources and result.processed_files:
         result.deleted_source_files = delete_paths(spark, mapped.select("source_path"),
                                                    base=cfg.landing_path)

@@ -33,7 +33,7 @@ def file_basename(prefix: str, instant: datetime) -> str:
 
 def write_hive_parquet(df: DataFrame, path: str, partition_cols: list[str] | tuple[str, ...] = (),
                        instant: datetime | None = None, file_prefix: str = "part",
-                       mode: str = "append") -> WriteResult:
+                       mode: str = "append", token: str | None = None) -> WriteResult:
     """Append ``df`` below ``path`` as ``<cols>=<v>/.../year=/month=/day=/<prefix>_<ts>-*.parquet``.
 
     * Partition columns absent from ``df`` are ignored; the values live in
@@ -44,6 +44,8 @@ def write_hive_parquet(df: DataFrame, path: str, partition_cols: list[str] | tup
       (large ones are split), no per-combination rescans, no ``coalesce(1)``. File names carry the prefix and the processing
       second, plus Spark's task/job suffix, so a re-run never overwrites.
     * An empty frame writes no data file.
+    * ``token`` names the writing batch in the file names; files that an earlier
+      attempt with the same token and instant left below ``path`` are removed first.
     * Rows are observed during the write itself; partition combinations are
       counted exactly, from the folders of the written files.
     """
@@ -54,7 +56,9 @@ def write_hive_parquet(df: DataFrame, path: str, partition_cols: list[str] | tup
     if cols:
         dated = dated.hint("rebalance", *cols)
     observed = dated.observe(obs, F.count(F.lit(1)).alias("rows"))
-    basename = file_basename(file_prefix, instant)
+    basename = file_basename(file_prefix, instant) + (f"-{token}" if token else "")
+    if token:
+        remove_attempt(df.sparkSession, path, basename)
     (observed.write.mode(mode)
      .partitionBy(*cols, *DATE_PARTITIONS)
      .option("mapreduce.output.basename", basename)
@@ -83,9 +87,25 @@ def written_files(spark: SparkSession, result: WriteResult) -> DataFrame:
             .select("path"))
 
 
-def write_json_rows(df: DataFrame, path: str, mode: str = "append") -> None:
-    """JSON lines output (request payloads, manifests)."""
-    df.write.mode(mode).json(path)
+def remove_attempt(spark: SparkSession, path: str, basename: str) -> int:
+    """Delete the files below ``path`` that an unfinished attempt wrote under ``basename``."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return 0
+    own = written_files(spark, WriteResult(path=path, basename=basename, partition_cols=(), rows=0))
+    found = own.count()
+    if found and delete_paths(spark, own, column="path", base=path) < found:
+        raise OSError(f"files of an earlier attempt could not be removed below {path}")
+    return found
+
+
+def write_json_rows(df: DataFrame, path: str, mode: str = "append", token: str | None = None) -> None:
+    """JSON lines output (request payloads, manifests); ``token`` as in ``write_hive_parquet``."""
+    writer = df.write.mode(mode)
+    if token:
+        remove_attempt(df.sparkSession, path, f"rows-{token}")
+        writer = writer.option("mapreduce.output.basename", f"rows-{token}")
+    writer.json(path)
 
 
 def delete_paths(spark: SparkSession, paths: DataFrame, column: str = "source_path", threads: int = 32,

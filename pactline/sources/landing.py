@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,13 +30,6 @@ def scan_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def hadoop_path_text(uri: str) -> str:
-    """Percent-encoded URI (``inputFiles``) -> the form a scan's ``path`` column has."""
-    parts = urlsplit(uri)
-    authority = f"//{parts.netloc}" if parts.netloc else ""
-    return f"{parts.scheme}:{authority}{unquote(parts.path)}"
-
-
 def uri_to_path(uri: Column) -> Column:
     """Percent-encoded file URI -> the form a scan's ``path`` column has (Spark SQL).
 
@@ -72,11 +64,6 @@ def listing(files: DataFrame) -> Listing:
     return Listing(count=len(uris), paths=frame)
 
 
-def listed_files(files: DataFrame) -> list[str]:
-    """The listing as a Python list (small listings, tests)."""
-    return [hadoop_path_text(p) for p in files.inputFiles()]
-
-
 def missing_from_scan(listed: Listing, seen: DataFrame) -> DataFrame:
     """Listed files that no scan split read: zero-length documents, status ``empty``.
 
@@ -92,6 +79,9 @@ def read_landing(spark: SparkSession, path: str, fields: list[str]) -> DataFrame
     """``(source_path, status, rec)`` for every landed document, empty files included."""
     files = scan_files(spark, path)
     parsed = parse_binary_documents(files, fields)
-    empties = missing_from_scan(listing(files), parsed.select("source_path")).select(
+    # Compared with a second scan of the paths alone: its content column is
+    # pruned, whereas ``parsed.select("source_path")`` would read and parse again.
+    seen = scan_files(spark, path).select(F.col("path").alias("source_path"))
+    empties = missing_from_scan(listing(files), seen).select(
         "source_path", "status", F.lit(None).cast(parsed.schema["rec"].dataType).alias("rec"))
     return parsed.unionByName(empties)

@@ -13,8 +13,12 @@ ones is the run's own consume-after-commit delete.
 
 Each finished batch leaves a marker under the checkpoint location; a batch
 that Spark re-delivers after a restart (offsets not committed yet) is
-skipped when its marker exists. A failure between the writes and the
-marker still re-runs the batch (at-least-once, as a batch run).
+skipped when its marker exists. Before it writes anything, a batch notes its
+run id and instant; a batch that failed between its writes and its marker
+runs again under the same run id and instant and first removes the files of
+its own earlier attempt, so no row is written twice. The marker precedes
+the consume-after-commit delete: a failure between the two leaves sources in
+place, with nothing lost or doubled.
 
 Zero-length documents never reach a micro-batch (no split is planned for
 them, and the micro-batch frame carries no file listing to compare with),
@@ -24,6 +28,7 @@ they are left in place. A batch run reports them as ``empty``.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import replace
 from datetime import datetime, timezone
 
@@ -33,7 +38,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pactline.operators.audit import RunContext
 from pactline.plans.pipeline import BatchConfig, BatchResult, document_limit, process_parsed
 from pactline.session import apply_defaults
-from pactline.sources.config import write_json_document
+from pactline.sources.config import read_json_document, write_json_document
 from pactline.sources.documents import parse_binary_documents
 from pactline.sources.landing import BINARY_FILE_SCHEMA, JSON_GLOB, listing
 
@@ -44,6 +49,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+def _noted(spark: SparkSession, path: str) -> RunContext | None:
+    """Run id and instant of a batch's earlier attempt; a note cut short was followed by no write."""
+    if not _exists(spark, path):
+        return None
+    try:
+        note = read_json_document(spark, path)
+    except (ValueError, FileNotFoundError):
+        return None
+    return RunContext(run_id=note["run_id"], now=datetime.fromisoformat(note["now"]))
+
+
 def landing_stream(spark: SparkSession, path: str) -> DataFrame:
     return (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", JSON_GLOB)
@@ -65,10 +81,20 @@ def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint_location
         marker = f"{done_root}/{batch_id}.json"
         if _exists(batch.sparkSession, marker):
             return
-        ctx = RunContext(run_id=f"{run_id}-{batch_id}", now=now or datetime.now(timezone.utc))
+        started = f"{done_root}/{batch_id}.started.json"
+        ctx = _noted(batch.sparkSession, started)
+        if ctx is None:
+            ctx = RunContext(run_id=f"{run_id}-{batch_id}", now=now or datetime.now(timezone.utc))
+            write_json_document(batch.sparkSession, started, {"run_id": ctx.run_id, "now": ctx.now.isoformat()})
+        token = hashlib.sha256(f"{checkpoint_location}\x1f{ctx.run_id}".encode()).hexdigest()[:16]
+
+        def finished(done: BatchResult) -> None:
+            write_json_document(batch.sparkSession, marker, {"batch_id": batch_id, "run_id": ctx.run_id, **done.manifest()})
+
         parsed = parse_binary_documents(batch, fields, document_limit(batch.sparkSession))
-        res = process_parsed(batch.sparkSession, replace(cfg), parsed, ctx, listing(batch))
-        write_json_document(batch.sparkSession, marker, {"batch_id": batch_id, "run_id": ctx.run_id, **res.manifest()})
+        res = process_parsed(batch.sparkSession, replace(cfg), parsed, ctx, listing(batch), token, finished)
+        if cfg.delete_sources:
+            finished(res)  # now with the number of sources deleted
         if not keep_stages:
             res.drop_stages(batch.sparkSession)
         if results is not None:

@@ -2,6 +2,9 @@
 
 import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from pactline.contract import shipped_contract, shipped_endpoints
 from pactline.plans.pipeline import BatchConfig
 from pactline.sinks.parquet import read_hive_parquet
@@ -81,3 +84,36 @@ def test_incremental_consumes_good_files_only(spark, records, workdir):
     assert sorted(os.listdir(os.path.join(workdir, "landing"))) == ["bad.json"]
     assert [(r.processed_files, r.skipped_count, r.deleted_source_files) for r in results] == [(1, 1, 1), (1, 0, 1)]
     assert read_hive_parquet(spark, cfg.core_path).count() == 2
+
+
+def test_batch_that_failed_before_its_marker_doubles_nothing(spark, records, workdir, monkeypatch):
+    from pactline.streaming import incremental
+
+    cfg = BatchConfig(contract=shipped_contract(), landing_path=os.path.join(workdir, "landing"),
+                      core_path=os.path.join(workdir, "core"), atts_path=os.path.join(workdir, "atts"),
+                      endpoints=shipped_endpoints(), requests_path=os.path.join(workdir, "requests"),
+                      delete_sources=True)
+    ckpt = os.path.join(workdir, "_ckpt")
+    land(workdir, "landing/a.json", records[0])
+    write = incremental.write_json_document
+
+    def cut(session, path, payload):
+        if path.endswith("/0.json"):
+            raise OSError("lost before the marker")
+        write(session, path, payload)
+
+    monkeypatch.setattr(incremental, "write_json_document", cut)
+    with pytest.raises(StreamingQueryException):
+        start_incremental(spark, cfg, ckpt, "run", now=NOW).awaitTermination()
+    atts = read_hive_parquet(spark, cfg.atts_path).count()
+    requests = spark.read.json(cfg.requests_path).count()
+    assert read_hive_parquet(spark, cfg.core_path).count() == 1 and atts and requests
+    assert os.listdir(os.path.join(workdir, "landing")) == ["a.json"]  # not consumed before the marker
+    monkeypatch.setattr(incremental, "write_json_document", write)
+    results = []
+    start_incremental(spark, cfg, ckpt, "again", results=results).awaitTermination()
+    core = read_hive_parquet(spark, cfg.core_path)
+    assert [r.ejecucion_id for r in core.collect()] == ["run-0"]
+    assert read_hive_parquet(spark, cfg.atts_path).count() == atts
+    assert spark.read.json(cfg.requests_path).count() == requests
+    assert os.listdir(os.path.join(workdir, "landing")) == [] and results[0].deleted_source_files == 1
