@@ -7,14 +7,19 @@ Tokens with equal vectors form an equivalence class; classes that are large and
 frequent (``LEAST_PAGES`` pages, ``SUPPORT`` of the host's pages, two tokens) are
 valid, and nest by their vectors: the class that is once on every page is the
 root, the others hang below it with falling support. Text tokens of valid
-classes are template, the rest are slots.
+classes are template, the rest are slots; every page is read by its slots.
 
-The slot that holds the article is its semantic container (article, main, or a
-container named so) where the page has one, else the container path of the host
-that carries most unlinked slot text. Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and comments are left out by
-element, role and name. Inside an article the text is never compared with
-other pages, so passages that many pages quote stay.
+Element names are a hint for which slots are the article: a semantic container
+(article, main, or a container named so) where the page has one, else the
+container path of the host that carries most unlinked slot text. Menus, headers,
+footers, sidebars, notices, adverts, forms, scripts, styles and comments are
+left out by element, role and name.
+
+Passages that many pages quote stay: inside a container a text is template only
+if every page of the host has it, or if its class also holds the tag of its own
+element, so that both come and go together; quotation elements are never
+template, and a host whose container text would be template for more than half
+has copies of one article and loses nothing inside containers.
 
 Defined results: null html is empty text; pages without a url share the host
 ""; repeated rows give equal rows; a host with too few pages has no template and
@@ -37,6 +42,7 @@ from pyspark.sql import functions as F
 from pactline.llm.common import stage
 
 LEAST_PAGES = 3
+PAGE = 0  # stands for a page among its tokens
 SUPPORT = 0.3
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -52,14 +58,21 @@ OUT_WORDS = frozenset("ad ads advert advertisement advertising adsense adbox ads
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 MAIN_WORDS = frozenset("article articlebody content story entry post maincontent".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+QUOTE = re.compile(r"/blockquote(?=[/.]|$)")
 
 
 class Block(NamedTuple):
     text: str
     path: str
     out: bool  # inside a left-out element
-    main: int  # number of the semantic container, 0 outside
+    main: int  # number of the outermost semantic container, 0 outside
     linked: int  # characters inside links
+    at: int  # number of the element that holds the block
+
+
+class Tree(NamedTuple):
+    parents: list[int]  # the element around each element; the root is its own
+    mains: list[tuple[int, str]]  # element and path of each semantic container, from number 1 on
 
 
 class _Open(NamedTuple):
@@ -68,6 +81,7 @@ class _Open(NamedTuple):
     out: bool
     header: bool
     main: int
+    at: int
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -78,13 +92,14 @@ def _words(value: str) -> set[str]:
     return set(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
 
 
-def parse(page: str) -> tuple[list[Block], Counter]:
-    """Text blocks in page order, and the number of times each tag path occurs."""
-    stack = [_Open("", "", False, False, 0)]
+def parse(page: str) -> tuple[list[Block], Counter, Tree]:
+    """Text blocks in page order, the number of times each tag path occurs, and the elements that hold blocks."""
+    stack = [_Open("", "", False, False, 0, 0)]
+    tree = Tree([0], [(0, "")])
     blocks: list[Block] = []
     tags: Counter = Counter()
     text: list[str] = []
-    mains = links = linked = 0
+    links = linked = 0
     heading = False
 
     def flush() -> None:
@@ -93,7 +108,7 @@ def parse(page: str) -> tuple[list[Block], Counter]:
         text.clear()
         top = stack[-1]
         if joined:
-            blocks.append(Block(joined, top.path, top.out or (top.header and not (top.main and heading)), top.main, linked))
+            blocks.append(Block(joined, top.path, top.out or (top.header and not (top.main and heading)), top.main, linked, top.at))
         linked = 0
 
     for m in TOKEN.finditer(page):
@@ -144,33 +159,37 @@ def parse(page: str) -> tuple[list[Block], Counter]:
         if tag in CONTAINERS or tag == "head" or (out and not top.out):
             main = top.main
             if not out and not main and (tag in ("article", "main") or role in ("main", "article") or attributes.get("itemprop", "").lower() == "articlebody" or (tag in ("div", "section") and named & MAIN_WORDS)):
-                mains += 1
-                main = mains
-            elif not out and main and tag == "article":  # an article inside main or another container
-                mains += 1
-                main = mains
-            stack.append(_Open(tag, path, out, header, main))
+                main = len(tree.mains)
+                tree.mains.append((len(tree.parents), path))
+            stack.append(_Open(tag, path, out, header, main, len(tree.parents)))
+            tree.parents.append(top.at)
     flush()
-    return blocks, tags
+    return blocks, tags, tree
 
 
-def main_text(blocks: list[Block], template: frozenset[int], content_path: str | None) -> str:
-    """The article: its semantic container, else the host's content path, without template text."""
+def main_text(blocks: list[Block], tree: Tree, template: frozenset[int], content_path: int | None, deduced: bool) -> str:
+    """The article: the slots of its semantic container, else of the host's content path."""
     kept = [b for b in blocks if not b.out]
+    slots = [b for b in kept if token_id(b) not in template]
+    if any(b.main for b in kept) and not any(b.main for b in slots):
+        slots = kept  # the article of other pages once more
     sizes: Counter = Counter()
-    for b in kept:
+    for b in slots:
         if b.main:
             sizes[b.main] += len(b.text) - b.linked
     if sizes:
         best = max(sizes, key=lambda k: (sizes[k], -k))
-        return "\n\n".join(b.text for b in kept if b.main == best)
-    slots = [b for b in kept if token_id(b) not in template]
-    inside = [b for b in slots if content_path and (b.path == content_path or b.path.startswith(content_path + "/"))]
+        return "\n\n".join(b.text for b in slots if b.main == best)
+    inside = [b for b in slots if any(_digest(b.path[:m.start()]) == content_path for m in re.finditer("/|$", b.path))]
     return "\n\n".join(b.text for b in (inside or slots) if 2 * b.linked <= len(b.text))
 
 
+def _digest(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
 def token_id(block: Block) -> int:
-    return xxhash.xxh3_64_intdigest(f"{block.path}\n{block.text}") - (1 << 63)
+    return _digest(f"{block.path}\n{block.text}")
 
 
 def _host():
@@ -179,60 +198,79 @@ def _host():
 
 
 def _tokens(pages: DataFrame) -> DataFrame:
-    """Per page: (host, page, token, is_text, times, path, free); ``free`` are the unlinked characters of slots below a path."""
-    names = ["host", "page", "token", "is_text", "times", "path", "free"]
+    """Per page: (host, page, token, is_text, times, path, free, holder, inner); ``path`` and ``holder`` are tag tokens.
+
+    ``free`` are the unlinked characters of slots below a path; texts inside a
+    container have their element as ``holder`` and their characters as ``inner`` instead.
+    One row a page, with null ``is_text``, stands for the page and its ``inner``.
+    """
+    names = ["host", "page", "token", "is_text", "times", "path", "free", "holder", "inner"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 page = source.as_py()
-                blocks, tags = parse(page)
-                own = xxhash.xxh3_64_intdigest(page) - (1 << 63)
-                rows += [(host, own, xxhash.xxh3_64_intdigest(p) - (1 << 63), False, n, None, 0) for p, n in tags.items()]
+                blocks, tags, _ = parse(page)
+                own = _digest(page)
+                rows += [(host, own, _digest(p), False, n, None, 0, None, 0) for p, n in tags.items()]
                 seen: dict[int, list] = {}
                 for b in blocks:
                     if not b.main:
-                        at = seen.setdefault(token_id(b), [0, b.path, 0 if b.out else max(0, len(b.text) - 2 * b.linked)])
-                        at[0] += 1
-                rows += [(host, own, t, True, n, path, free) for t, (n, path, free) in seen.items()]
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 7
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.int64()]
+                        at = seen.setdefault(token_id(b), [0, _digest(b.path), 0 if b.out else max(0, len(b.text) - 2 * b.linked), None, 0])
+                    elif b.out or QUOTE.search(b.path):
+                        continue
+                    else:
+                        at = seen.setdefault(token_id(b), [0, None, 0, _digest(b.path), 0])
+                        at[4] += len(b.text)
+                    at[0] += 1
+                rows += [(host, own, t, True, *at) for t, at in seen.items()]
+                rows.append((host, own, PAGE, None, 1, None, 0, None, sum(at[4] for at in seen.values())))
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 9
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 5]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
-    return pages.mapInArrow(run, "host string, page long, token long, is_text boolean, times long, path string, free long")
+    return pages.mapInArrow(run, "host string, page long, token long, is_text boolean, times long, path long, free long, holder long, inner long")
 
 
 def deduce_templates(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """(host, template array<long>, content_path): the template's text tokens and the path of the main slot; ``pages(host, html)``."""
-    tokens = _tokens(pages).groupBy("host", "page", "token").agg(
-        F.max("is_text").alias("is_text"), F.max("times").alias("times"), F.first("path").alias("path"), F.max("free").alias("free"))
-    tokens = stage(spark, tokens, "page-tokens")
-    hosts = tokens.groupBy("host", "page").agg(F.lit(1).alias("x")).groupBy("host").agg(F.count("x").alias("pages"))
+    """(host, template array<long>, content_path, deduced): the template's text tokens, the path of the main slot outside containers, and whether the host has pages enough; ``pages(host, html)``."""
+    tokens = _tokens(pages).groupBy("host", "page", "token").agg(*(F.max(c).alias(c) for c in ("is_text", "times", "path", "free", "holder", "inner")))
     vectors = tokens.groupBy("host", "token").agg(
-        F.max("is_text").alias("is_text"), F.count(F.lit(1)).alias("support"), F.max("times").alias("most"),
-        F.bit_xor(F.xxhash64("page", "times")).alias("vector"), F.first("path").alias("path"), F.sum("free").alias("free"))
-    vectors = stage(spark, vectors.join(hosts, "host"), "page-vectors")
-    frequent = vectors.where(f"support >= {LEAST_PAGES} and support >= {SUPPORT} * pages")
-    classes = frequent.groupBy("host", "support", "vector").agg(F.count(F.lit(1)).alias("size"), F.max("most").alias("most")).where("size >= 2")
+        F.max("is_text").alias("is_text"), F.count(F.lit(1)).alias("support"), F.bit_xor(F.xxhash64("page", "times")).alias("vector"),
+        F.max("path").alias("path"), F.sum("free").alias("free"), F.max("holder").alias("holder"), F.sum("inner").alias("inner"))
+    vectors = stage(spark, vectors.where(f"is_text is null or support >= {LEAST_PAGES} or free > 0"), "page-vectors")
+    hosts = vectors.where("is_text is null").select("host", F.col("support").alias("pages"), F.col("inner").alias("all_inner"))
+    frequent = vectors.where(f"is_text is not null and support >= {LEAST_PAGES}").join(hosts, "host").where(f"support >= {SUPPORT} * pages")
+    frequent = stage(spark, frequent, "page-frequent")
+    same = ["host", "support", "vector"]
+    classes = frequent.groupBy(same).agg(F.count(F.lit(1)).alias("size")).where("size >= 2")
     # a class nests in the root if it is as frequent, else below it; every valid class is part of the host's template
-    members = frequent.where("is_text").join(classes.select("host", "support", "vector"), ["host", "support", "vector"]).select("host", "token", F.lit(True).alias("valid"))
+    outside = frequent.where("is_text and holder is null").join(classes, same).select("host", "token")
+    # inside containers also quoted passages form classes: those have no element of their own, and are not on every page
+    held = frequent.where("not is_text").select(*same, F.col("token").alias("holder"), F.lit(True).alias("held"))
+    inside = frequent.where("holder is not null").join(held, [*same, "holder"], "left").where("support = pages or held").select("host", "token", "inner", "all_inner")
+    copies = inside.groupBy("host").agg(F.sum("inner").alias("inner"), F.max("all_inner").alias("all_inner")).where("2 * inner > all_inner").select("host")
+    members = outside.unionByName(inside.join(copies, "host", "left_anti").select("host", "token"))
     template = members.groupBy("host").agg(F.collect_set("token").alias("template"))
-    slots = vectors.where("is_text").join(members, ["host", "token"], "left_anti")
+    slots = vectors.where("is_text and free > 0").join(members, ["host", "token"], "left_anti")
     paths = slots.groupBy("host", "path").agg(F.sum("free").alias("free")).groupBy("host").agg(F.max_by("path", F.struct("free", "path")).alias("content_path"))
-    return stage(spark, template.join(paths, "host", "full").select("host", "template", "content_path"), "templates")
+    enough = hosts.select("host", (F.col("pages") >= LEAST_PAGES).alias("deduced"))
+    return stage(spark, enough.join(template.join(paths, "host", "full"), "host", "left").select("host", "template", "content_path", "deduced"), "templates")
 
 
 def extract_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Per row: page_id, url, text, n_chars."""
     rows = pages.select("page_id", "url", _host().alias("host"), F.coalesce("html", F.lit("")).alias("html"))
     templates = deduce_templates(spark, rows.select("host", "html"))
-    joined = rows.join(templates, "host", "left").select("page_id", "url", "html", "template", "content_path")
+    joined = rows.join(templates, "host", "left").select("page_id", "url", "html", "template", "content_path", "deduced")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(parse(page.as_py())[0], frozenset(template or ()), path)
-                     for page, template, path in zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)]
+            texts = []
+            for page, template, path, deduced in zip(batch.column(2), *(batch.column(i).to_pylist() for i in (3, 4, 5)), strict=True):
+                blocks, _, tree = parse(page.as_py())
+                texts.append(main_text(blocks, tree, frozenset(template or ()), path, bool(deduced)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return joined.mapInArrow(run, f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")

@@ -55,6 +55,28 @@ def test_pages(spark):
     assert texts[12] == "Body number 2 of some length, told in full here.\n\nMore 2 words follow."
 
 
+def pages_of(spark, rows):
+    rows = [(i, f"http://{host}/{i}", html) for i, (host, html) in enumerate(rows)]
+    return {r["page_id"]: r["text"] for r in html_extract.extract_pages(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_template_text_inside_containers_goes(spark):
+    page = "<html><body><article><h1>Title {0}</h1><p>Body number {0} is told here at some length.</p>{1}<div class=low>All rights kept</div><p>Tell your friends</p></article></body></html>"
+    quote = "<p>A passage that some pages quote.</p><p>It has two paragraphs.</p><blockquote>And a quotation.</blockquote>"
+    box = "<div class=box><p>Legal line of some pages</p></div>"
+    got = pages_of(spark, [("a.org", page.format(i, quote if i % 2 else box)) for i in range(8)] + [("b.org", page.format(0, box).replace("0", "x" * i)) for i in range(2)])
+    own = "Title {0}\n\nBody number {0} is told here at some length."
+    assert got[4] == own.format(4)
+    assert got[5] == own.format(5) + "\n\nA passage that some pages quote.\n\nIt has two paragraphs.\n\nAnd a quotation."
+    assert "Tell your friends" in got[8]  # two pages have no template
+
+
+def test_copies_of_one_article_stay(spark):
+    page = "<body><nav>{0}</nav><article><h1>One title</h1><p>The same long article on every page of the host.</p><p>Edit {1}</p></article></body>"
+    got = pages_of(spark, [("a.org", page.format(i, i % 2)) for i in range(4)] + [("b.org", page.format(i, 1)) for i in range(4)])
+    assert all(t.startswith("One title\n\nThe same long article") for t in got.values())
+
+
 def test_sharding(spark):
     docs, rows = awkward_docs(spark, n=400)
     got = sharding.op4_shards(spark, docs, 6).collect()
