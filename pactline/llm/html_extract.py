@@ -10,10 +10,13 @@ root, the others hang below it with falling support. Text tokens of valid
 classes are template, the rest are slots; every page is read by its slots.
 
 Element names are a hint for which slots are the article: a semantic container
-(article, main, or a container named so) where the page has one, else the
-container path of the host that carries most unlinked slot text. Menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles and comments are
-left out by element, role and name.
+(article, main, or a container named so) with all it holds, its sibling parts
+and parts of the same path, loose text of the elements around it and, where the
+host has a template, the slots beside it. Pages without a container give all
+their slots. Outside the container, or the host's path with most slot text,
+blocks that are mostly links do not count. Menus, headers, footers, sidebars,
+notices, adverts, forms, scripts, styles and comments are left out by
+element, role and name.
 
 Passages that many pages quote stay: inside a container a text is template only
 if every page of the host has it, or if its class also holds the tag of its own
@@ -168,7 +171,7 @@ def parse(page: str) -> tuple[list[Block], Counter, Tree]:
 
 
 def main_text(blocks: list[Block], tree: Tree, template: frozenset[int], content_path: int | None, deduced: bool) -> str:
-    """The article: the slots of its semantic container, else of the host's content path."""
+    """The article's slots, by its semantic containers and what lies around them, else all slots of the page."""
     kept = [b for b in blocks if not b.out]
     slots = [b for b in kept if token_id(b) not in template]
     if any(b.main for b in kept) and not any(b.main for b in slots):
@@ -177,11 +180,26 @@ def main_text(blocks: list[Block], tree: Tree, template: frozenset[int], content
     for b in slots:
         if b.main:
             sizes[b.main] += len(b.text) - b.linked
-    if sizes:
-        best = max(sizes, key=lambda k: (sizes[k], -k))
-        return "\n\n".join(b.text for b in slots if b.main == best)
-    inside = [b for b in slots if any(_digest(b.path[:m.start()]) == content_path for m in re.finditer("/|$", b.path))]
-    return "\n\n".join(b.text for b in (inside or slots) if 2 * b.linked <= len(b.text))
+    if not sizes:
+        inside = lambda b: any(_digest(b.path[:m.start()]) == content_path for m in re.finditer("/|$", b.path))
+        return "\n\n".join(b.text for b in slots if 2 * b.linked <= len(b.text) or inside(b))
+    best, best_path = tree.mains[max(sizes, key=lambda k: (sizes[k], -k))]
+    parent = at = tree.parents[best]
+    around = {0, at}
+    while at:
+        at = tree.parents[at]
+        around.add(at)
+    beside = [deduced and parent == 0]  # per element: the container's parent or below it
+    for i, up in enumerate(tree.parents[1:], 1):
+        beside.append(deduced and (i == parent or beside[up]))
+
+    def belongs(b: Block) -> bool:
+        if b.main:
+            own, path = tree.mains[b.main]
+            return path == best_path or tree.parents[own] == parent
+        return (b.at in around or beside[b.at]) and 2 * b.linked <= len(b.text)
+
+    return "\n\n".join(b.text for b in slots if belongs(b))
 
 
 def _digest(text: str) -> int:

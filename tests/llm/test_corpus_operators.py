@@ -77,6 +77,21 @@ def test_copies_of_one_article_stay(spark):
     assert all(t.startswith("One title\n\nThe same long article") for t in got.values())
 
 
+def test_articles_in_parts(spark):
+    lead = "<body><main><h1>Title</h1><p>Lead</p><article><p>Body text of the article, longer than its lead.</p></article></main></body>"
+    split = "<body><div class=content><p>First part, which is the longer one.</p></div><div class=ad>Buy</div><div class=content><p>Second part</p><p><a href=x>A reference</a></p></div></body>"
+    around = "<body><h1>Title</h1><p>Lead</p><div class=box>Elsewhere</div><article><p>Body</p></article></body>"
+    sibling = "<body><div class=site>Acme News</div><div class=head><h1>Title {0}</h1></div><div class=text><p>Body number {0}, long enough.</p><p><a href=x>Reference {0}</a></p></div><div class=tops><a href=y>Other story {0}</a></div></body>"
+    beside = "<body><div class=site>Acme News</div><div class=head><h1>Title {0}</h1></div><article><p>Body number {0}</p></article></body>"
+    rows = [("a.org", lead), ("b.org", split), ("c.org", around), *(("d.org", sibling.format(i)) for i in range(4)), *(("e.org", beside.format(i)) for i in range(4))]
+    got = pages_of(spark, rows)
+    assert got[0] == "Title\n\nLead\n\nBody text of the article, longer than its lead."
+    assert got[1] == "First part, which is the longer one.\n\nSecond part\n\nA reference"
+    assert got[2] == "Title\n\nLead\n\nBody"
+    assert got[4] == "Title 1\n\nBody number 1, long enough.\n\nReference 1"
+    assert got[8] == "Title 1\n\nBody number 1"
+
+
 def test_sharding(spark):
     docs, rows = awkward_docs(spark, n=400)
     got = sharding.op4_shards(spark, docs, 6).collect()
