@@ -4,7 +4,7 @@ Documents are tokenised once and cut at multiples of the window, so only the
 remainders need partners. The histogram of piece lengths (at most ``window``
 rows) goes to the driver: combinations of up to three lengths that fill the
 window exactly are enumerated, their repeat counts solved by NNLS against the
-histogram and rounded down within stock; the residual is packed greedily, largest first,
+histogram and rounded within stock; the residual is packed greedily, largest first,
 again on the histogram. The plan's size depends on the window, never on the
 data. Pieces take their places by their rank within their length.
 
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -103,55 +104,71 @@ def tokenize_pieces(docs: DataFrame, window: int = WINDOW, tokenizer: str = TOKE
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).mapInArrow(run, schema)
 
 
-def combinations(lengths: np.ndarray, window: int) -> list[tuple[int, ...]]:
-    """Exact fillings: one, two, or three lengths; triples lie on a lattice so that their number is O(window^2 / 64)."""
+def combinations(lengths: np.ndarray, window: int) -> np.ndarray:
+    """Exact fillings of ``lengths`` (ascending), one a row: one, two or three lengths, 0 for none; at most about window^2 / 12 rows."""
     have = np.zeros(window + 1, bool)
     have[lengths] = True
-    out: list[tuple[int, ...]] = [(window,)] if have[window] else []
-    out += [(int(a), int(window - a)) for a in lengths if a <= window - a and have[window - a]]
+    out = [np.array([[window, 0, 0]] if have[window] else [], np.int64).reshape(-1, 3)]
+    pair = lengths[(2 * lengths <= window) & have[window - lengths]]
+    out.append(np.stack([pair, window - pair, np.zeros_like(pair)], 1))
     for a in lengths[lengths <= window // 3]:
-        b = np.arange(a, (window - a) // 2 + 1, max(1, window // 32))
-        c = window - a - b
-        ok = have[b] & have[c]
-        out += [(int(a), int(x), int(y)) for x, y in zip(b[ok], c[ok], strict=True)]
-    return out
-
-
-def nnls(rows: np.ndarray, cols: np.ndarray, size: int, goal: np.ndarray, n: int, rounds: int = 400) -> np.ndarray:
-    """min |A x - goal|, x >= 0, by accelerated projected gradient; A has ones at (rows, cols)."""
-    col_max = np.bincount(cols, minlength=n).max()
-    row_max = np.bincount(rows, minlength=size).max()
-    step = 1.0 / (col_max * row_max)
-    x = y = np.zeros(n)
+        b = lengths[(lengths >= a) & (2 * lengths <= window - a)]
+        b = b[have[window - a - b]]
+        out.append(np.stack([np.full_like(b, a), b, window - a - b], 1))
+    return np.concatenate(out)
+
+
+def nnls(combos: np.ndarray, goal: np.ndarray, rounds: int = 400) -> np.ndarray:
+    """min |A x - goal|, x >= 0, by accelerated projected gradient; a column of A counts the lengths of a combination.
+
+    The steps are the inverse of A'A's row sums, a diagonal that bounds it.
+    """
+    def times(v: np.ndarray) -> np.ndarray:
+        out = sum(np.bincount(c, v, minlength=len(goal)) for c in combos.T)
+        out[0] = 0.0
+        return out
+
+    back = lambda v: sum(v[c] for c in combos.T)
+    step = 1.0 / back(times(np.ones(len(combos))))
+    x = y = np.zeros(len(combos))
     t = 1.0
     for _ in range(rounds):
-        miss = np.bincount(rows, y[cols], minlength=size) - goal
-        new = np.maximum(0.0, y - step * np.bincount(cols, miss[rows], minlength=n))
+        miss = times(y) - goal
+        new = np.maximum(0.0, y - step * back(miss))
         t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
         y, x, t = new + (t - 1) / t_new * (new - x), new, t_new
     return x
 
 
 def _solve(histogram: dict[int, int], window: int, rounds: tuple[tuple[int, ...], ...]) -> list[tuple[tuple[int, ...], int]]:
-    """One plan: NNLS over the combinations of each round's depths, then the residual greedily."""
+    """One plan: NNLS over the combinations of each round's depths, then the residual greedily.
+
+    Repeats are rounded along the columns' running sum, so that many small shares add up.
+    """
     left = np.zeros(window + 1, np.int64)
     for length, n in histogram.items():
         left[length] = n
-    chosen: list[tuple[tuple[int, ...], int]] = []
+    chosen: Counter = Counter()
     for depths in rounds:
-        combos = [c for c in combinations(np.flatnonzero(left), window) if len(c) in depths]
-        if not combos:
+        combos = combinations(np.flatnonzero(left), window)
+        combos = combos[np.isin((combos > 0).sum(1), depths)]
+        if not len(combos):
             continue
-        rows = np.array([v for c in combos for v in c])
-        cols = np.repeat(np.arange(len(combos)), [len(c) for c in combos])
-        x = nnls(rows, cols, window + 1, left.astype(float), len(combos))
-        for i in np.argsort(-x, kind="stable"):
-            need = {v: combos[i].count(v) for v in combos[i]}
-            n = min([int(x[i] + 0.5), *(int(left[v]) // k for v, k in need.items())])
+        x = nnls(combos, left.astype(float))
+        whole = np.floor(x)
+        part = np.floor(np.cumsum(x - whole) + 0.5)
+        share = (whole + np.diff(part, prepend=0.0)).astype(np.int64)
+        stock = left.tolist()
+        order = np.argsort(-x, kind="stable")
+        for i in order[share[order] > 0]:
+            combo = tuple(v for v in combos[i].tolist() if v)
+            n = min(int(share[i]), *(stock[v] // combo.count(v) for v in combo))
             if n > 0:
-                chosen.append((combos[i], n))
-                for v, k in need.items():
-                    left[v] -= n * k
+                chosen[combo] += n
+                for v in combo:
+                    stock[v] -= n
+        left = np.array(stock, np.int64)
+    chosen = list(chosen.items())
     while left.any():  # each pattern uses up at least one length
         room, pattern, stock = window, [], left.copy()
         while room and (fit := np.flatnonzero(stock[: room + 1])).size:

@@ -165,6 +165,23 @@ def test_plan_covers_the_histogram():
     assert used == histogram and padding < 0.01 * sum(k * n for k, n in histogram.items())
 
 
+def test_plan_of_few_lengths():
+    assert packing.plan({600: 900, 700: 900, 748: 900}) == [((600, 700, 748), 900)]
+    used, padding = Counter(), 0
+    histogram = {600: 1000, 700: 1000, 748: 1000, 1000: 300, 1048: 300, 682: 200, 684: 100}
+    for pattern, n in packing.plan(histogram):
+        padding += n * (2048 - sum(pattern))
+        for v in pattern:
+            used[v] += n
+    assert used == histogram and padding == 0
+
+
+def test_every_exact_filling_is_a_combination():
+    lengths = np.array(sorted(random.Random(4).sample(range(1, 97), 40)))
+    every = {tuple(sorted((a, b, c))) for a in (0, *lengths) for b in (0, *lengths) for c in (0, *lengths) if a + b + c == 96}
+    assert sorted(tuple(sorted(c)) for c in packing.combinations(lengths, 96).tolist()) == sorted(every)
+
+
 @pytest.mark.parametrize("bound", [1, 50, 1 << 20, 1 << 63])
 def test_elias_fano(bound):
     values = np.sort(np.random.default_rng(1).integers(0, bound, 3000).astype(np.uint64))
