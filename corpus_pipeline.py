@@ -23,7 +23,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes lines that repeat an earlier line within one edit; documents stay, ``n_chars`` follows the text."""
+    """Removes lines that repeat an earlier line within one edit, short ones if equal; documents stay, ``n_chars`` follows the text."""
     out = dedup_lines(spark, docs)
     if "n_chars" in docs.columns:
         changed = F.char_length("text").cast(docs.schema["n_chars"].dataType)

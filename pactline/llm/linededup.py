@@ -18,8 +18,10 @@ must be the only place where two lines differ. Variants are hashed as
 (hash of the text before and after the block, the block without the code point). Every link
 is verified by edit distance on the whole lines.
 
-Defined results: lines under ``MIN_CHARS`` code points are kept as they are
-(one edit turns short words into others); null text stays null and has no
+Defined results: lines under ``MIN_CHARS`` code points are removed only if they
+equal an earlier line (one edit turns short words into others), down to
+``exact_from`` code points; empty lines stay; ``op1_linededup`` judges lines from
+``MIN_CHARS`` on, as its SQL says; null text stays null and has no
 lines; null doc_ids come last; rows equal in doc_id and text are one document
 and get the same result; rows with equal doc_ids follow by text hash.
 """
@@ -40,10 +42,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_tid": F.xxhash64(F.col("text"))})
 
 
-def _lines(keyed: DataFrame) -> DataFrame:
+def _lines(keyed: DataFrame, exact_from: int) -> DataFrame:
     """(at, line, h, n) of every line that is judged; ``at`` orders lines."""
     rows = keyed.where("text is not null").select("_doc", "_tid", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return rows.select(F.struct("_doc", "_tid", "pos").alias("at"), "line", F.xxhash64("line").alias("h"), F.char_length("line").alias("n")).where(f"n >= {MIN_CHARS}")
+    return rows.select(F.struct("_doc", "_tid", "pos").alias("at"), "line", F.xxhash64("line").alias("h"), F.char_length("line").alias("n")).where(f"n >= {max(1, exact_from)}")
 
 
 def _half_keys() -> list:
@@ -111,13 +113,13 @@ def _near_links(spark: SparkSession, lines: DataFrame) -> DataFrame:
     return near
 
 
-def removed_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def removed_lines(spark: SparkSession, docs: DataFrame, exact_from: int = 1) -> DataFrame:
     """(_doc, _tid, drops): the line numbers to remove of each document that loses any."""
     keyed = _keyed(docs)
-    every = _lines(keyed)
+    every = _lines(keyed, exact_from)
     first = stage(spark, every.select("h", "n", "at", F.array_compact(F.array(*_half_keys())).alias("keys")).groupBy("h", "n").agg(
         F.min("at").alias("at"), F.count(F.lit(1)).alias("m"), F.first("keys").alias("keys")), "lines")
-    halves = first.select("h", "n", "at", F.explode("keys").alias("key"))
+    halves = first.where(f"n >= {MIN_CHARS}").select("h", "n", "at", F.explode("keys").alias("key"))
     shared = stage(spark, halves.groupBy("key").agg(F.min("h").alias("l"), F.max("h").alias("g")).where("l <> g").select("key"), "line-halves")
     places = halves.join(shared, "key").groupBy("at._doc", "at._tid").agg(F.collect_set("at.pos").alias("places"))
     places = stage(spark, places, "line-places")
@@ -135,11 +137,11 @@ def removed_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return drops
 
 
-def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` with ``text`` less its removed lines, plus ``n_lines`` and ``n_removed``."""
+def dedup_lines(spark: SparkSession, docs: DataFrame, exact_from: int = 1) -> DataFrame:
+    """``docs`` with ``text`` less its removed lines, plus ``n_lines`` and ``n_removed``; lines under ``exact_from`` code points stay."""
     keyed = _keyed(docs.drop("n_lines", "n_removed"))
     # the list grows with the corpus: never broadcast, so the plan is the same at every size
-    joined = keyed.hint("merge").join(removed_lines(spark, docs), ["_doc", "_tid"], "left")
+    joined = keyed.hint("merge").join(removed_lines(spark, docs, exact_from), ["_doc", "_tid"], "left")
     gone = F.col("drops")
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(gone, i)), "\n")
     n_lines = F.coalesce(F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0))
@@ -149,7 +151,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def op1_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    return dedup_lines(spark, docs.select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", "text")
+    return dedup_lines(spark, docs.select("doc_id", "text"), exact_from=MIN_CHARS).select("doc_id", "n_lines", "n_removed", "text")
 
 
 ORACLE = f"""

@@ -44,6 +44,13 @@ def test_lines_against_brute_force(spark):
         assert got[doc] == (4 - len(kept), "\n".join(kept))
 
 
+def test_short_lines_by_equality(spark):
+    long = "a line that is long enough"
+    docs = [(1, "Read more\n\nx"), (2, f"Read more\nRead mord\n\nx\n{long}"), (3, f"{long}s\nShare this\nRead more\nRead more"), (4, "Read more")]
+    got = {r["doc_id"]: (r["n_removed"], r["text"]) for r in linededup.dedup_lines(spark, spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: (0, "Read more\n\nx"), 2: (2, f"Read mord\n\n{long}"), 3: (3, "Share this"), 4: (1, "")}
+
+
 def test_lines_awkward(spark):
     docs, rows = awkward_docs(spark)
     out = linededup.dedup_lines(spark, docs)
