@@ -19,6 +19,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ CACHE_WORDS = 400_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+@lru_cache(maxsize=1)  # one a worker: a released one stays in memory until a full collection
 def make_encoder(name: str = TOKENIZER, end_id: int = 1):
     """A function from text to its ids (with the end id) as little-endian uint32 bytes.
 
