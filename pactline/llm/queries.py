@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pactline.llm import decontamination, fingerprints, html_extract, linededup, lm, neardup, packing, repeats, sharding, toxicity
+from pactline.llm import decontamination, fingerprints, html_extract, linededup, lm, mixing, neardup, packing, repeats, sharding, toxicity
 from pactline.llm.common import read_table
 
 
@@ -50,8 +50,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.op10_contamination(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op11_mix(spark, read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_linededup, op2_fingerprints, op3_html, op4_sharding, op5_lm, op6_packing, op7_toxicity, op8_repeats, op9_neardup, op10_decontamination)
+    f.__name__: f for f in (op1_linededup, op2_fingerprints, op3_html, op4_sharding, op5_lm, op6_packing, op7_toxicity, op8_repeats, op9_neardup, op10_decontamination, op11_mixing)
 }
 
-ORACLE_SQL = {"op1_linededup": linededup.ORACLE, "op10_decontamination": decontamination.ORACLE}
+ORACLE_SQL = {"op1_linededup": linededup.ORACLE, "op10_decontamination": decontamination.ORACLE, "op11_mixing": mixing.ORACLE}
