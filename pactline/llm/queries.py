@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pactline.llm import alignment, decontamination, fingerprints, html_extract, linededup, lm, mixing, neardup, packing, repeats, sharding, toxicity
+from pactline.llm import alignment, conversations, decontamination, fingerprints, html_extract, linededup, lm, mixing, neardup, packing, repeats, sharding, toxicity
 from pactline.llm.common import read_table
 
 
@@ -54,12 +54,16 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op11_mix(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.op12_repair(spark, read_table(spark, sf_dir, "conversations"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(spark, read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_linededup, op2_fingerprints, op3_html, op4_sharding, op5_lm, op6_packing, op7_toxicity, op8_repeats, op9_neardup, op10_decontamination, op11_mixing, op13_alignment)
+    f.__name__: f for f in (op1_linededup, op2_fingerprints, op3_html, op4_sharding, op5_lm, op6_packing, op7_toxicity, op8_repeats, op9_neardup, op10_decontamination, op11_mixing, op12_repair, op13_alignment)
 }
 
 ORACLE_SQL = {"op1_linededup": linededup.ORACLE, "op10_decontamination": decontamination.ORACLE, "op11_mixing": mixing.ORACLE}
