@@ -149,7 +149,7 @@ def ranked_members(members: DataFrame) -> DataFrame:
     before = Window.partitionBy("band").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     bases = cut.groupBy("band", "salt").agg(F.count(F.lit(1)).alias("c")).select("band", "salt", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("base"))
     own = F.row_number().over(Window.partitionBy("band", "salt").orderBy("node"))
-    return cut.withColumn("own", own).join(bases, ["band", "salt"]).select("band", "node", "n", "bits", (F.col("own") + F.col("base")).alias("rank"))
+    return cut.withColumn("own", own).join(bases, ["band", "salt"]).select("band", "node", "n", (F.col("own") + F.col("base")).alias("rank"))
 
 
 def confirmed(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -167,7 +167,8 @@ def confirmed(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: Dat
 def find_links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, ranked: DataFrame, size: int, percent: int) -> DataFrame | None:
     """Confirmed links, enough of them to join every component, as (node, root); None without links.
 
-    ``ranked`` is a staged table; the tables of each round are dropped when the next has been written.
+    ``ranked`` is a staged table of band, node, size and rank; a node's bitmap is joined to its rows in open
+    buckets alone. The tables of each round are dropped when the next has been written.
     """
     labels = links = None
     low, high = 1, 2  # nodes of these ranks are compared in this round
@@ -181,11 +182,15 @@ def find_links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, ranked: D
         if left.isEmpty():
             drop_stage(spark, left)
             return labels
-        a = left.where(f"rank >= {low} and rank < {high}").select("band", F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"), F.col("label").alias("la"), F.col("rank").alias("ra"))
-        b = left.select("band", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"), F.col("label").alias("lb"), F.col("rank").alias("rb"))
-        # a link differs in at most (100 - percent) / (100 + percent) of both sizes together
-        pairs = stage(spark, a.join(b, "band").where(
-            f"ra < rb and la <> lb and 100 * least(na, nb) >= {percent} * greatest(na, nb) and {100 + percent} * {differing_bits('ba', 'bb')} <= {100 - percent} * (na + nb)").select("a", "b").distinct(), "pairs")
+        # of each node the rows from its first turn on; as the list grows with the corpus, bitmaps are not broadcast
+        mapped = left.hint("merge").join(nodes.select("node", "bits"), "node")
+        a = mapped.where(f"rank >= {low} and rank < {high}").select(*(F.col(c).alias(f"{c}_a") for c in mapped.columns))
+        b = mapped.where(f"rank > {low}").select(*(F.col(c).alias(f"{c}_b") for c in mapped.columns))
+        # a link differs in at most (100 - percent) / (100 + percent) of both sizes together; this is part of the
+        # join's own condition (a filter behind a join would stay behind it), so other pairs never leave the join
+        test = (f"band_a = band_b and rank_a < rank_b and label_a <> label_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+                f" and {100 + percent} * {differing_bits('bits_a', 'bits_b')} <= {100 - percent} * (n_a + n_b)")
+        pairs = stage(spark, a.join(b, F.expr(test)).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "pairs")
         new = None if pairs.isEmpty() else confirmed(spark, docs, nodes, pairs, size, percent)
         drop_stage(spark, pairs)
         if new is not None and not new.isEmpty():
@@ -202,7 +207,7 @@ def find_components(spark: SparkSession, docs: DataFrame, size: int = 4, percent
     found = stage(spark, signatures(docs, size), "signatures")
     nodes = stage(spark, found.where("n > 0").groupBy("node").agg(
         F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "tid")).alias("at"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits")), "nodes")
-    member = nodes.select("node", "n", "bits", F.explode("bands").alias("band"))
+    member = nodes.select("node", "n", F.explode("bands").alias("band"))
     shared = stage(spark, member.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("band"), "shared-bands")
     ranked = stage(spark, ranked_members(member.join(shared, "band")), "ranks")
     drop_stage(spark, shared)
