@@ -19,11 +19,11 @@ must be the only place where two lines differ. Variants are hashed as
 is verified by edit distance on the whole lines.
 
 Defined results: lines under ``MIN_CHARS`` code points are removed only if they
-equal an earlier line (one edit turns short words into others), down to
-``exact_from`` code points; empty lines stay; ``op1_linededup`` judges lines from
-``MIN_CHARS`` on, as its SQL says; null text stays null and has no
-lines; null doc_ids come last; rows equal in doc_id and text are one document
-and get the same result; rows with equal doc_ids follow by text hash.
+equal an earlier line (one edit turns short words into others); empty lines stay; null text stays null and has no
+lines; an empty text has one empty line; null doc_ids come last; rows equal in doc_id and text are one document
+and get the same result; rows with equal doc_ids follow by text hash; an empty table gives no rows;
+columns of any name keep their values. A very long line is read whole, with one hash of what is
+before and after each of its about sqrt(length) blocks, and only if half of it occurs elsewhere.
 """
 
 from __future__ import annotations
@@ -39,7 +39,9 @@ BLOCK = 32  # least block length
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_tid": F.xxhash64(F.col("text"))})
+    """(row, text, _doc, _tid): a document travels as one struct, so no column of its own can clash with a key."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").cast("string").alias("text"),
+                       F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_doc"), F.xxhash64(F.col("text")).alias("_tid"))
 
 
 def _lines(keyed: DataFrame, exact_from: int) -> DataFrame:
@@ -138,30 +140,34 @@ def removed_lines(spark: SparkSession, docs: DataFrame, exact_from: int = 1) ->
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, exact_from: int = 1) -> DataFrame:
-    """``docs`` with ``text`` less its removed lines, plus ``n_lines`` and ``n_removed``; lines under ``exact_from`` code points stay."""
-    keyed = _keyed(docs.drop("n_lines", "n_removed"))
+    """``docs`` with ``text`` less its removed lines, plus ``n_lines`` and ``n_removed``; lines under ``exact_from`` code points stay.
+
+    Columns of ``docs`` keep their values and order whatever their names; only
+    own ``n_lines`` and ``n_removed`` give way to the counts.
+    """
     # the list grows with the corpus: never broadcast, so the plan is the same at every size
-    joined = keyed.hint("merge").join(removed_lines(spark, docs, exact_from), ["_doc", "_tid"], "left")
-    gone = F.col("drops")
+    joined = _keyed(docs).hint("merge").join(removed_lines(spark, docs, exact_from), ["_doc", "_tid"], "left")
+    gone, text = F.col("drops"), F.col("text")
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(gone, i)), "\n")
-    n_lines = F.coalesce(F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0))
-    out = joined.withColumns({"n_lines": n_lines.cast("long"), "n_removed": F.coalesce(F.size(gone), F.lit(0)).cast("long"),
-                              "text": F.when(gone.isNull(), F.col("text")).otherwise(kept)})
-    return out.select(*(c for c in docs.columns if c not in ("n_lines", "n_removed")), "n_lines", "n_removed")
+    n_lines = F.coalesce(F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
+    n_removed = F.coalesce(F.size(gone), F.lit(0)).cast("long")
+    own = [F.when(gone.isNull(), text).otherwise(kept).alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return joined.select(*own, n_lines.alias("n_lines"), n_removed.alias("n_removed"))
 
 
 def op1_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    return dedup_lines(spark, docs.select("doc_id", "text"), exact_from=MIN_CHARS).select("doc_id", "n_lines", "n_removed", "text")
+    return dedup_lines(spark, docs.select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", "text")
 
 
 ORACLE = f"""
 WITH e AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
-j AS (SELECT * FROM e WHERE length(line) >= {MIN_CHARS}),
+j AS (SELECT * FROM e WHERE line <> ''),
 f AS (SELECT line, length(line) AS n, min(row(doc_id, pos)) AS place FROM j GROUP BY line),
-v AS (SELECT line, n, place, i, substr(line, 1, i - 1) || substr(line, i + 1) AS cut FROM (SELECT line, n, place, CAST(unnest(range(1, n + 1)) AS INTEGER) AS i FROM f)),
-replaced AS (SELECT v.line FROM v JOIN (SELECT cut, i, min(place) AS place FROM v GROUP BY cut, i HAVING count(*) > 1) g USING (cut, i) WHERE g.place < v.place),
-longer AS (SELECT v.line FROM v JOIN f ON f.line = v.cut WHERE f.place < v.place),
-shorter AS (SELECT f.line FROM v JOIN f ON f.line = v.cut WHERE v.place < f.place),
+g AS (SELECT * FROM f WHERE n >= {MIN_CHARS}),
+v AS (SELECT line, n, place, i, substr(line, 1, i - 1) || substr(line, i + 1) AS cut FROM (SELECT line, n, place, CAST(unnest(range(1, n + 1)) AS INTEGER) AS i FROM g)),
+replaced AS (SELECT v.line FROM v JOIN (SELECT cut, i, min(place) AS place FROM v GROUP BY cut, i HAVING count(*) > 1) p USING (cut, i) WHERE p.place < v.place),
+longer AS (SELECT v.line FROM v JOIN g ON g.line = v.cut WHERE g.place < v.place),
+shorter AS (SELECT g.line FROM v JOIN g ON g.line = v.cut WHERE v.place < g.place),
 near AS (SELECT DISTINCT line FROM (SELECT * FROM replaced UNION ALL SELECT * FROM longer UNION ALL SELECT * FROM shorter)),
 d AS (SELECT j.doc_id, j.pos FROM j JOIN f USING (line) LEFT JOIN near USING (line) WHERE near.line IS NOT NULL OR row(j.doc_id, j.pos) <> f.place),
 r AS (SELECT e.doc_id, count(*) AS n_lines, count(d.pos) AS n_removed, coalesce(string_agg(e.line, chr(10) ORDER BY e.pos) FILTER (WHERE d.pos IS NULL), '') AS text
