@@ -19,7 +19,6 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,6 @@ CACHE_WORDS = 400_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-@lru_cache(maxsize=1)  # one a worker: a released one stays in memory until a full collection
 def make_encoder(name: str = TOKENIZER, end_id: int = 1):
     """A function from text to its ids (with the end id) as little-endian uint32 bytes.
 
@@ -90,7 +88,14 @@ def tokenize_pieces(docs: DataFrame, window: int = WINDOW, tokenizer: str = TOKE
     schema = PIECES + (", ids binary" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = make_encoder(tokenizer, end_id)
+        import builtins
+
+        # one encoder a worker, as a released one stays in memory until a full collection; it is kept by the
+        # interpreter: a module's cache would be shipped by reference, and workers can't import this package
+        kept = builtins.__dict__.setdefault("_packing_encoders", {})
+        if (tokenizer, end_id) not in kept:
+            kept[tokenizer, end_id] = make_encoder(tokenizer, end_id)
+        encode = kept[tokenizer, end_id]
         for batch in batches:
             out = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
