@@ -38,7 +38,7 @@ def build_config(spark, args) -> BatchConfig:
         requests_path=args.requests,
         manifest_path=args.manifests,
         delete_sources=args.delete_sources,
-        options=Options(strict_casts=not args.lenient_casts, accents=args.accents, json_text=args.json_text),
+        options=Options(on_cast_error="null" if args.lenient_casts else args.on_cast_error, accents=args.accents, json_text=args.json_text),
     )
 
 
@@ -53,6 +53,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--manifests", default=None, help="where run manifests are written")
     p.add_argument("--delete-sources", action="store_true", help="consume read documents after both writes")
     p.add_argument("--lenient-casts", action="store_true", help="bad integers/timestamps become null")
+    p.add_argument("--on-cast-error", choices=("fail", "null", "quarantine"), default="fail",
+                   help="bad integers/timestamps fail the run, become null, or set their record aside")
     p.add_argument("--accents", choices=("native", "exact"), default="native")
     p.add_argument("--json-text", choices=("compact", "python"), default="compact",
                    help="json columns as compact JSON, or spaced as json.dumps writes them")
@@ -67,15 +69,16 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
 def explain(spark, cfg: BatchConfig) -> dict:
     """The plans a run would execute, as text (nothing is read or written)."""
     from pactline.operators.audit import RunContext
-    from pactline.operators.mapping import map_records
     from pactline.plans import stages
     from pactline.sources.documents import parse_binary_documents
     from pactline.sources.landing import scan_files
 
-    parsed = parse_binary_documents(scan_files(spark, cfg.landing_path), cfg.contract.source_fields)
-    staged = map_records(parsed, cfg.contract, cfg.options.strict_casts, cfg.options.accents,
-                         keep=("source_path", "status"))
+    parsed = parse_binary_documents(scan_files(spark, cfg.landing_path), cfg.contract.source_fields,
+                                    json_fields=cfg.contract.json_fields)
+    staged = stages.mapped(parsed, cfg.contract, cfg.options, keep=("source_path", "status"))
     mapped = stages.good(staged).drop("status")
+    if cfg.options.on_cast_error == "quarantine":
+        mapped = stages.castable(mapped)
     core, atts = stages.outputs(stages.deduped(mapped, cfg.contract), cfg.contract, RunContext.fresh())
 
     def plan(df) -> str:

@@ -166,6 +166,19 @@ def _python_json_udf():
     return F.pandas_udf(dumps, StringType())
 
 
+def json_literal(value, mode: str = "compact") -> str:
+    """A constant as JSON text."""
+    import json
+
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":") if mode == "compact" else None)
+
+
+def json_quoted(col: Column) -> Column:
+    """Text as a quoted JSON string (a one-element array's JSON without its brackets)."""
+    array = F.to_json(F.array(col))
+    return F.when(col.isNotNull(), F.substring(array, F.lit(2), F.char_length(array) - 2))
+
+
 def json_text(col: Column, mode: str = "compact") -> Column:
     """Text of a ``json`` column: compact (JVM) or ``json.dumps`` spacing (Arrow UDF)."""
     if mode == "compact":

@@ -6,13 +6,14 @@ from the contract; it runs in the scan's stage (no shuffle).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactline.contract import Contract
 from pactline.functions.casts import cast_declared
-from pactline.functions.text import RULES_PY, RULES_SPARK, json_text
+from pactline.functions.text import RULES_PY, RULES_SPARK, json_literal, json_quoted, json_text
 from pactline.operators.values import Val
+from pactline.sources.documents import kind_field
 
 
 def map_values(contract: Contract, rec: str = "rec", strict_casts: bool = True,
@@ -29,7 +30,8 @@ def map_values(contract: Contract, rec: str = "rec", strict_casts: bool = True,
         if "source_column" in spec:
             text = F.col(rec).getField(spec["source_column"])
             formats = spec.get("input_formats") if honor_input_formats else None
-            out[name] = Val.col(cast_declared(text, ctype, strict_casts, formats), ctype)
+            quoted = F.col(rec).getField(kind_field(spec["source_column"])) if ctype == "json" else None
+            out[name] = Val.col(cast_declared(text, ctype, strict_casts, formats), ctype, quoted)
         else:
             out[name] = Val.lit(spec.get("default_value"), ctype)
     return out
@@ -39,11 +41,11 @@ def _is_text(v: Val) -> bool:
     """Would the record hold a ``str`` here (so a cleaning rule applies)?
 
     Timestamp values are ISO text in a record, but no rule changes that
-    text, so they are left out. JSON values are parsed objects.
+    text, so they are left out. A JSON value is text where it is a JSON string.
     """
     if v.is_lit:
         return isinstance(v.value, str)
-    return v.ctype == "string"
+    return v.ctype == "string" or v.is_string is not None
 
 
 def rule_targets(rule: dict, values: dict[str, Val]) -> list[str]:
@@ -61,24 +63,37 @@ def clean_values(contract: Contract, values: dict[str, Val], accents: str = "nat
             v = out[name]
             if v.is_lit:
                 out[name] = Val.lit(RULES_PY[kind](v.value), v.ctype)
+            elif v.is_string is not None:
+                out[name] = Val.col(F.when(v.is_string, RULES_SPARK[kind](v.value, accents)).otherwise(v.value), v.ctype, v.is_string)
             else:
                 out[name] = Val.col(RULES_SPARK[kind](v.value, accents), v.ctype)
     return out
 
 
+def serialized(values: dict[str, Val], json_mode: str = "compact") -> dict[str, Val]:
+    """``json`` values as JSON text, null kept: strings quoted, so ``"5"`` and ``5`` differ; constants like fields."""
+    out = dict(values)
+    for name, v in values.items():
+        if v.ctype != "json":
+            continue
+        if v.is_lit:
+            out[name] = v if v.value is None else Val.lit(json_literal(v.value, json_mode), "json")
+        else:
+            text = json_text(v.value, json_mode)
+            out[name] = Val.col(text if v.is_string is None else F.when(v.is_string, json_quoted(v.value)).otherwise(text), "json")
+    return out
+
+
 def business_values(contract: Contract, rec: str = "rec", strict_casts: bool = True,
                     accents: str = "native", honor_input_formats: bool = False,
                     json_mode: str = "compact") -> dict[str, Val]:
     values = clean_values(contract, map_values(contract, rec, strict_casts, honor_input_formats), accents)
-    if json_mode != "compact":
-        values = {n: Val.col(json_text(v.value, json_mode), v.ctype) if (not v.is_lit and v.ctype == "json") else v
-                  for n, v in values.items()}
-    return values
+    return serialized(values, json_mode)
 
 
 def map_records(parsed: DataFrame, contract: Contract, strict_casts: bool = True,
                 accents: str = "native", keep: tuple[str, ...] = ("source_path",),
-                honor_input_formats: bool = False, json_mode: str = "compact") -> DataFrame:
+                honor_input_formats: bool = False, json_mode: str = "compact", errors: str | None = None) -> DataFrame:
     """Good documents -> ``(source_path, <business columns typed>)``.
 
     Every business column is materialised with its declared Spark type,
@@ -86,7 +101,23 @@ def map_records(parsed: DataFrame, contract: Contract, strict_casts: bool = True
     """
     values = business_values(contract, "rec", strict_casts, accents, honor_input_formats, json_mode)
     cols = [v.as_type(contract.column_types[n]).alias(n) for n, v in values.items()]
-    return parsed.select(*keep, *cols)
+    if errors is None:
+        return parsed.select(*keep, *cols)
+    # Values first, then the errors from values and texts: each cast stands once in the plan.
+    typed = parsed.select(*keep, "rec", *cols)
+    return typed.select(*keep, *values, cast_error_list(contract).alias(errors))
+
+
+def cast_error_list(contract: Contract, rec: str = "rec") -> Column:
+    """``array<struct<column, text, reason>>`` of a typed record: fields that hold text but got no value of their type."""
+    found = []
+    for spec in contract.columns:
+        if "source_column" in spec and spec["type"] in ("integer", "timestamp"):
+            text = F.col(rec).getField(spec["source_column"])
+            error = F.struct(F.lit(spec["name"]).alias("column"), text.alias("text"), F.lit(f"not_{spec['type']}").alias("reason"))
+            found.append(F.when(text.isNotNull() & F.col(spec["name"]).isNull(), error))
+    empty = F.array().cast("array<struct<column:string,text:string,reason:string>>")
+    return F.array_compact(F.array(*found)) if found else empty
 
 
 def values_of(frame_columns: list[str], contract: Contract) -> dict[str, Val]:
@@ -96,5 +127,6 @@ def values_of(frame_columns: list[str], contract: Contract) -> dict[str, Val]:
     for spec in contract.columns:
         name = spec["name"]
         v = lits[name]
-        out[name] = v if v.is_lit else Val.col(F.col(name), spec["type"])
+        # a json constant was written as text in the run's mode
+        out[name] = v if v.is_lit and spec["type"] != "json" else Val.col(F.col(name), spec["type"])
     return out

@@ -42,14 +42,16 @@ class Val:
     kind: str
     value: Any
     ctype: str = "string"
+    # For a ``json`` column before it is written: whether the record's value is a JSON string.
+    is_string: Any = None
 
     @staticmethod
     def lit(value: Any, ctype: str = "string") -> "Val":
         return Val("lit", value, ctype)
 
     @staticmethod
-    def col(column: Column, ctype: str) -> "Val":
-        return Val("col", column, ctype)
+    def col(column: Column, ctype: str, is_string: Column | None = None) -> "Val":
+        return Val("col", column, ctype, is_string)
 
     @property
     def is_lit(self) -> bool:
@@ -68,7 +70,7 @@ class Val:
     def nullable_text(self) -> Column:
         """Per-record text, null kept (EAV value)."""
         if self.is_lit:
-            return F.lit(None if self.value is None else py_text(self.value)).cast("string")
+            return F.lit(written_text(self.value)).cast("string")
         return value_text(self.value, self.ctype)
 
     def as_type(self, ctype: str) -> Column:

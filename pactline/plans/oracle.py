@@ -270,25 +270,35 @@ ORACLE.update(_ops_oracles())
 
 
 def _io_oracles() -> dict[str, str]:
-    from pactline.plans.io_queries import DOUBLED_RULE, FILE_DEPENDENT
+    from pactline.plans.io_queries import BAD_CAST_RULE, BAD_TIME_RULE, DOUBLED_RULE, EMPTY_RULE
 
     date = f"'{NOW:%Y}' AS year, '{NOW:%m}' AS month, '{NOW:%d}' AS day"
-    core_cols = [c for c in ("consumidor_tipo_id consumidor_id consumidor_nombre consumidor_apellido "
-                             "consumidor_tipo_persona conversacion_id interaccion_id interaccion_fecha_inicio "
-                             "interaccion_fecha_fin interaccion_turnos interaccion_resultado tenant_id mensajes "
-                             "cliente_prefijo operacion_prefijo caso_uso_id canal origen canal_id gestion_tipo "
-                             "canal_proveedor gestion_canal base_fecha_id ejecucion_id registro_id registro_hash "
-                             "operacion_segmento operacion_proceso base_grupo base_proceso base_nombre base_id "
-                             "cargue_id cargue_fecha cargue_fecha_id parquet_nombre").split()
-                 if c not in FILE_DEPENDENT]
+    hidden = f"""CASE conv_id % 9 WHEN 2 THEN '_' WHEN 4 THEN '.' WHEN 6 THEN '_late/' WHEN 8 THEN '.old/batch/' ELSE '' END
+                 || 'conv_' || lpad(cast(conv_id AS {S}), 8, '0') || '.json'"""
+    hidden_landing = f"SELECT * REPLACE ({hidden} AS source_path) FROM ({LANDING}) WHERE NOT ({EMPTY_RULE})"
     return {
         "partition_roundtrip": f"""SELECT o_orderkey, o_totalprice, o_orderdate, o_orderpriority,
                    CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
                    {date} FROM orders""",
         "declared_types": f"SELECT *, {date} FROM ({CONTRACT_CORE})",
         "atts_roundtrip": f"SELECT *, {date} FROM ({CONTRACT_ATTS})",
-        "incremental_ingest": f"""SELECT {', '.join(c for c in core_cols if c != 'ejecucion_id')},
-                   '{RUN_ID}-0' AS ejecucion_id FROM ({CONTRACT_CORE})""",
+        "incremental_ingest": f"""SELECT * REPLACE ('{RUN_ID}-0' AS ejecucion_id, true AS registro_id, true AS registro_hash), {date}
+            FROM ({CONTRACT_CORE})""",
+        "landing_any_name": f"""SELECT {hidden} AS name, CASE WHEN {EMPTY_RULE} THEN 'empty' ELSE 'ok' END AS status,
+                   CASE WHEN {EMPTY_RULE} THEN NULL ELSE trace_id END AS trace_id FROM ({LANDING})""",
+        "incremental_any_name": f"""WITH landing AS ({hidden_landing}), mapped AS ({MAPPED}), deduped AS ({DEDUPED})
+            SELECT string_split(source_path, '/')[-1] AS name, 'core' AS went FROM deduped UNION ALL
+            SELECT string_split({hidden}, '/')[-1], 'empty' FROM ({LANDING}) WHERE {EMPTY_RULE}""",
+        "cast_quarantine": f"""WITH landing AS ({LANDING})
+            SELECT source_path, 'interaccion_turnos' AS "column", 'about ' || turns AS text, 'not_integer' AS reason
+            FROM landing WHERE {BAD_CAST_RULE} UNION ALL
+            SELECT source_path, 'interaccion_fecha_fin', '31/08/2026', 'not_timestamp' FROM landing WHERE {BAD_TIME_RULE} UNION ALL
+            SELECT source_path, NULL, cast(turns AS {S}), NULL FROM landing WHERE NOT ({BAD_CAST_RULE}) AND NOT ({BAD_TIME_RULE})""",
+        "written_manifest": f"""SELECT o_orderstatus, o_orderpriority, year, cast(count(*) AS bigint) AS rows, true AS has_bytes,
+                   cast(count(*) OVER () AS bigint) AS partitions
+            FROM (SELECT o_orderpriority, '{NOW:%Y}' AS year,
+                   CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus FROM orders)
+            GROUP BY ALL""",
         "landing_quarantine": f"""WITH landing AS ({LANDING})
             SELECT 'conv_' || lpad(cast(conv_id AS {S}), 8, '0') AS doc,
                    CASE WHEN {DOUBLED_RULE} THEN 'invalid_json' ELSE 'ok' END AS status,
@@ -299,7 +309,10 @@ def _io_oracles() -> dict[str, str]:
                    (SELECT count(*) FROM deduped) AS core_rows, (SELECT 18 * count(*) FROM deduped) AS atts_rows,
                    (SELECT count(DISTINCT conversacion_id) FROM mapped
                      WHERE conversacion_id IS NOT NULL AND conversacion_id <> '') AS conversation_ids,
-                   (SELECT count(*) FROM landing) AS deleted_source_files""",
+                   (SELECT count(*) FROM landing) AS deleted_source_files, cast(0 AS bigint) AS failed_deletes,
+                   cast(1 AS bigint) AS output_core_partitions, cast(1 AS bigint) AS output_atts_partitions,
+                   (SELECT count(*) FROM deduped) AS core_rows_in_files, (SELECT 18 * count(*) FROM deduped) AS atts_rows_in_files,
+                   cast(0 AS bigint) AS left_in_landing""",
     }
 
 

@@ -2,7 +2,7 @@
 
 Plan shape (one run):
 
-* stage 1 (narrow): ``binaryFile`` scan -> strict parse -> status ->
+* stage 1 (narrow): listed files, read by tasks -> strict parse -> status ->
   map/cast/clean. This staged frame (typed business columns next to the
   status) is materialised once (a Parquet table below the shared
   ``spark.checkpoint.dir`` by default), because it feeds the dedup, the
@@ -35,14 +35,13 @@ from pyspark.sql import functions as F
 
 from pactline.contract import Contract
 from pactline.operators.audit import RunContext
-from pactline.operators.mapping import map_records
 from pactline.operators.requests import build_requests, conversation_ids
 from pactline.plans import stages
 from pactline.session import apply_defaults, ensure_checkpoint_dir, scratch_path
-from pactline.sinks.parquet import WriteResult, delete_paths, write_hive_parquet, write_json_rows
+from pactline.sinks.parquet import WriteResult, consume, write_hive_parquet, write_json_rows, written_files
 from pactline.sources.config import write_json_document
-from pactline.sources.documents import OK, parse_binary_documents
-from pactline.sources.landing import Listing, listing, missing_from_scan, scan_files
+from pactline.sources.documents import OK
+from pactline.sources.landing import land
 
 
 def materialize(df: DataFrame, how: str = "table", name: str = "stage",
@@ -108,6 +107,12 @@ class BatchResult:
     requests: DataFrame | None = None
     conversation_ids: int = 0
     deleted_source_files: int = 0
+    # (source_path, deleted, error) of every source the run consumed; None if it consumes nothing.
+    consumed: DataFrame | None = None
+    failed_deletes: int = 0
+    # Records that an ``on_cast_error="quarantine"`` run set aside: (source_path, column, text, reason).
+    cast_errors: DataFrame | None = None
+    cast_error_records: int = 0
     stage_paths: list[str] = field(default_factory=list)
 
     def drop_stages(self, spark: SparkSession) -> None:
@@ -119,6 +124,14 @@ class BatchResult:
             p.getFileSystem(conf).delete(p, True)
         self.stage_paths = []
 
+    def written(self, spark: SparkSession) -> DataFrame:
+        """(output, path, rows, bytes, partition) of every data file the run wrote, from the files' footers."""
+        parts = [written_files(spark, w).withColumn("output", F.lit(n)) for n, w in (("core", self.core), ("atts", self.atts)) if w and w.rows]
+        if not parts:
+            return spark.createDataFrame([], "output string, path string, rows long, bytes long, partition map<string,string>")
+        both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return both.select("output", "path", "rows", "bytes", "partition")
+
     def manifest(self) -> dict:
         return {
             "processed_files": self.processed_files,
@@ -127,6 +140,8 @@ class BatchResult:
             "atts_rows": self.atts.rows if self.atts else 0,
             "conversation_ids": self.conversation_ids,
             "deleted_source_files": self.deleted_source_files,
+            "failed_deletes": self.failed_deletes,
+            "cast_error_records": self.cast_error_records,
             "output_core_path": self.core.path if self.core else None,
             "output_atts_path": self.atts.path if self.atts else None,
             "output_core_partitions": self.core.partitions if self.core else 0,
@@ -135,47 +150,42 @@ class BatchResult:
 
 
 def process_parsed(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx: RunContext,
-                   listed: Listing | None = None, token: str | None = None,
-                   before_consume: Callable[[BatchResult], None] | None = None) -> BatchResult:
+                   token: str | None = None, before_consume: Callable[[BatchResult], None] | None = None,
+                   stage_paths: list[str] | None = None) -> BatchResult:
     """Everything after the scan; shared by the batch run and each micro-batch.
 
     A run that raises drops its staging tables first. With ``token``, outputs
     replace what an earlier attempt of the same batch wrote; ``before_consume``
     is called once all outputs are written, before any source is deleted.
+    ``stage_paths`` are tables that ``parsed`` reads; they go with the run's own.
     """
-    result = BatchResult()
+    result = BatchResult(stage_paths=stage_paths if stage_paths is not None else [])
     try:
-        return _process(spark, cfg, parsed, ctx, listed, result, token, before_consume)
+        return _process(spark, cfg, parsed, ctx, result, token, before_consume)
     except BaseException:
         result.drop_stages(spark)
         raise
 
 
-def _process(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx: RunContext, listed: Listing | None,
+def _process(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx: RunContext,
              result: BatchResult, token: str | None, before_consume: Callable[[BatchResult], None] | None) -> BatchResult:
-    """The steps of ``process_parsed``.
-
-    ``listed`` is the scan's file listing: files listed but absent from the
-    scan are zero-length documents and join the quarantine as ``empty``.
-    """
+    """The steps of ``process_parsed``."""
     is_ok = F.col("status") == F.lit(OK)
     stage_paths = result.stage_paths
     # Map/cast/clean once, in the scan's stage, next to the status; a strict
     # cast error stops the run here, before any output is written.
-    staged = map_records(parsed, cfg.contract, cfg.options.strict_casts, cfg.options.accents,
-                         keep=("source_path", "status"), honor_input_formats=cfg.options.honor_input_formats,
-                         json_mode=cfg.options.json_text)
-    staged, counts = materialize(staged, cfg.materialize, "staged",
-                                 [F.count_if(is_ok).alias("ok"), F.count_if(~is_ok).alias("bad")], stage_paths)
-    ok, bad = int(counts.get("ok") or 0), int(counts.get("bad") or 0)
-    skipped = stages.quarantine(staged)
-    if listed is not None and listed.count > ok + bad:
-        empties, n = materialize(missing_from_scan(listed, staged), cfg.materialize, "empty",
-                                 [F.count(F.lit(1)).alias("n")], stage_paths)
-        bad += int(n.get("n") or 0)
-        skipped = skipped.unionByName(empties.select("source_path", F.col("status").alias("reason")))
-    result.processed_files, result.skipped_count, result.skipped_files = ok, bad, skipped
+    opts = cfg.options
+    staged = stages.mapped(parsed, cfg.contract, opts, keep=("source_path", "status"))
+    bad_cast = (F.size(stages.ERRORS) > 0) if opts.on_cast_error == "quarantine" else F.lit(False)
+    staged, counts = materialize(staged, cfg.materialize, "staged", [
+        F.count_if(is_ok & ~bad_cast).alias("ok"), F.count_if(~is_ok).alias("bad"), F.count_if(is_ok & bad_cast).alias("cast")], stage_paths)
+    result.processed_files, result.skipped_count = int(counts.get("ok") or 0), int(counts.get("bad") or 0)
+    result.cast_error_records = int(counts.get("cast") or 0)
+    result.skipped_files = stages.quarantine(staged)
     mapped = stages.good(staged).drop("status")
+    if opts.on_cast_error == "quarantine":
+        result.cast_errors = stages.cast_errors(mapped)
+        mapped = stages.castable(mapped)
     ids = conversation_ids(mapped)
     endpoints = cfg.endpoints() if callable(cfg.endpoints) else cfg.endpoints
     if result.processed_files:
@@ -208,8 +218,10 @@ def _process(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx: RunC
     if before_consume:
         before_consume(result)
     if cfg.delete_sources and result.processed_files:
-        result.deleted_source_files = delete_paths(spark, mapped.select("source_path"),
-                                                   base=cfg.landing_path)
+        result.consumed, gone = materialize(
+            consume(spark, mapped.select("source_path")), "table" if cfg.materialize == "none" else cfg.materialize, "consumed",
+            [F.count_if("deleted").alias("deleted"), F.count_if(~F.col("deleted")).alias("failed")], stage_paths)
+        result.deleted_source_files, result.failed_deletes = int(gone.get("deleted") or 0), int(gone.get("failed") or 0)
     if cfg.manifest_path:
         write_json_document(spark, f"{cfg.manifest_path.rstrip('/')}/run_{ctx.run_id}.json",
                             {"run_id": ctx.run_id, "processed_at": ctx.now.isoformat(), **result.manifest()})
@@ -235,9 +247,11 @@ def run_batch(spark: SparkSession, cfg: BatchConfig, ctx: RunContext | None = No
     """One batch run over everything that has landed below ``cfg.landing_path``."""
     apply_defaults(spark)
     ctx = ctx or RunContext.fresh()
-    files = scan_files(spark, cfg.landing_path)
-    listed = listing(files)
-    if not listed.count:
-        return BatchResult(skipped_files=spark.createDataFrame([], "source_path string, reason string"))
-    parsed = parse_binary_documents(files, cfg.contract.source_fields, document_limit(spark))
-    return process_parsed(spark, cfg, parsed, ctx, listed)
+    stage_paths: list[str] = []
+    parsed, landed = land(spark, cfg.landing_path, cfg.contract.source_fields, document_limit(spark), stage_paths,
+                          cfg.contract.json_fields)
+    if not landed:
+        empty = BatchResult(skipped_files=spark.createDataFrame([], "source_path string, reason string"), stage_paths=stage_paths)
+        empty.drop_stages(spark)
+        return empty
+    return process_parsed(spark, cfg, parsed, ctx, stage_paths=stage_paths)

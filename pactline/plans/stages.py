@@ -21,19 +21,24 @@ from pactline.operators.reshape import atts_frame, core_frame
 from pactline.sources.documents import OK, good_documents, parse_documents
 
 
+# Column of a mapped frame that lists a record's cast errors.
+ERRORS = "__pactline_cast_errors__"
+
+
 @dataclass(frozen=True)
 class Options:
     """Knobs that change results, all off the reference's defaults only by choice.
 
-    * ``strict_casts``: a bad integer/timestamp fails the batch (as the
-      reference); ``False`` yields null instead.
+    * ``on_cast_error``: a bad integer/timestamp fails the batch (``fail``, the
+      default), becomes null (``null``), or sets its record aside with every column
+      that failed, its text and the reason (``quarantine``).
     * ``accents``: ``native`` (JVM ``translate``) or ``exact`` (Arrow UDF).
     * ``honor_input_formats``: try ``columns[].input_formats`` patterns first.
     * ``json_text``: ``compact`` (JVM) or ``python`` (``json.dumps`` spacing,
       byte-identical to the original's text; Arrow UDF on json columns).
     """
 
-    strict_casts: bool = True
+    on_cast_error: str = "fail"
     accents: str = "native"
     honor_input_formats: bool = False
     json_text: str = "compact"
@@ -49,18 +54,31 @@ def quarantine(parsed: DataFrame) -> DataFrame:
 
 def parse(docs: DataFrame, contract: Contract) -> DataFrame:
     """Status of every document (good ones carry their record)."""
-    return parse_documents(docs, contract.source_fields)
+    return parse_documents(docs, contract.source_fields, json_fields=contract.json_fields)
 
 
 def good_docs(docs: DataFrame, contract: Contract) -> DataFrame:
     """Only the good documents' records, each document parsed once."""
-    return good_documents(docs, contract.source_fields)
+    return good_documents(docs, contract.source_fields, json_fields=contract.json_fields)
+
+
+def mapped(records: DataFrame, contract: Contract, opts: Options = Options(), keep: tuple[str, ...] = ("source_path",)) -> DataFrame:
+    """Good records ``(source_path, rec)`` -> typed, cleaned business columns; with ``quarantine``, their cast errors too."""
+    if opts.on_cast_error not in ("fail", "null", "quarantine"):
+        raise ValueError(f"unknown on_cast_error {opts.on_cast_error!r}")
+    return map_records(records, contract, opts.on_cast_error == "fail", opts.accents, keep=keep,
+                       honor_input_formats=opts.honor_input_formats, json_mode=opts.json_text,
+                       errors=ERRORS if opts.on_cast_error == "quarantine" else None)
+
+
+def castable(mapped_df: DataFrame) -> DataFrame:
+    """The records all of whose values have their declared type."""
+    return mapped_df.where(F.size(ERRORS) == 0).drop(ERRORS)
 
 
-def mapped(records: DataFrame, contract: Contract, opts: Options = Options()) -> DataFrame:
-    """Good records ``(source_path, rec)`` -> typed, cleaned business columns."""
-    return map_records(records, contract, opts.strict_casts, opts.accents,
-                       honor_input_formats=opts.honor_input_formats, json_mode=opts.json_text)
+def cast_errors(mapped_df: DataFrame) -> DataFrame:
+    """``(source_path, column, text, reason)``: one row per value that could not be cast."""
+    return mapped_df.where(F.size(ERRORS) > 0).select("source_path", F.inline(ERRORS))
 
 
 def deduped(mapped_df: DataFrame, contract: Contract) -> DataFrame:

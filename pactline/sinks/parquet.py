@@ -9,6 +9,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pactline.sources.listing import delete_files, list_files, parquet_rows
+
+# Fixed value: the folder value Hive and Spark give a null or empty partition value.
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 DATE_PARTITIONS = ("year", "month", "day")
 
 
@@ -68,23 +72,29 @@ def write_hive_parquet(df: DataFrame, path: str, partition_cols: list[str] | tup
     result = WriteResult(path=path, basename=basename, partition_cols=cols, rows=rows)
     if not rows:
         return result
-    folders = written_files(df.sparkSession, result).select(F.regexp_replace("path", "/[^/]*$", "")).distinct()
-    return replace(result, partitions=folders.count() if cols else 1)
+    if not cols:
+        return replace(result, partitions=1)
+    files = list_files(df.sparkSession, path, suffix=".parquet", prefix=f"{basename}-").files
+    return replace(result, partitions=files.select(F.regexp_replace("path", "/[^/]*$", "")).distinct().count())
 
 
 def read_hive_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Read an output back; partition values stay text (``08`` is not ``8``)."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return spark.read.option("basePath", path).parquet(path)
+    found = spark.read.option("basePath", path).parquet(path)
+    return found
 
 
 def written_files(spark: SparkSession, result: WriteResult) -> DataFrame:
-    """Paths of the data files one write produced (listing only, no content)."""
-    return (spark.read.format("binaryFile")
-            .option("pathGlobFilter", f"{result.basename}-*")
-            .option("recursiveFileLookup", "true")
-            .load(result.path)
-            .select("path"))
+    """``(path, rows, bytes, partition)`` of the data files one write produced.
+
+    The output folder is listed by tasks, rows come from the files' footers,
+    partition values (text; null for Hive's default partition) from their paths.
+    """
+    files = list_files(spark, result.path, suffix=".parquet", prefix=f"{result.basename}-").files
+    pairs = F.transform(F.filter(F.split("path", "/"), lambda x: F.contains(x, F.lit("="))), lambda x: F.split(x, "=", 2))
+    value = lambda p: F.when(p[1] != F.lit(HIVE_NULL), F.url_decode(F.replace(p[1], F.lit("+"), F.lit("%2B"))))
+    partition = F.map_from_entries(F.transform(pairs, lambda p: F.struct(p[0], value(p))))
+    return files.join(parquet_rows(files), "path").select("path", "rows", F.col("length").alias("bytes"), partition.alias("partition"))
 
 
 def remove_attempt(spark: SparkSession, path: str, basename: str) -> int:
@@ -92,11 +102,10 @@ def remove_attempt(spark: SparkSession, path: str, basename: str) -> int:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return 0
-    own = written_files(spark, WriteResult(path=path, basename=basename, partition_cols=(), rows=0))
-    found = own.count()
-    if found and delete_paths(spark, own, column="path", base=path) < found:
-        raise OSError(f"files of an earlier attempt could not be removed below {path}")
-    return found
+    own = list_files(spark, path, suffix=None, prefix=f"{basename}-")
+    if own.count and (left := consume(spark, own.files, "path").where("not deleted").count()):
+        raise OSError(f"{left} files of an earlier attempt could not be removed below {path}")
+    return own.count
 
 
 def write_json_rows(df: DataFrame, path: str, mode: str = "append", token: str | None = None) -> None:
@@ -108,62 +117,15 @@ def write_json_rows(df: DataFrame, path: str, mode: str = "append", token: str |
     writer.json(path)
 
 
-def delete_paths(spark: SparkSession, paths: DataFrame, column: str = "source_path", threads: int = 32,
-                 base: str | None = None) -> int:
-    """Delete exactly the listed files through the Hadoop file system.
+def consume(spark: SparkSession, paths: DataFrame, column: str = "source_path") -> DataFrame:
+    """``(source_path, deleted, error)``: exactly the listed files deleted by tasks, each outcome named.
 
-    Paths are streamed one partition at a time (``toLocalIterator``), so
-    the driver holds a bounded slice of the list. With ``base`` (a folder
-    containing every path) and a file system offering Hadoop's bulk delete
-    (S3A: one request per page of keys), deletes go out a page at a time;
-    otherwise one call per file. Either way a bounded pool of concurrent
-    calls is used, since object stores answer each request with network
-    latency. A path that fails to delete is not counted.
+    No path passes the driver; a path that is already gone counts as deleted, so a retried task is harmless.
+    The paths are dealt anew, as they may all lie in a few partitions.
     """
-    from concurrent.futures import ThreadPoolExecutor
-    from itertools import islice
-
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-
-    def delete_one(path: str) -> int:
-        p = Path(path)
-        try:
-            return int(bool(p.getFileSystem(conf).delete(p, False)))
-        except Exception:  # noqa: BLE001 - per-file failures are reported by the count
-            return 0
-
-    page_size, bulk = 1, None
-    if base:
-        try:
-            base_path = Path(base)
-            bulk = base_path.getFileSystem(conf).createBulkDelete(base_path)
-            page_size = max(1, int(bulk.pageSize()))
-        except Exception:  # noqa: BLE001 - no bulk delete on this file system
-            bulk = None
-
-    def delete_page(page: list[str]) -> int:
-        if bulk is None or page_size == 1:
-            return sum(delete_one(p) for p in page)
-        jpaths = jvm.java.util.ArrayList()
-        for p in page:
-            jpaths.add(Path(p))
-        try:
-            failures = bulk.bulkDelete(jpaths)
-            return len(page) - int(failures.size())
-        except Exception:  # noqa: BLE001 - fall back to single deletes for this page
-            return sum(delete_one(p) for p in page)
-
-    deleted = 0
-    rows = (r[0] for r in paths.select(column).toLocalIterator(prefetchPartitions=True))
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        while True:
-            chunk = list(islice(rows, 10_000))
-            if not chunk:
-                break
-            pages = [chunk[i:i + page_size] for i in range(0, len(chunk), page_size)]
-            deleted += sum(pool.map(delete_page, pages))
-    if bulk is not None:
-        bulk.close()
-    return deleted
+    return delete_files(paths.repartition(spark.sparkContext.defaultParallelism, column), column)
+
+
+def delete_paths(spark: SparkSession, paths: DataFrame, column: str = "source_path") -> int:
+    """Delete the listed files; the number of those that are gone."""
+    return consume(spark, paths, column).where("deleted").count()

@@ -1,4 +1,8 @@
-"""Landing-folder scan: every ``*.json`` document under a prefix, one row per file."""
+"""Landing folders: every ``*.json`` document under a prefix, one row per file.
+
+Tasks list and read the files (``sources.listing``); stores that only Spark's
+readers reach go through a ``binaryFile`` scan instead.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactline.sources.documents import EMPTY, parse_binary_documents
+from pactline.sources.listing import Listed, list_files, qualified, reachable, read_files
 
 # Case-insensitive ``.json`` suffix, as a Hadoop glob.
 JSON_GLOB = "*.[jJ][sS][oO][nN]"
@@ -75,13 +80,38 @@ def missing_from_scan(listed: Listing, seen: DataFrame) -> DataFrame:
         "source_path", F.lit(EMPTY).alias("status"))
 
 
-def read_landing(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
-    """``(source_path, status, rec)`` for every landed document, empty files included."""
+def read_scanned(spark: SparkSession, path: str, fields: list[str], max_bytes: int | None = None,
+                 json_fields: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """The ``binaryFile`` way, for stores that tasks can't list themselves: hidden names stay unseen."""
     files = scan_files(spark, path)
-    parsed = parse_binary_documents(files, fields)
+    listed = listing(files)
+    parsed = parse_binary_documents(files, fields, max_bytes, json_fields)
     # Compared with a second scan of the paths alone: its content column is
     # pruned, whereas ``parsed.select("source_path")`` would read and parse again.
     seen = scan_files(spark, path).select(F.col("path").alias("source_path"))
-    empties = missing_from_scan(listing(files), seen).select(
+    empties = missing_from_scan(listed, seen).select(
         "source_path", "status", F.lit(None).cast(parsed.schema["rec"].dataType).alias("rec"))
-    return parsed.unionByName(empties)
+    return parsed.unionByName(empties), listed.count
+
+
+def read_listed(listed: Listed, fields: list[str], max_bytes: int | None = None, json_fields: tuple[str, ...] = ()) -> DataFrame:
+    """``(source_path, status, rec)`` of listed files: read by tasks, empty and oversized ones reported unread."""
+    limit = max_bytes if max_bytes is not None else (1 << 31) - 1
+    return parse_binary_documents(read_files(listed, limit), fields, json_fields=json_fields)
+
+
+def land(spark: SparkSession, path: str, fields: list[str], max_bytes: int | None = None,
+         stages: list[str] | None = None, json_fields: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """``(source_path, status, rec)`` of every JSON document below ``path``, and their number.
+
+    Hidden names and empty files count like any other. Listing tables are appended to ``stages``.
+    """
+    if not reachable(qualified(spark, path)):
+        return read_scanned(spark, path, fields, max_bytes, json_fields)
+    listed = list_files(spark, path, stages=stages)
+    return read_listed(listed, fields, max_bytes, json_fields), listed.count
+
+
+def read_landing(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
+    """``(source_path, status, rec)`` for every landed document, hidden and empty files included."""
+    return land(spark, path, fields)[0]

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pactline.sources.listing import write_files
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -83,22 +85,29 @@ def landing_documents(spark: SparkSession, sf_dir: str, hot_key: Column | None =
     return recs.select("conv_id", "source_path", doc.alias("text"))
 
 
-def write_landing_files(spark: SparkSession, sf_dir: str, path: str, doubled: Column | None = None) -> str:
-    """Land every record as its own JSON document file below ``path``.
+def landing_names(conv_id: Column, hidden: bool = False) -> Column:
+    """File name of a conversation's document; with ``hidden``, some begin with ``_`` or ``.`` or lie in such folders."""
+    name = F.concat(F.lit("conv_"), _pad(conv_id, 8), F.lit(".json"))
+    if not hidden:
+        return name
+    prefix = F.when(conv_id % 9 == 2, F.lit("_")).when(conv_id % 9 == 4, F.lit(".")).when(conv_id % 9 == 6, F.lit("_late/")).when(
+        conv_id % 9 == 8, F.lit(".old/batch/")).otherwise(F.lit(""))
+    return F.concat(prefix, name)
+
 
-    One folder per record (``doc=conv_<id>/part-*.json``), each file holding
-    exactly one JSON object; null fields are left out of the document.
-    Records matching ``doubled`` are written twice into their file (two
-    concatenated documents: a corrupt upload). Returns ``path``.
+def write_landing_files(spark: SparkSession, sf_dir: str, path: str, doubled: Column | None = None,
+                        empty: Column | None = None, hidden: bool = False) -> str:
+    """Land every record as its own JSON document file below ``path``, written by tasks; returns ``path``.
+
+    Null fields are left out of the document. Records matching ``doubled`` hold two
+    concatenated documents (a corrupt upload), those matching ``empty`` nothing.
     """
-    recs = landing_records(spark, sf_dir)
+    text = F.to_json(F.struct(*[F.col(c) for c in DOCUMENT_FIELDS]))
     if doubled is not None:
-        recs = recs.unionByName(recs.where(doubled))
-    doc = F.concat(F.lit("conv_"), _pad(F.col("conv_id"), 8))
-    # One file per record: spread the records over every core (a numbered
-    # repartition is not coalesced by AQE into a single writer task).
-    (recs.select(doc.alias("doc"), *DOCUMENT_FIELDS)
-     .repartition(spark.sparkContext.defaultParallelism, "doc")
-     .write.mode("errorifexists").partitionBy("doc")
-     .json(path))
+        text = F.when(doubled, F.concat(text, F.lit("\n"), text)).otherwise(text)
+    if empty is not None:
+        text = F.when(empty, F.lit("")).otherwise(text)
+    # a conversation's rows are grouped already: its file is written in that stage
+    files = landing_records(spark, sf_dir).select(landing_names(F.col("conv_id"), hidden).alias("name"), text.alias("content"))
+    write_files(files, path).write.format("noop").mode("overwrite").save()
     return path

@@ -1,15 +1,15 @@
 """Incremental landing ingest with Structured Streaming.
 
-``readStream`` over the landing folder (``binaryFile``) discovers new
-documents; each micro-batch runs the same plan as a batch run through
-``foreachBatch`` (one batch takes everything landed, so dedup covers it as in a batch run), with
-its own run id ``<run id>-<batch id>``. ``trigger(availableNow=True)``
-processes what has landed and stops, so a scheduler can run it like a
-batch job while the checkpoint remembers which files were already taken.
+``readStream`` over the landing folder (``sources.landing_stream``, which does
+its own listing) discovers new documents, hidden and empty ones included; each
+micro-batch runs the same plan as a batch run through
+``foreachBatch`` with its own run id ``<run id>-<batch id>``. One batch takes everything
+that landed before the run, so dedup covers it as in a batch run:
+``trigger(availableNow=True)`` processes it and stops, so a scheduler can run it
+like a batch job while the checkpoint remembers which files were already taken.
 
-``cleanSource`` is left off on purpose: it would also remove unreadable
-documents, which stay in place for investigation. Consumption of the good
-ones is the run's own consume-after-commit delete.
+Consumption of the good documents is the run's own consume-after-commit delete;
+unreadable ones stay in place for investigation.
 
 Each finished batch leaves a marker under the checkpoint location; a batch
 that Spark re-delivers after a restart (offsets not committed yet) is
@@ -20,10 +20,8 @@ its own earlier attempt, so no row is written twice. The marker precedes
 the consume-after-commit delete: a failure between the two leaves sources in
 place, with nothing lost or doubled.
 
-Zero-length documents never reach a micro-batch (no split is planned for
-them, and the micro-batch frame carries no file listing to compare with),
-so incremental runs do not report them; like every unreadable document
-they are left in place. A batch run reports them as ``empty``.
+On stores that tasks can't list (``sources.listing.reachable``) the stream is Spark's
+``binaryFile`` source, which sees neither hidden names nor empty files.
 """
 
 from __future__ import annotations
@@ -40,7 +38,9 @@ from pactline.plans.pipeline import BatchConfig, BatchResult, document_limit, pr
 from pactline.session import apply_defaults
 from pactline.sources.config import read_json_document, write_json_document
 from pactline.sources.documents import parse_binary_documents
-from pactline.sources.landing import BINARY_FILE_SCHEMA, JSON_GLOB, listing
+from pactline.sources.landing import BINARY_FILE_SCHEMA, JSON_GLOB
+from pactline.sources.landing_stream import landing_stream
+from pactline.sources.listing import qualified, reachable
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -60,15 +60,17 @@ def _noted(spark: SparkSession, path: str) -> RunContext | None:
     return RunContext(run_id=note["run_id"], now=datetime.fromisoformat(note["now"]))
 
 
-def landing_stream(spark: SparkSession, path: str) -> DataFrame:
+def documents_stream(spark: SparkSession, path: str, checkpoint_location: str) -> DataFrame:
+    if reachable(qualified(spark, path)) and reachable(qualified(spark, checkpoint_location)):
+        return landing_stream(spark, path, f"{checkpoint_location.rstrip('/')}/_pactline_listings", document_limit(spark))
     return (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", JSON_GLOB)
               .option("recursiveFileLookup", "true").load(path))
 
 
 def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint_location: str, run_id: str,
-                      now: datetime | None = None, available_now: bool = True,
-                      results: list[BatchResult] | None = None, keep_stages: bool = False) -> StreamingQuery:
+                      now: datetime | None = None, results: list[BatchResult] | None = None,
+                      keep_stages: bool = False) -> StreamingQuery:
     """Start the incremental ingest; returns the running query."""
     apply_defaults(spark)
     fields = cfg.contract.source_fields
@@ -91,8 +93,8 @@ def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint_location
         def finished(done: BatchResult) -> None:
             write_json_document(batch.sparkSession, marker, {"batch_id": batch_id, "run_id": ctx.run_id, **done.manifest()})
 
-        parsed = parse_binary_documents(batch, fields, document_limit(batch.sparkSession))
-        res = process_parsed(batch.sparkSession, replace(cfg), parsed, ctx, listing(batch), token, finished)
+        parsed = parse_binary_documents(batch, fields, json_fields=cfg.contract.json_fields)
+        res = process_parsed(batch.sparkSession, replace(cfg), parsed, ctx, token, finished)
         if cfg.delete_sources:
             finished(res)  # now with the number of sources deleted
         if not keep_stages:
@@ -100,8 +102,8 @@ def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint_location
         if results is not None:
             results.append(res)
 
-    writer = (landing_stream(spark, cfg.landing_path).writeStream
-              .foreachBatch(each_batch)
-              .option("checkpointLocation", checkpoint_location))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    return (documents_stream(spark, cfg.landing_path, checkpoint_location).writeStream
+            .foreachBatch(each_batch)
+            .option("checkpointLocation", checkpoint_location)
+            .trigger(availableNow=True)
+            .start())

@@ -64,7 +64,7 @@ def test_bad_integer_fails_the_batch_by_default(spark, records):
 
 def test_bad_integer_is_null_in_lenient_mode(spark, records):
     rec = dict(records[0], turns="seven")
-    out = mapped(spark, [rec], opts=stages.Options(strict_casts=False)).first()
+    out = mapped(spark, [rec], opts=stages.Options(on_cast_error="null")).first()
     assert out.interaccion_turnos is None
 
 

@@ -119,7 +119,7 @@ def test_lenient_casts_write_null(spark, records, workdir):
     from pactline.plans.stages import Options
 
     land(workdir, "landing/b.json", dict(records[1], turns="seven"))
-    res = run_batch(spark, _cfg(workdir, options=Options(strict_casts=False)), CTX)
+    res = run_batch(spark, _cfg(workdir, options=Options(on_cast_error="null")), CTX)
     assert res.processed_files == 1
     assert read_hive_parquet(spark, os.path.join(workdir, "core")).first().interaccion_turnos is None
 
