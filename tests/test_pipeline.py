@@ -46,7 +46,7 @@ def test_end_to_end(spark, records, workdir):
     assert len(reqs) == 2
     assert all(r.request_context.url.endswith("/surveys") and "{conversationId}" not in r.request_context.url for r in reqs)
     stages = list(res.stage_paths)
-    assert len(stages) == 3 and all(os.path.exists(p.replace("file:", "", 1)) for p in stages)
+    assert len(stages) == 5 and all(os.path.exists(p.replace("file:", "", 1)) for p in stages)
     res.drop_stages(spark)
     assert not any(os.path.exists(p.replace("file:", "", 1)) for p in stages)
 

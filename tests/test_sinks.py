@@ -7,7 +7,7 @@ import duckdb
 
 from pactline.contract import shipped_contract
 from pactline.plans import stages
-from pactline.sinks.parquet import delete_paths, read_hive_parquet, write_hive_parquet
+from pactline.sinks.parquet import consume, delete_paths, read_hive_parquet, write_hive_parquet
 from tests.helpers import CTX, NOW, mapped
 
 
@@ -80,25 +80,20 @@ def test_null_and_empty_partitions_read_back_as_null(spark, workdir):
     assert back == {1: "a", 2: None, 3: None}
 
 
-def test_delete_paths_removes_exactly_the_given_files(spark, workdir):
+def test_consume_removes_exactly_the_given_files_and_names_failures(spark, workdir):
     keep = Path(workdir, "keep.json")
     keep.write_text("{}")
-    gone = [Path(workdir, f"g{i}.json") for i in range(3)]
-    for g in gone:
-        g.write_text("{}")
-    paths = spark.createDataFrame([(f"file:{g}",) for g in gone] + [(f"file:{workdir}/missing.json",)], "source_path string")
-    assert delete_paths(spark, paths) == 3
-    assert keep.exists() and not any(g.exists() for g in gone)
-
-
-def test_delete_paths_with_a_base_folder(spark, workdir):
-    gone = [Path(workdir, "land", f"d{i}", "x.json") for i in range(5)]
+    gone = [Path(workdir, f"d{i}", "a b%20.json") for i in range(3)]
     for g in gone:
         g.parent.mkdir(parents=True)
         g.write_text("{}")
-    paths = spark.createDataFrame([(f"file:{g}",) for g in gone], "source_path string")
-    assert delete_paths(spark, paths, base=f"file:{workdir}/land") == 5
-    assert not any(g.exists() for g in gone)
+    folder = Path(workdir, "folder.json")
+    folder.mkdir()
+    paths = spark.createDataFrame([(f"file:{g}",) for g in [*gone, folder, Path(workdir, "missing.json")]], "source_path string")
+    got = {Path(r.source_path).name if "d0" not in r.source_path else "first": (r.deleted, r.error is None) for r in consume(spark, paths).collect()}
+    assert got == {"first": (True, True), "a b%20.json": (True, True), "folder.json": (False, False), "missing.json": (True, True)}
+    assert keep.exists() and folder.exists() and not any(g.exists() for g in gone)
+    assert delete_paths(spark, paths) == 4  # a second attempt finds them gone
 
 
 def test_partition_values_with_separators_round_trip(spark, workdir):

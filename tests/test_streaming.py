@@ -31,8 +31,8 @@ def test_two_runs_take_new_files_only(spark, records, workdir):
     core = read_hive_parquet(spark, cfg.core_path)
     assert core.count() == 2
     assert sorted(r.ejecucion_id for r in core.collect()) == ["run-0", "run-1"]
-    # Zero-length files never reach a micro-batch: not reported, left in place.
-    assert [(r.processed_files, r.skipped_count) for r in results] == [(1, 1), (1, 0)]
+    # The empty file is reported once, with the batch that listed it, and left in place.
+    assert [(r.processed_files, r.skipped_count) for r in results] == [(1, 2), (1, 0)]
     assert os.path.exists(os.path.join(workdir, "landing", "empty.json"))
 
 
