@@ -1,20 +1,25 @@
 """Benchmark decontamination by a prefix-filtered set join.
 
 Every benchmark item gives its windows of 13 consecutive words (a shorter
-item: one window). Words are ranked by rarity (number of documents that hold
-them, over the whole corpus). Containment of a whole window needs all its
-words, so its necessary prefix is its rarest word: documents join on that
-word alone, the word's place in the window gives the only possible start
-(positional bound), the document must have room for the window (length
-bound), and the window is then compared word by word.
-
-The benchmark is a query set: its distinct windows are dealt into blocks of
-about ``BLOCK`` rows, each broadcast once, and every document passes all blocks in
-one scan without a shuffle of texts.
+item: one window). A window is a set of placed word shingles (two words each; one
+word where the window has no more), ranked by rarity: the number of documents that hold
+them, over the whole corpus. Containment of a whole window needs all its
+shingles, so its necessary prefix is the rarest: documents join windows on
+that shingle alone, the shingle's place in the window gives the only possible start
+(positional bound), the document must have room for the window on both
+sides (length bound), and the window is then compared word by word.
+
+Both sides are tables. Documents send only places whose shingle can be a
+benchmark's: a bitmap of hashed shingles, of a size bounded by ``MAX_SLOTS``, goes to
+the tasks; neither windows nor documents do. The join is salted, so a frequent
+shingle is spread; texts are never shuffled.
 
 Defined results: null and empty texts have no words and hold nothing; items
-that are null, empty or without an id are skipped; items with the same id
-count once; repeated document rows give a row each.
+that are null or empty have no windows; windows of items without an id count
+as hits, but name no item; items with the same id count once; rows equal in doc_id and
+text share their result, each has its row; very long texts are read whole; an
+empty table of documents gives no rows, of benchmark items no hits; other columns are kept
+by ``drop_contaminated``, whatever their names, and not read otherwise.
 """
 
 from __future__ import annotations
@@ -23,118 +28,180 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pactline.llm.common import ALNUM_LOWER, drop_stage, stage, text_of
 
 WINDOW = 13
-BLOCK = 100_000
-STATE = "text binary, starts array<int>, ends array<int>, items array<string>"
+SALTS = 16
+MAX_SLOTS = 1 << 28  # bits of a bitmap of shingles: 32 MB at most
+NO_ID = (1 << 63) - 1
+BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(ALNUM_LOWER).split()
 
 
+class WordHashes(dict):
+    """Word to 64-bit hash, kept for a bounded number of words."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(self) < 300_000:
+            self[word] = h
+        return h
+
+
+def shingle_hashes(words: list[bytes], known: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word alone, hash of each two adjacent words)."""
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    two = h[:-1] * BASE + h[1:]
+    two = (two ^ (two >> np.uint64(31))) * MIX
+    return h, two ^ (two >> np.uint64(29))
+
+
 def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Distinct (window, item): the window's words joined by blanks."""
+    """Distinct (window, item, shingles): the window's words joined by blanks, and the hash of the shingle at each place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
         for batch in batches:
-            windows, items = [], []
+            windows, items, shingles = [], [], []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = [w.decode() for w in words_of(text)]
-                for i in range(max(1, len(words) - size + 1) if words else 0):
-                    windows.append(" ".join(words[i: i + size]))
+                words = words_of(text)
+                if not words:
+                    continue
+                one, two = shingle_hashes(words, known)
+                keys = (two if len(words) > 1 else one).view(np.int64).tolist()
+                for i in range(max(1, len(words) - size + 1)):
+                    windows.append(b" ".join(words[i: i + size]).decode())
                     items.append(item)
-            yield pa.RecordBatch.from_arrays([pa.array(windows, pa.string()), pa.array(items, pa.string())], names=["window", "item"])
+                    shingles.append(keys[i: i + max(1, min(size, len(words)) - 1)])
+            yield pa.RecordBatch.from_arrays([pa.array(windows, pa.string()), pa.array(items, pa.string()), pa.array(shingles, pa.list_(pa.int64()))], names=["window", "item", "shingles"])
 
-    named = benchmark.where("item_id is not null").select(F.col("item_id").cast("string").alias("item"), text_of(benchmark).cast("binary").alias("text"))
-    return named.mapInArrow(run, "window string, item string").distinct()
+    named = benchmark.select(F.col("item_id").cast("string").alias("item"), text_of(benchmark).cast("binary").alias("text"))
+    return named.mapInArrow(run, "window string, item string, shingles array<long>").distinct()
 
 
-def document_frequency(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
-    """Number of documents that hold each word of one bounded block's vocabulary."""
+def bitmap(shingles: DataFrame, slots: int) -> np.ndarray:
+    """Which of ``slots`` the hashes of ``shingles(shingle)`` fall into, as packed bits; put together by Spark."""
+    slot = F.pmod(F.col("shingle"), F.lit(slots)) + 1
+    parts = shingles.groupBy(F.bitmap_bucket_number(slot).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
+    bits = np.zeros(max(1, slots // 32768) * 4096, np.uint8)
+    for r in parts:
+        bits[(r["part"] - 1) * 4096: r["part"] * 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return bits
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
-        for batch in batches:
-            for text in batch.column(0):
-                for w in vocabulary.intersection(words_of(text.as_py())):
-                    seen[w] = seen.get(w, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], names=["word", "n"])
 
-    counts = docs.select(text_of(docs).cast("binary").alias("text")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return {bytes(r["word"]): r["n"] for r in counts.collect()}
+def held(bits: np.ndarray, slots: int, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes' slots are set."""
+    at = hashes & np.uint64(slots - 1)
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _join_block(state: DataFrame, keep: list[str], windows: list[list[bytes]], items: list[list[str]], rarity: dict[bytes, int]) -> DataFrame:
-    """One block: appends the places and items of its windows that occur in each document."""
-    prefix: dict[bytes, list[tuple[int, int]]] = {}
-    for i, window in enumerate(windows):
-        offset = min(range(len(window)), key=lambda k: (rarity.get(window[k], 0), window[k], k))
-        if rarity.get(window[offset], 0):
-            prefix.setdefault(window[offset], []).append((offset, i))
-    n_keep = len(keep)
+def document_frequency(docs: DataFrame, bits: np.ndarray, slots: int) -> DataFrame:
+    """(shingle, n): the documents that hold each shingle whose slot is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+
+        def counted(found: list[np.ndarray]) -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(found), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["shingle", "n"])
+
+        found, size = [], 0
         for batch in batches:
-            texts, starts, ends, found = (batch.column(n_keep + k) for k in range(4))
-            starts, ends, found = starts.to_pylist(), ends.to_pylist(), found.to_pylist()
-            for row, text in enumerate(texts):
+            for text in batch.column(0):
                 words = words_of(text.as_py())
-                if prefix.keys().isdisjoint(words):
+                if not words:
                     continue
-                hits, own = [], set()
-                for at, word in enumerate(words):
-                    for offset, i in prefix.get(word, ()):
-                        window, start = windows[i], at - offset
-                        if start >= 0 and start + len(window) <= len(words) and words[start: start + len(window)] == window:
-                            hits.append((start, start + len(window)))
-                            own.add(i)
-                if hits:
-                    starts[row] = starts[row] + [a for a, _ in hits]
-                    ends[row] = ends[row] + [b for _, b in hits]
-                    found[row] = sorted({*found[row], *(x for i in own for x in items[i])})
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in range(n_keep + 1)), pa.array(starts, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string()))],
-                names=[*keep, "text", "starts", "ends", "items"])
-
-    kept = ", ".join(f"`{c}` {state.schema[c].dataType.simpleString()}" for c in keep)
-    return state.mapInArrow(run, f"{kept}, {STATE}")
-
-
-def _covered(starts: list[int], ends: list[int], n: int) -> int:
-    steps = np.zeros(n + 1, np.int32)
-    np.add.at(steps, starts, 1)
-    np.add.at(steps, ends, -1)
-    return int((np.cumsum(steps) > 0).sum())
-
-
-def find_contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", size: int = WINDOW, block: int = BLOCK) -> DataFrame:
-    """Per document row: key, text, n_words, n_hit and the sorted ``items`` whose windows occur in it."""
-    pairs = stage(spark, benchmark_windows(benchmark, size), "windows")
-    blocks = max(1, -(-pairs.count() // block))
-    state = docs.select(key, text_of(docs).cast("binary").alias("text")).withColumns({
-        "starts": F.lit([]).cast("array<int>"), "ends": F.lit([]).cast("array<int>"), "items": F.lit([]).cast("array<string>")})
-    for b in range(blocks):
-        by_window: dict[str, list[str]] = {}
-        for r in pairs.where(F.pmod(F.xxhash64("window", "item"), F.lit(blocks)) == b).collect():
-            by_window.setdefault(r["window"], []).append(r["item"])
-        windows = [w.encode().split() for w in by_window]
-        rarity = document_frequency(docs, {x for w in windows for x in w}) if windows else {}
-        state = _join_block(state, [key], windows, list(by_window.values()), rarity)
-    drop_stage(spark, pairs)
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_words = [len(words_of(t.as_py())) for t in batch.column(1)]
-            n_hit = [_covered(a, b, n) if a else 0 for a, b, n in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), n_words, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), batch.column(4)], names=[key, "text", "n_words", "n_hit", "items"])
+                each = np.concatenate(shingle_hashes(words, known))
+                own = np.unique(each[held(bits, slots, each)])
+                found.append(own)
+                size += len(own)
+                if size > 2_000_000:
+                    yield counted(found)
+                    found, size = [], 0
+        if found:
+            yield counted(found)
+
+    return docs.select(text_of(docs).cast("binary").alias("text")).mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+
 
-    kind = state.schema[key].dataType.simpleString()
-    return state.mapInArrow(finish, f"`{key}` {kind}, text binary, n_words long, n_hit long, items array<string>")
+def candidate_places(docs: DataFrame, bits: np.ndarray, slots: int, size: int) -> DataFrame:
+    """(doc_id, tid, n_words, places): per document the places whose shingle can be a window's prefix, with the words around."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        kind = pa.list_(pa.struct([("at", pa.int32()), ("first", pa.int32()), ("shingle", pa.int64()), ("around", pa.list_(pa.string()))]))
+
+        def batch_of(ids, tids, counts, places) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(tids, pa.int64()), pa.array(counts, pa.int64()), pa.array(places, kind)], names=["doc_id", "tid", "n_words", "places"])
+
+        for batch in batches:
+            ids, tids, counts, places, size_out = [], [], [], [], 0
+            for doc, tid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                words, own = words_of(text.as_py()), []
+                if words:
+                    for hashes in shingle_hashes(words, known):
+                        for at in np.flatnonzero(held(bits, slots, hashes)).tolist():
+                            first = max(0, at - size + 1)
+                            own.append({"at": at, "first": first, "shingle": int(hashes[at].view(np.int64)), "around": [w.decode() for w in words[first: at + size]]})
+                ids.append(doc), tids.append(tid), counts.append(len(words)), places.append(own)
+                size_out += len(own)
+                if size_out > 20_000:
+                    yield batch_of(ids, tids, counts, places)
+                    ids, tids, counts, places, size_out = [], [], [], [], 0
+            if ids:
+                yield batch_of(ids, tids, counts, places)
+
+    text = text_of(docs)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tid"), text.cast("binary").alias("text")).mapInArrow(
+        run, "doc_id long, tid long, n_words long, places array<struct<at:int,first:int,shingle:long,around:array<string>>>")
+
+
+def prefixes(windows: DataFrame, frequency: DataFrame) -> DataFrame:
+    """(shingle, offset, window, n): each window that can occur, by its rarest shingle and that shingle's place."""
+    places = windows.select("window", F.posexplode("shingles").alias("offset", "shingle"))
+    # a shingle that no document holds rules its window out; the join is on the corpus counts of benchmark shingles alone
+    ranked = places.join(frequency, "shingle", "left").groupBy("window").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", "offset")).alias("rarest"))
+    return ranked.where("rarest.n > 0").select("rarest.shingle", "rarest.offset", "window", F.size(F.split("window", " ")).alias("n"))
+
+
+def find_contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """Per document row: doc_id, tid (hash of its text), n_words, n_hit and the sorted ``items`` whose windows occur in it."""
+    windows = stage(spark, benchmark_windows(benchmark, size), "windows")
+    slots = 1 << 20
+    while slots < 16 * WINDOW * windows.count() and slots < MAX_SLOTS:
+        slots *= 2
+    of_benchmark = windows.select(F.explode("shingles").alias("shingle"))
+    single = windows.groupBy("window").agg(F.first("shingles").alias("shingles"))
+    chosen = stage(spark, prefixes(single, document_frequency(docs, bitmap(of_benchmark, slots), slots)), "prefixes")
+    found = stage(spark, candidate_places(docs, bitmap(chosen.select("shingle"), slots), slots, size), "places")
+    place = found.select("doc_id", "tid", F.explode("places").alias("p")).select("doc_id", "tid", "p.*").withColumn("salt", F.pmod(F.xxhash64("doc_id", "tid", "at"), F.lit(SALTS)))
+    salted = chosen.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    start = F.col("at") - F.col("offset")
+    own = F.array_join(F.slice("around", start - F.col("first") + 1, F.col("n")), " ")
+    # positional and length bounds, then the words themselves, all in the join's condition
+    same = (place["shingle"] == salted["shingle"]) & (place["salt"] == salted["salt"]) & (start >= F.col("first")) & (
+        start - F.col("first") + F.col("n") <= F.size("around")) & (own == F.col("window"))
+    hits = stage(spark, place.join(salted, same).select("doc_id", "tid", start.alias("start"), (start + F.col("n")).alias("end"), "window").distinct(), "hits")
+    before = Window.partitionBy("doc_id", "tid").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.coalesce(F.max("end").over(before), F.lit(0))
+    covered = hits.select("doc_id", "tid", "start", "end").distinct().select("doc_id", "tid", F.greatest(F.lit(0), F.col("end") - F.greatest("start", reach)).alias("n"))
+    covered = covered.groupBy("doc_id", "tid").agg(F.sum("n").cast("long").alias("n_hit"))
+    named = hits.select("doc_id", "tid", "window").distinct().join(windows.select("window", "item"), "window").groupBy("doc_id", "tid").agg(
+        F.array_sort(F.collect_set("item")).alias("items"))
+    of_doc = stage(spark, covered.join(named, (covered["doc_id"].eqNullSafe(named["doc_id"])) & (covered["tid"] == named["tid"])).select(
+        covered["doc_id"].alias("_doc"), covered["tid"].alias("_tid"), "n_hit", "items"), "contamination")
+    for done in (windows, chosen, hits):
+        drop_stage(spark, done)
+    return found.join(of_doc, (F.col("doc_id").eqNullSafe(F.col("_doc"))) & (F.col("tid") == F.col("_tid")), "left").select(
+        "doc_id", "tid", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def contaminated(n_hit: str = "n_hit", n_words: str = "n_words"):
@@ -148,21 +215,21 @@ def op10_contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFram
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without its contaminated rows. The whole row travels through the blocks, so no join is needed."""
-    packed = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    found = find_contamination(spark, packed, benchmark, key="_row")
-    return found.where(~contaminated()).select("_row.*")
+    """``docs`` without its contaminated rows; a row travels as one struct, so its columns can have any names."""
+    gone = find_contamination(spark, docs, benchmark).where(contaminated()).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("d"), "tid").distinct()
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("d"), F.xxhash64(text_of(docs)).alias("tid"))
+    return rows.join(gone, ["d", "tid"], "left_anti").select("row.*")
 
 
 ORACLE = r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
 bw AS (SELECT DISTINCT item, len(win) AS n, array_to_string(win, ' ') AS win FROM (SELECT item, w[i:i + least(len(w), 13) - 1] AS win FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0))),
 sizes AS (SELECT DISTINCT n FROM bw),
 dw AS (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
 h AS (SELECT dw.r, dw.i, dw.n, bw.item FROM dw JOIN bw USING (n, win)),
 words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM h) GROUP BY r),
-items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM h WHERE item IS NOT NULL) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)

@@ -128,7 +128,7 @@ def test_neardup_awkward(spark):
     assert neardup.keep_one(spark, empty_docs(spark)).count() == 0
 
 
-def test_decontamination(spark):
+def test_decontamination(spark, monkeypatch):
     docs, rows = awkward_docs(spark)
     items = [(1, PASSAGE), (1, PASSAGE), (2, "w1 w2"), (3, None), (4, ""), (None, PASSAGE), (10, "Front, passage0!")]
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -150,8 +150,11 @@ def test_decontamination(spark):
     key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
     got = [tuple(r) for r in decontamination.op10_contamination(spark, docs, bench).collect()]
     assert sorted(got, key=key) == sorted(expected, key=key)
-    blocks = decontamination.find_contamination(spark, docs, bench, block=7)  # several blocks give the same
-    assert sorted(r["n_hit"] for r in blocks.collect()) == sorted(e[2] for e in expected)
+    # a bitmap that lets every shingle pass gives the same
+    monkeypatch.setattr(decontamination, "held", lambda bits, slots, hashes: np.ones(len(hashes), bool))
+    every = decontamination.find_contamination(spark, docs, bench)
+    assert sorted(r["n_hit"] for r in every.collect()) == sorted(e[2] for e in expected)
+    monkeypatch.undo()
     assert decontamination.drop_contaminated(spark, docs, bench).columns == docs.columns
     assert decontamination.op10_contamination(spark, empty_docs(spark), bench).count() == 0
     assert decontamination.op10_contamination(spark, docs, bench.limit(0)).where("contaminated").count() == 0
