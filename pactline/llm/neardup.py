@@ -7,7 +7,7 @@ Candidates are confirmed on full shingle sets and joined into components.
 
 Documents with equal shingle sets form one node first. In a bucket of nodes
 no round emits all pairs: round by round a growing number of its nodes
-(1, 16, 256, ...) is compared with the later nodes that are not yet in the same
+(1, 64, 4096, ...) is compared with the later nodes that are not yet in the same
 component, until every node has had its turn or the bucket is one component.
 So no link between components is lost and there is no cap on buckets.
 
@@ -40,6 +40,7 @@ PERMUTATIONS = 30
 ROWS = 3
 PERCENT = 80
 SALTS = 32  # parts in which a band's nodes are ranked
+GROWTH = 64  # so many times more nodes have their turn in each round
 NO_ID = (1 << 63) - 1  # stands for a null doc_id: after all others
 _RANDOM = np.random.default_rng(20240229)
 MULTIPLIERS = _RANDOM.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -199,7 +200,7 @@ def find_links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, ranked: D
         drop_stage(spark, ranked)
         ranked = left.drop("label")
         ranked._llm_path = left._llm_path
-        low, high = high, high + 16 * (high - low)
+        low, high = high, high + GROWTH * (high - low)
 
 
 def find_components(spark: SparkSession, docs: DataFrame, size: int = 4, percent: int = PERCENT) -> DataFrame:
