@@ -156,7 +156,7 @@ def judged(rows: DataFrame) -> DataFrame:
     """``rows(conv_id, turn, role, text, gone)`` with ``later``: role and text occur at an earlier turn of the conversation."""
     key = [F.xxhash64(F.lit(k), "conv_id", "role", "text").alias(f"h{k}") for k in (1, 2)]
     at = F.struct(F.col("turn").isNotNull().alias("known"), F.col("turn").alias("turn"))
-    keyed = rows.select("*", *(F.when(~F.col("gone"), k).alias(f"h{i + 1}") for i, k in enumerate(key)), at.alias("at"))
+    keyed = rows.select("*", *key, at.alias("at"))
     repeated = keyed.where("not gone").groupBy("h1", "h2").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first < last").select("h1", "h2", "first")
     return keyed.join(repeated, ["h1", "h2"], "left").select("conv_id", "turn", "role", "text", "gone", F.coalesce(F.col("first") < F.col("at"), F.lit(False)).alias("later"))
 
