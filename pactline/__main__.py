@@ -31,9 +31,9 @@ def build_config(spark, args) -> BatchConfig:
 
     return BatchConfig(
         contract=contract,
-        landing_path=loc.path(contract.source_location, contract.source_prefix),
-        core_path=loc.path(contract.output_location("output_core"), contract.output_prefix("output_core")),
-        atts_path=loc.path(contract.output_location("output_atts"), contract.output_prefix("output_atts")),
+        landing_path=loc.path(*contract.landing),
+        core_path=loc.path(contract.core.location, contract.core.prefix),
+        atts_path=loc.path(contract.atts.location, contract.atts.prefix),
         endpoints=endpoints,
         requests_path=args.requests,
         manifest_path=args.manifests,
@@ -73,7 +73,7 @@ def explain(spark, cfg: BatchConfig) -> dict:
     from pactline.sources.documents import parse_binary_documents
     from pactline.sources.landing import scan_files
 
-    parsed = parse_binary_documents(scan_files(spark, cfg.landing_path), cfg.contract.source_fields,
+    parsed = parse_binary_documents(scan_files(spark, cfg.landing_path), cfg.contract.read_fields,
                                     json_fields=cfg.contract.json_fields)
     staged = stages.mapped(parsed, cfg.contract, cfg.options, keep=("source_path", "status"))
     mapped = stages.good(staged).drop("status")

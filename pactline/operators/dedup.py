@@ -15,17 +15,12 @@ ships at most one row per map task; the final window sees tiny groups.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def order_directions(dedup: dict) -> list[tuple[str, bool]]:
-    """``[(column, descending)]`` for the contract's order spec."""
-    order_by = list(dedup.get("order_by", []))
-    order_type = dedup.get("order_type", [])
-    if isinstance(order_type, str):
-        order_type = [order_type]
-    return [(c, i < len(order_type) and str(order_type[i]).lower() == "desc") for i, c in enumerate(order_by)]
+from pactline.contract import KeepBest
 
 
 def _value(df: DataFrame, name: str) -> Column:
@@ -33,23 +28,16 @@ def _value(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None)
 
 
-def sort_exprs(df: DataFrame, directions: list[tuple[str, bool]], tie_breakers: list[str]) -> list[Column]:
-    """Order columns the frame lacks are null in every row and cannot change the order: dropped."""
-    exprs = [F.col(c).desc_nulls_first() if desc else F.col(c).asc_nulls_last() for c, desc in directions
-             if c in df.columns]
-    return exprs + [F.col(c).asc_nulls_last() for c in tie_breakers]
-
-
-def keep_best(df: DataFrame, dedup: dict | None, tie_breakers: tuple[str, ...] = ("source_path",)) -> DataFrame:
-    """One row per key, or ``df`` unchanged when dedup is off or keyless."""
-    if not dedup or not dedup.get("enabled"):
-        return df
-    keys = list(dedup.get("record_key", []))
-    if not keys:
+def keep_best(df: DataFrame, best: KeepBest | Mapping | None, tie_breakers: tuple[str, ...] = ("source_path",)) -> DataFrame:
+    """One row per key, or ``df`` unchanged when dedup is off or keyless; a contract block is parsed first."""
+    if not isinstance(best, KeepBest):
+        best = KeepBest.parse(best)
+    if best is None:
         return df
+    # Order columns that the frame lacks are null in every row and cannot change the order.
+    order = [F.col(c).desc_nulls_first() if down else F.col(c).asc_nulls_last() for c, down in best.order if c in df.columns]
+    order += [F.col(c).asc_nulls_last() for c in tie_breakers]
     # A key the records do not have is null for every row: all rows then form
     # one group, which the map-side group limit keeps to one row per task.
-    window = Window.partitionBy(*[_value(df, k) for k in keys]).orderBy(
-        *sort_exprs(df, order_directions(dedup), list(tie_breakers)))
-    rank = "__keep_rank"
+    rank, window = "__keep_rank", Window.partitionBy(*[_value(df, k) for k in best.keys]).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1).drop(rank)

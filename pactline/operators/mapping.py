@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pactline.contract import Contract
+from pactline.contract import Contract, Field
 from pactline.functions.casts import cast_declared
 from pactline.functions.text import RULES_PY, RULES_SPARK, json_literal, json_quoted, json_text
 from pactline.operators.values import Val
@@ -18,55 +18,38 @@ from pactline.sources.documents import kind_field
 
 def map_values(contract: Contract, rec: str = "rec", strict_casts: bool = True,
                honor_input_formats: bool = False) -> dict[str, Val]:
-    """One value per contract column, before cleaning.
+    """Every business column's value before cleaning: a document field cast to its type (null if absent), or a constant."""
+    def value(f: Field) -> Val:
+        if f.field is None:
+            return Val.lit(f.constant, f.type)
+        text = F.col(rec).getField(f.field)
+        kind = F.col(rec).getField(kind_field(f.field)) if f.type == "json" else None
+        return Val.col(cast_declared(text, f.type, strict_casts, list(f.formats) if honor_input_formats else None), f.type, kind)
 
-    A column with ``source_column`` reads that top-level field (absent ->
-    null) and casts it to the declared type; a column without one is the
-    ``default_value`` constant (or null), not cast.
-    """
-    out: dict[str, Val] = {}
-    for spec in contract.columns:
-        name, ctype = spec["name"], spec["type"]
-        if "source_column" in spec:
-            text = F.col(rec).getField(spec["source_column"])
-            formats = spec.get("input_formats") if honor_input_formats else None
-            quoted = F.col(rec).getField(kind_field(spec["source_column"])) if ctype == "json" else None
-            out[name] = Val.col(cast_declared(text, ctype, strict_casts, formats), ctype, quoted)
-        else:
-            out[name] = Val.lit(spec.get("default_value"), ctype)
-    return out
+    return {f.name: value(f) for f in contract.fields}
 
 
 def _is_text(v: Val) -> bool:
-    """Would the record hold a ``str`` here (so a cleaning rule applies)?
+    """Whether some record may hold text here, so that a cleaning rule applies.
 
-    Timestamp values are ISO text in a record, but no rule changes that
-    text, so they are left out. A JSON value is text where it is a JSON string.
+    Timestamps are left out: no rule changes ISO text. A JSON value is text where it is a JSON string.
     """
-    if v.is_lit:
-        return isinstance(v.value, str)
-    return v.ctype == "string" or v.is_string is not None
+    return isinstance(v.value, str) if v.is_lit else v.ctype == "string" or v.is_string is not None
 
 
-def rule_targets(rule: dict, values: dict[str, Val]) -> list[str]:
-    if rule.get("selector") == "all-string":
-        return [n for n, v in values.items() if _is_text(v)]
-    return [n for n in rule.get("columns", []) if n in values and _is_text(values[n])]
+def _cleaned(v: Val, kind: str, accents: str) -> Val:
+    if v.is_lit:
+        return Val.lit(RULES_PY[kind](v.value), v.ctype)
+    done = RULES_SPARK[kind](v.value, accents)
+    return Val.col(done if v.is_string is None else F.when(v.is_string, done).otherwise(v.value), v.ctype, v.is_string)
 
 
 def clean_values(contract: Contract, values: dict[str, Val], accents: str = "native") -> dict[str, Val]:
-    """Apply the contract's rules in order; literals are cleaned on the driver."""
+    """The contract's rules one after another, each on the columns it names or on all text; constants on the driver."""
     out = dict(values)
-    for rule in contract.transformations:
-        kind = rule["type"]
-        for name in rule_targets(rule, out):
-            v = out[name]
-            if v.is_lit:
-                out[name] = Val.lit(RULES_PY[kind](v.value), v.ctype)
-            elif v.is_string is not None:
-                out[name] = Val.col(F.when(v.is_string, RULES_SPARK[kind](v.value, accents)).otherwise(v.value), v.ctype, v.is_string)
-            else:
-                out[name] = Val.col(RULES_SPARK[kind](v.value, accents), v.ctype)
+    for rule in contract.rules:
+        named = out if rule.get("selector") == "all-string" else rule.get("columns", ())
+        out |= {n: _cleaned(out[n], rule["type"], accents) for n in named if n in out and _is_text(out[n])}
     return out
 
 
@@ -100,7 +83,7 @@ def map_records(parsed: DataFrame, contract: Contract, strict_casts: bool = True
     constants included, so downstream operators see one static schema.
     """
     values = business_values(contract, "rec", strict_casts, accents, honor_input_formats, json_mode)
-    cols = [v.as_type(contract.column_types[n]).alias(n) for n, v in values.items()]
+    cols = [v.as_type(contract.types[n]).alias(n) for n, v in values.items()]
     if errors is None:
         return parsed.select(*keep, *cols)
     # Values first, then the errors from values and texts: each cast stands once in the plan.
@@ -111,22 +94,17 @@ def map_records(parsed: DataFrame, contract: Contract, strict_casts: bool = True
 def cast_error_list(contract: Contract, rec: str = "rec") -> Column:
     """``array<struct<column, text, reason>>`` of a typed record: fields that hold text but got no value of their type."""
     found = []
-    for spec in contract.columns:
-        if "source_column" in spec and spec["type"] in ("integer", "timestamp"):
-            text = F.col(rec).getField(spec["source_column"])
-            error = F.struct(F.lit(spec["name"]).alias("column"), text.alias("text"), F.lit(f"not_{spec['type']}").alias("reason"))
-            found.append(F.when(text.isNotNull() & F.col(spec["name"]).isNull(), error))
+    for f in contract.fields:
+        if f.field is not None and f.type in ("integer", "timestamp"):
+            text = F.col(rec).getField(f.field)
+            error = F.struct(F.lit(f.name).alias("column"), text.alias("text"), F.lit(f"not_{f.type}").alias("reason"))
+            found.append(F.when(text.isNotNull() & F.col(f.name).isNull(), error))
     empty = F.array().cast("array<struct<column:string,text:string,reason:string>>")
     return F.array_compact(F.array(*found)) if found else empty
 
 
 def values_of(frame_columns: list[str], contract: Contract) -> dict[str, Val]:
-    """Business values of an already mapped frame: constants stay literals."""
-    lits = clean_values(contract, map_values(contract))
-    out: dict[str, Val] = {}
-    for spec in contract.columns:
-        name = spec["name"]
-        v = lits[name]
-        # a json constant was written as text in the run's mode
-        out[name] = v if v.is_lit and spec["type"] != "json" else Val.col(F.col(name), spec["type"])
-    return out
+    """Business values of an already mapped frame: constants stay literals, but for json ones, written in the run's mode."""
+    constants = clean_values(contract, map_values(contract))
+    keep = lambda f: constants[f.name].is_lit and f.type != "json"
+    return {f.name: constants[f.name] if keep(f) else Val.col(F.col(f.name), f.type) for f in contract.fields}

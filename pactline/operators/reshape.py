@@ -30,10 +30,10 @@ def _audit_value(audit: dict[str, Val], name: str) -> Val:
 def core_frame(deduped: DataFrame, contract: Contract, ctx: RunContext) -> DataFrame:
     business = values_of(deduped.columns, contract)
     audit = resolve_audit(contract, business, ctx)
-    types = {**contract.column_types, **contract.technical_column_types}
-    keep = contract.core_keep
+    types = {**contract.types, **contract.audit_types}
+    keep = contract.core.audit
     cols = []
-    for name in contract.column_names:
+    for name in contract.types:
         value = _audit_value(audit, name) if name in keep else business[name]
         cols.append(value.as_type(types[name]).alias(name))
     for name in keep:
@@ -45,17 +45,17 @@ def core_frame(deduped: DataFrame, contract: Contract, ctx: RunContext) -> DataF
 def atts_frame(deduped: DataFrame, contract: Contract, ctx: RunContext) -> DataFrame:
     business = values_of(deduped.columns, contract)
     audit = resolve_audit(contract, business, ctx)
-    types = contract.technical_column_types
-    shared = [n for n in contract.atts_keep if n not in EAV_FIELDS]
+    types = contract.audit_types
+    shared = [n for n in contract.atts.audit if n not in EAV_FIELDS]
     shared_cols = [_audit_value(audit, n).as_type(types[n]).alias(n) for n in shared]
     attrs = F.array(*[
         F.struct(
-            F.lit(spec["name"]).alias("atributo_nombre"),
-            F.lit(spec["type"]).alias("atributo_tipo"),
-            F.lit(spec["position"]).cast("bigint").alias("atributo_posicion"),
-            business[spec["name"]].nullable_text().alias("atributo_valor"),
+            F.lit(spec.name).alias("atributo_nombre"),
+            F.lit(spec.type).alias("atributo_tipo"),
+            F.lit(spec.position).cast("bigint").alias("atributo_posicion"),
+            business[spec.name].nullable_text().alias("atributo_valor"),
         )
-        for spec in contract.columns
+        for spec in contract.fields
     ])
     eav_types = {n: AUDIT_COLUMN_TYPES.get(n, "string") for n in EAV_FIELDS}
     exploded = deduped.select(*shared_cols, F.inline(attrs))

@@ -39,8 +39,8 @@ def declared_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The core output after the typed write, read back from storage."""
     contract = shipped_contract()
     out = scratch_path(spark, "core")
-    write_hive_parquet(contract_core(spark, sf_dir), out, contract.partition_by, NOW,
-                       contract.output_file_prefix("output_core"))
+    write_hive_parquet(contract_core(spark, sf_dir), out, contract.partitions, NOW,
+                       contract.core.file_prefix)
     return read_hive_parquet(spark, out)
 
 
@@ -50,8 +50,8 @@ def atts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     contract = shipped_contract()
     out = scratch_path(spark, "atts")
-    write_hive_parquet(contract_atts(spark, sf_dir), out, contract.partition_by, NOW,
-                       contract.output_file_prefix("output_atts"))
+    write_hive_parquet(contract_atts(spark, sf_dir), out, contract.partitions, NOW,
+                       contract.atts.file_prefix)
     return read_hive_parquet(spark, out)
 
 
@@ -105,7 +105,7 @@ def landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_defaults(spark)
     root = scratch_path(spark, "quarantine")
     landing = write_landing_files(spark, sf_dir, f"{root}/landing", doubled=F.expr(DOUBLED_RULE))
-    parsed = read_landing(spark, landing, shipped_contract().source_fields)
+    parsed = read_landing(spark, landing, shipped_contract().read_fields)
     doc = F.regexp_extract("source_path", r"(conv_[0-9]+)\.json$", 1)
     return parsed.select(doc.alias("doc"), "status", F.col("rec.trace_id").alias("trace_id"))
 
@@ -121,7 +121,7 @@ def landing_any_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_defaults(spark)
     root = scratch_path(spark, "anyname")
     landing = write_landing_files(spark, sf_dir, f"{root}/landing", empty=F.expr(EMPTY_RULE), hidden=True)
-    parsed = read_landing(spark, landing, shipped_contract().source_fields)
+    parsed = read_landing(spark, landing, shipped_contract().read_fields)
     name = F.substring("source_path", F.lit(len(qualified(spark, landing)) + 2), F.length("source_path"))
     return parsed.select(name.alias("name"), "status", F.col("rec.trace_id").alias("trace_id"))
 

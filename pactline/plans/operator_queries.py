@@ -87,7 +87,7 @@ def rename_default_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = _landing_good(spark, sf_dir)
     pick = ["consumidor_nombre", "consumidor_apellido", "interaccion_resultado", "interaccion_turnos",
             "interaccion_fecha_inicio", "cliente_prefijo", "caso_uso_id", "canal"]
-    return parsed.select("source_path", *[values[n].as_type(contract.column_types[n]).alias(n) for n in pick])
+    return parsed.select("source_path", *[values[n].as_type(contract.types[n]).alias(n) for n in pick])
 
 
 def json_serialize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,7 +236,7 @@ def landing_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract = shipped_contract()
     d = _landing_deduped(spark, sf_dir)
     audit = resolve_audit(contract, _landing_business(d), CTX)
-    types = contract.technical_column_types
+    types = contract.audit_types
     names = ["cargue_fecha", "cargue_fecha_id", "archivo_fecha", "archivo_fecha_id"]
     return d.select("source_path", *[audit[n].as_type(types[n]).alias(n) for n in names])
 

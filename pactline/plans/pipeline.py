@@ -191,15 +191,15 @@ def _process(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx: RunC
     if result.processed_files:
         deduped, _ = materialize(stages.deduped(mapped, cfg.contract), cfg.materialize, "deduped", stages=stage_paths)
         core, atts = stages.outputs(deduped, cfg.contract, ctx)
-        parts = cfg.contract.partition_by
+        parts = cfg.contract.partitions
 
         def write_core() -> None:
             result.core = write_hive_parquet(core, cfg.core_path, parts, ctx.now,
-                                             cfg.contract.output_file_prefix("output_core"), token=token)
+                                             cfg.contract.core.file_prefix, token=token)
 
         def write_atts() -> None:
             result.atts = write_hive_parquet(atts, cfg.atts_path, parts, ctx.now,
-                                             cfg.contract.output_file_prefix("output_atts"), token=token)
+                                             cfg.contract.atts.file_prefix, token=token)
 
         def ids_and_requests() -> None:
             staged, id_counts = materialize(ids, cfg.materialize, "ids", [F.count(F.lit(1)).alias("n")], stage_paths)
@@ -248,7 +248,7 @@ def run_batch(spark: SparkSession, cfg: BatchConfig, ctx: RunContext | None = No
     apply_defaults(spark)
     ctx = ctx or RunContext.fresh()
     stage_paths: list[str] = []
-    parsed, landed = land(spark, cfg.landing_path, cfg.contract.source_fields, document_limit(spark), stage_paths,
+    parsed, landed = land(spark, cfg.landing_path, cfg.contract.read_fields, document_limit(spark), stage_paths,
                           cfg.contract.json_fields)
     if not landed:
         empty = BatchResult(skipped_files=spark.createDataFrame([], "source_path string, reason string"), stage_paths=stage_paths)

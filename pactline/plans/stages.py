@@ -54,12 +54,12 @@ def quarantine(parsed: DataFrame) -> DataFrame:
 
 def parse(docs: DataFrame, contract: Contract) -> DataFrame:
     """Status of every document (good ones carry their record)."""
-    return parse_documents(docs, contract.source_fields, json_fields=contract.json_fields)
+    return parse_documents(docs, contract.read_fields, json_fields=contract.json_fields)
 
 
 def good_docs(docs: DataFrame, contract: Contract) -> DataFrame:
     """Only the good documents' records, each document parsed once."""
-    return good_documents(docs, contract.source_fields, json_fields=contract.json_fields)
+    return good_documents(docs, contract.read_fields, json_fields=contract.json_fields)
 
 
 def mapped(records: DataFrame, contract: Contract, opts: Options = Options(), keep: tuple[str, ...] = ("source_path",)) -> DataFrame:
@@ -82,7 +82,7 @@ def cast_errors(mapped_df: DataFrame) -> DataFrame:
 
 
 def deduped(mapped_df: DataFrame, contract: Contract) -> DataFrame:
-    return keep_best(mapped_df, contract.deduplication)
+    return keep_best(mapped_df, contract.best)
 
 
 def outputs(deduped_df: DataFrame, contract: Contract, ctx: RunContext) -> tuple[DataFrame, DataFrame]:

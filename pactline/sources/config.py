@@ -12,7 +12,7 @@ from typing import Any
 
 from pyspark.sql import SparkSession
 
-from pactline.contract import Contract, load_contract, resolve_endpoints
+from pactline.contract import Contract, load_contract, endpoint_table
 
 
 def read_json_document(spark: SparkSession, path: str) -> Any:
@@ -32,7 +32,7 @@ def read_endpoints(spark: SparkSession, resources_root: str, index_key: str) ->
     """API index -> ``unitary[0]`` -> endpoint table, both below ``resources_root``."""
     root = resources_root.rstrip("/")
     index = read_json_document(spark, f"{root}/{index_key.lstrip('/')}")
-    return resolve_endpoints(index, lambda key: read_json_document(spark, f"{root}/{key.lstrip('/')}"))
+    return endpoint_table(index, lambda key: read_json_document(spark, f"{root}/{key.lstrip('/')}"))
 
 
 def write_json_document(spark: SparkSession, path: str, payload: Any) -> None:

@@ -73,7 +73,7 @@ def start_incremental(spark: SparkSession, cfg: BatchConfig, checkpoint_location
                       keep_stages: bool = False) -> StreamingQuery:
     """Start the incremental ingest; returns the running query."""
     apply_defaults(spark)
-    fields = cfg.contract.source_fields
+    fields = cfg.contract.read_fields
 
     done_root = f"{checkpoint_location.rstrip('/')}/_pactline_done"
 

@@ -4,12 +4,12 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from pactline.contract import shipped_contract
-from pactline.operators.dedup import keep_best, order_directions
+from pactline.contract import KeepBest, shipped_contract
+from pactline.operators.dedup import keep_best
 from pactline.plans import stages
 from tests.helpers import mapped
 
-DEDUP = shipped_contract().deduplication
+DEDUP = shipped_contract().best
 
 
 def test_keeps_latest_export(spark, records):
@@ -31,9 +31,12 @@ def test_disabled_or_keyless_keeps_everything(spark, records):
 
 
 def test_string_order_type_covers_first_column_only():
-    assert order_directions({"order_by": ["a", "b"], "order_type": "desc"}) == [("a", True), ("b", False)]
-    assert order_directions({"order_by": ["a", "b"], "order_type": ["ASC", "desc"]}) == [("a", False), ("b", True)]
-    assert order_directions({"order_by": ["a"], "order_type": []}) == [("a", False)]
+    def order(**block):
+        return KeepBest.parse({"enabled": True, "record_key": ["k"], **block}).order
+
+    assert order(order_by=["a", "b"], order_type="desc") == (("a", True), ("b", False))
+    assert order(order_by=["a", "b"], order_type=["ASC", "desc"]) == (("a", False), ("b", True))
+    assert order(order_by=["a"], order_type=[]) == (("a", False),)
 
 
 def _frame(spark, rows):

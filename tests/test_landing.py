@@ -124,7 +124,7 @@ def test_json_values_keep_their_kind(spark, mode):
     values = ["hello", " pad ", "5", 5, 1.5, True, None, "true", "null", {"z": 1, "a": "x"}, '{"q": 1}', [1, "2", None], "[1]", 'qu"ote\\\n', "\u00e9"]
     contract = load_contract(JSON_CONTRACT)
     docs = spark.createDataFrame([(str(i), json.dumps({"v": v})) for i, v in enumerate(values)], "source_path string, text string")
-    parsed = parse_documents(docs, contract.source_fields, json_fields=contract.json_fields)
+    parsed = parse_documents(docs, contract.read_fields, json_fields=contract.json_fields)
     mapped = map_records(parsed, contract, json_mode=mode)
     core, atts = stages.outputs(mapped, contract, CTX)
     dump = lambda v: json.dumps(v, ensure_ascii=False, separators=(",", ":") if mode == "compact" else None)

@@ -84,7 +84,7 @@ def test_scan_handles_blank_names_and_suffix_case(spark, records, workdir):
     land(workdir, "landing/with blank.json", records[0])
     land(workdir, "landing/UPPER.JSON", records[1])
     land(workdir, "landing/empty.json", b"")
-    parsed = read_landing(spark, os.path.join(workdir, "landing"), shipped_contract().source_fields)
+    parsed = read_landing(spark, os.path.join(workdir, "landing"), shipped_contract().read_fields)
     got = {Path(r.source_path).name: r.status for r in parsed.collect()}
     assert got == {"with blank.json": "ok", "UPPER.JSON": "ok", "empty.json": "empty"}
 

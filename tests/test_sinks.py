@@ -22,7 +22,7 @@ def _core(spark, records):
 
 def test_partitioned_layout_and_file_prefix(spark, records, workdir):
     out = os.path.join(workdir, "core")
-    res = write_hive_parquet(_core(spark, records), out, shipped_contract().partition_by, NOW, "transcripciones")
+    res = write_hive_parquet(_core(spark, records), out, shipped_contract().partitions, NOW, "transcripciones")
     files = _files(out)
     assert res.rows == 2 and res.partitions == 1 and files
     for f in files:
@@ -31,7 +31,7 @@ def test_partitioned_layout_and_file_prefix(spark, records, workdir):
 
 def test_partition_columns_live_in_the_path_only(spark, records, workdir):
     out = os.path.join(workdir, "core")
-    write_hive_parquet(_core(spark, records), out, shipped_contract().partition_by, NOW, "t")
+    write_hive_parquet(_core(spark, records), out, shipped_contract().partitions, NOW, "t")
     f = os.path.join(out, _files(out)[0])
     cols = [r[0] for r in duckdb.connect().execute(f"DESCRIBE SELECT * FROM read_parquet('{f}', hive_partitioning=false)").fetchall()]
     assert "cliente_prefijo" not in cols and "operacion_prefijo" not in cols
@@ -43,7 +43,7 @@ def test_partition_columns_live_in_the_path_only(spark, records, workdir):
 
 def test_read_back_keeps_zero_padded_text(spark, records, workdir):
     out = os.path.join(workdir, "core")
-    write_hive_parquet(_core(spark, records), out, shipped_contract().partition_by, NOW, "t")
+    write_hive_parquet(_core(spark, records), out, shipped_contract().partitions, NOW, "t")
     back = read_hive_parquet(spark, out).select("cliente_prefijo", "year", "month", "day").distinct().collect()
     assert [tuple(r) for r in back] == [("CLX", "2026", "08", "21")]
 
@@ -109,9 +109,9 @@ def test_written_files_lists_one_writes_files(spark, records, workdir):
     from pactline.sinks.parquet import written_files
 
     out = os.path.join(workdir, "core")
-    first = write_hive_parquet(_core(spark, records), out, shipped_contract().partition_by, NOW, "t")
+    first = write_hive_parquet(_core(spark, records), out, shipped_contract().partitions, NOW, "t")
     later = NOW.replace(second=50)
-    second = write_hive_parquet(_core(spark, records), out, shipped_contract().partition_by, later, "t")
+    second = write_hive_parquet(_core(spark, records), out, shipped_contract().partitions, later, "t")
     a = {r.path for r in written_files(spark, first).collect()}
     b = {r.path for r in written_files(spark, second).collect()}
     assert a and b and not a & b
