@@ -37,3 +37,18 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             break
     leaves = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return leaves.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def partial_labels(spark: SparkSession, edges: DataFrame, jumps: int = 2) -> DataFrame:
+    """``edges(a, b)`` to (node, root) such that equal roots mean one component, at a few joins' cost; the reverse need not hold.
+
+    Each node points at its least neighbour, or itself, and then at that node's target, ``jumps`` times.
+    """
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    now = stage(spark, both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("root")), "hooks")
+    for _ in range(jumps):
+        target = now.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        jumped = stage(spark, now.join(target, "root").select("node", F.col("next").alias("root")), "hooks")
+        drop_stage(spark, now)
+        now = jumped
+    return now

@@ -7,11 +7,11 @@ Candidates are confirmed on full shingle sets and joined into components.
 
 Documents with equal shingle sets form one node first. In a bucket of nodes
 no round emits all pairs: round by round a growing number of its nodes
-(1, 64, 4096, ...) is compared with the later nodes that are not yet in the same
+(1, 64, 4096, ...) is compared with the later nodes that are not yet known to be in the same
 component, until every node has had its turn or the bucket is one component.
 So no link between components is lost and there is no cap on buckets.
 
-A pair leaves the join only if its parity bitmaps allow a link. A bitmap holds,
+A pair leaves the join only if its parity bitmaps allow a link (a test in the join's own condition). A bitmap holds,
 per slot of the shingle space, whether an odd number of the set's shingles fall
 there; each shingle in which two sets differ flips one bit, so the bits in which
 two bitmaps differ are never more than the shingles in which the sets do. At two
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pactline.llm.common import LOWER_ASCII, drop_stage, stage, text_of
-from pactline.llm.components import connected_components
+from pactline.llm.components import connected_components, partial_labels
 
 PERMUTATIONS = 30
 ROWS = 3
@@ -182,7 +182,8 @@ def find_links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, ranked: D
         left = stage(spark, now.join(ends.where(f"l < g and last > {low}").select("band"), "band"), "open")
         if left.isEmpty():
             drop_stage(spark, left)
-            return labels
+            drop_stage(spark, labels)
+            return None if links is None else connected_components(spark, links)
         # of each node the rows from its first turn on; as the list grows with the corpus, bitmaps are not broadcast
         mapped = left.hint("merge").join(nodes.select("node", "bits"), "node")
         a = mapped.where(f"rank >= {low} and rank < {high}").select(*(F.col(c).alias(f"{c}_a") for c in mapped.columns))
@@ -196,7 +197,8 @@ def find_links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, ranked: D
         drop_stage(spark, pairs)
         if new is not None and not new.isEmpty():
             links = new if links is None else links.unionByName(new)
-            labels = connected_components(spark, links)
+            drop_stage(spark, labels)
+            labels = partial_labels(spark, links)
         drop_stage(spark, ranked)
         ranked = left.drop("label")
         ranked._llm_path = left._llm_path
