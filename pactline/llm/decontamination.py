@@ -38,6 +38,7 @@ WINDOW = 13
 SALTS = 16
 MAX_SLOTS = 1 << 28  # bits of a bitmap of shingles: 32 MB at most
 NO_ID = (1 << 63) - 1
+CHUNK_BYTES = 1 << 20  # texts taken apart at once
 BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -63,6 +64,29 @@ def shingle_hashes(words: list[bytes], known: WordHashes) -> tuple[np.ndarray, n
     return h, two ^ (two >> np.uint64(29))
 
 
+def shingled(batch: pa.RecordBatch, text: int, known: WordHashes, bits: np.ndarray, slots: int) -> Iterator[tuple]:
+    """(first row, words of each row, [(row, place, hash) arrays of the shingles whose slot is set]), some texts at a time."""
+    column, start = batch.column(text), 0
+    while start < len(column):
+        words, size = [], 0
+        while start + len(words) < len(column) and size < CHUNK_BYTES:
+            raw = column[start + len(words)].as_py()
+            size += len(raw)
+            words.append(words_of(raw))
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        flat = [w for own in words for w in own]
+        found = []
+        if flat:
+            row = np.repeat(np.arange(len(words)), counts)
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
+            one, two = shingle_hashes(flat, known)
+            for hashes, same in ((one, np.ones(len(one), bool)), (two, row[1:] == row[:-1])):
+                at = np.flatnonzero(held(bits, slots, hashes) & same)
+                found.append((row[at], place[at], hashes[at]))
+        yield start, words, found
+        start += len(words)
+
+
 def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """Distinct (window, item, shingles): the window's words joined by blanks, and the hash of the shingle at each place."""
 
@@ -114,18 +138,15 @@ def document_frequency(docs: DataFrame, bits: np.ndarray, slots: int) -> DataFra
 
         found, size = [], 0
         for batch in batches:
-            for text in batch.column(0):
-                words = words_of(text.as_py())
-                if not words:
-                    continue
-                each = np.concatenate(shingle_hashes(words, known))
-                own = np.unique(each[held(bits, slots, each)])
-                found.append(own)
-                size += len(own)
+            for _, _, places in shingled(batch, 0, known, bits, slots):
+                for row, _, hashes in places:
+                    own = np.unique(np.stack([row.astype(np.uint64), hashes]), axis=1)[1]
+                    found.append(own)
+                    size += len(own)
                 if size > 2_000_000:
                     yield counted(found)
                     found, size = [], 0
-        if found:
+        if size:
             yield counted(found)
 
     return docs.select(text_of(docs).cast("binary").alias("text")).mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
@@ -142,21 +163,15 @@ def candidate_places(docs: DataFrame, bits: np.ndarray, slots: int, size: int) -
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(tids, pa.int64()), pa.array(counts, pa.int64()), pa.array(places, kind)], names=["doc_id", "tid", "n_words", "places"])
 
         for batch in batches:
-            ids, tids, counts, places, size_out = [], [], [], [], 0
-            for doc, tid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                words, own = words_of(text.as_py()), []
-                if words:
-                    for hashes in shingle_hashes(words, known):
-                        for at in np.flatnonzero(held(bits, slots, hashes)).tolist():
-                            first = max(0, at - size + 1)
-                            own.append({"at": at, "first": first, "shingle": int(hashes[at].view(np.int64)), "around": [w.decode() for w in words[first: at + size]]})
-                ids.append(doc), tids.append(tid), counts.append(len(words)), places.append(own)
-                size_out += len(own)
-                if size_out > 20_000:
-                    yield batch_of(ids, tids, counts, places)
-                    ids, tids, counts, places, size_out = [], [], [], [], 0
-            if ids:
-                yield batch_of(ids, tids, counts, places)
+            ids, tids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for start, words, found in shingled(batch, 2, known, bits, slots):
+                places = [[] for _ in words]
+                for row, place, hashes in found:
+                    for r, at, h in zip(row.tolist(), place.tolist(), hashes.view(np.int64).tolist(), strict=True):
+                        first = max(0, at - size + 1)
+                        places[r].append({"at": at, "first": first, "shingle": h, "around": [w.decode() for w in words[r][first: at + size]]})
+                end = start + len(words)
+                yield batch_of(ids[start:end], tids[start:end], list(map(len, words)), places)
 
     text = text_of(docs)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tid"), text.cast("binary").alias("text")).mapInArrow(
