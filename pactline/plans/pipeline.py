@@ -18,9 +18,10 @@ Plan shape (one run):
 
 Failure semantics: a strict cast error fails the run before anything is
 written. Sources are deleted only after both outputs and the request rows
-are written, and only the ones that were read successfully. Delivery is
-at-least-once: a failure after the writes and before the delete leaves the
-sources in place, and a re-run appends again.
+are written, and only the ones that were read successfully. Without a journal
+delivery is at-least-once: a failure after the writes and before the delete
+leaves the sources in place, and a re-run appends again. With ``journal_path``
+the next run takes up what a dead one left, and no row is written twice.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ from pactline.contract import Contract
 from pactline.operators.audit import RunContext
 from pactline.operators.requests import build_requests, conversation_ids
 from pactline.plans import stages
+from pactline.plans.journal import Journal
 from pactline.session import apply_defaults, ensure_checkpoint_dir, scratch_path
 from pactline.sinks.parquet import WriteResult, consume, write_hive_parquet, write_json_rows, written_files
 from pactline.sources.config import write_json_document
@@ -95,6 +97,8 @@ class BatchConfig:
     options: stages.Options = field(default_factory=stages.Options)
     materialize: str = "table"
     manifest_path: str | None = None
+    # Folder of a run journal of the landing location's own: a run that died is finished, not repeated.
+    journal_path: str | None = None
 
 
 @dataclass
@@ -109,6 +113,8 @@ class BatchResult:
     deleted_source_files: int = 0
     # (source_path, deleted, error) of every source the run consumed; None if it consumes nothing.
     consumed: DataFrame | None = None
+    # (source_path) of what will be consumed, once all outputs are written.
+    sources: DataFrame | None = None
     failed_deletes: int = 0
     # Records that an ``on_cast_error="quarantine"`` run set aside: (source_path, column, text, reason).
     cast_errors: DataFrame | None = None
@@ -215,6 +221,8 @@ def _process(spark: SparkSession, cfg: BatchConfig, parsed: DataFrame, ctx: RunC
         run_concurrently([write_core, write_atts, ids_and_requests])
     else:
         result.requests = build_requests(ids, endpoints)
+    if cfg.delete_sources and result.processed_files:
+        result.sources = mapped.select("source_path")
     if before_consume:
         before_consume(result)
     if cfg.delete_sources and result.processed_files:
@@ -247,11 +255,20 @@ def run_batch(spark: SparkSession, cfg: BatchConfig, ctx: RunContext | None = No
     """One batch run over everything that has landed below ``cfg.landing_path``."""
     apply_defaults(spark)
     ctx = ctx or RunContext.fresh()
+    journal = Journal(spark, cfg.journal_path) if cfg.journal_path else None
+    if journal:
+        ctx = journal.begin(ctx)
     stage_paths: list[str] = []
     parsed, landed = land(spark, cfg.landing_path, cfg.contract.read_fields, document_limit(spark), stage_paths,
                           cfg.contract.json_fields)
     if not landed:
         empty = BatchResult(skipped_files=spark.createDataFrame([], "source_path string, reason string"), stage_paths=stage_paths)
         empty.drop_stages(spark)
+        if journal:
+            journal.finished()
         return empty
-    return process_parsed(spark, cfg, parsed, ctx, stage_paths=stage_paths)
+    if not journal:
+        return process_parsed(spark, cfg, parsed, ctx, stage_paths=stage_paths)
+    result = process_parsed(spark, cfg, parsed, ctx, journal.token, lambda done: journal.written(done.sources), stage_paths)
+    journal.finished()
+    return result
