@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactline.llm.common import read_table, stage
+from pactline.llm.common import drop_stage, read_table, stage_alone
 from pactline.llm.decontamination import drop_contaminated
 from pactline.llm.linededup import dedup_lines
 from pactline.llm.neardup import keep_one
@@ -53,8 +53,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written as Parquet and reread."""
+    """All stages over ``documents``; each result is written as Parquet and reread, and what it was made from deleted."""
     docs = read_table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
-        docs = stage(spark, function(spark, docs, sf_dir), f"pipeline-{name}")
+        made_from = docs
+        docs = stage_alone(spark, lambda: function(spark, made_from, sf_dir), f"pipeline-{name}")  # noqa: B023
+        drop_stage(spark, made_from)
     return STAGES[-1][1](spark, docs, sf_dir)
