@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,16 +53,28 @@ def drop_stage(spark: SparkSession, df: DataFrame | None) -> None:
     """Delete one staged table that no later plan reads."""
     path = getattr(df, "_llm_path", None)
     if path:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-        _staged[spark.sparkContext.applicationId].remove(path)
+        _delete(spark, path)
+
+
+def stage_alone(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """``stage`` of what ``make`` returns; the tables staged on the way are deleted once it is written."""
+    before = set(_staged.get(spark.sparkContext.applicationId, []))
+    out = stage(spark, make(), label)
+    for path in [p for p in _staged[spark.sparkContext.applicationId] if p not in before and p != out._llm_path]:
+        _delete(spark, path)
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    _staged[spark.sparkContext.applicationId].remove(path)
 
 
 def drop_stages(spark: SparkSession) -> None:
     """Delete every staged table of this application; lazy results that read them end with it."""
-    for path in _staged.pop(spark.sparkContext.applicationId, []):
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    for path in list(_staged.get(spark.sparkContext.applicationId, [])):
+        _delete(spark, path)
 
 
 def text_of(docs: DataFrame):

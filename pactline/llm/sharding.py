@@ -8,7 +8,8 @@ until the splitter meets the tolerance; then rows are exchanged once.
 Defined results: null text weighs nothing and groups with empty text; null
 doc_ids come last within a group; a group of equal texts above
 ``group_tolerance`` of a shard is split by doc_id; rows equal in text and
-doc_id stay in one shard. An empty table gives an empty result.
+doc_id stay in one shard. Very long texts count with all their bytes. An empty table
+gives an empty result. Own columns ``size``, ``shard`` and ``slot`` give way to the results.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pactline.llm.common import stage, text_of
+from pactline.llm.common import drop_stage, stage, text_of
 
 PROBES = 1024
 TOLERANCE = 0.01
@@ -130,13 +131,15 @@ def with_slots(rows: DataFrame, parts: int) -> DataFrame:
 
 
 def shard_rows(spark: SparkSession, docs: DataFrame, shards: int = 24, tolerance: float = TOLERANCE, group_tolerance: float = GROUP_TOLERANCE) -> DataFrame:
-    """``docs`` with ``size``, ``shard`` and ``slot``; every other column is kept."""
-    names = {"size", "shard", "slot", "_key", "_doc"} & set(docs.columns)
-    keyed = with_keys(docs.drop(*names))
+    """``docs`` with ``size``, ``shard`` and ``slot``; every other column is kept, whatever its name: a row travels as one struct."""
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in ("size", "shard", "slot")))
+    keyed = with_keys(docs.select(own.alias("row"), "doc_id", "text"))
     small = stage(spark, keyed.select("_key", "_doc", "size"), "shard-keys")
     rows = small.count()
     splitters = find_splitters(small, shards, tolerance, group_tolerance)
-    return with_slots(assign(keyed, splitters), max(64, -(-rows // (shards * 500_000)))).drop("_key", "_doc", "_part", "_rank", "_base")
+    drop_stage(spark, small)
+    slotted = with_slots(assign(keyed, splitters), max(64, -(-rows // (shards * 500_000))))
+    return slotted.select("row.*", "size", "shard", "slot")
 
 
 def op4_shards(spark: SparkSession, docs: DataFrame, shards: int = 24) -> DataFrame:

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pactline.llm import fingerprints, html_extract, lm, packing, sharding, toxicity
 from pactline.llm.elias_fano import EliasFano
@@ -104,7 +105,24 @@ def test_sharding(spark):
     rest = [v for k, v in sizes.items()]
     assert sum(rest) == sum(len(t.encode()) + 8 for _, t in texts_of(rows))
     assert sharding.op4_shards(spark, empty_docs(spark)).count() == 0
-    assert sharding.shard_rows(spark, docs, 4).count() == len(rows)
+    crcs = Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got)
+    assert crcs == Counter((d, len(t.encode()) + 8, zlib.crc32(t.encode())) for d, t in texts_of(rows))
+    clash = docs.withColumns({c: F.lit(c) for c in ("_rank", "_part", "_base", "_key", "_doc", "row", "size")})
+    kept = sharding.shard_rows(spark, clash, 4)
+    assert sorted(kept.columns) == sorted({*clash.columns, "size", "shard", "slot"})
+    assert all((r["_rank"], r["_part"], r["_base"], r["_key"], r["_doc"], r["row"]) == ("_rank", "_part", "_base", "_key", "_doc", "row") for r in kept.collect())
+
+
+def test_shards_are_near_equal_and_keep_equal_texts_together(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices("abcdef", k=rng.randint(5, 200)))) for i in range(3000)]
+    rows += [(5000 + i, rows[i % 40][1]) for i in range(400)]
+    shards, sizes = {}, Counter()
+    for r in sharding.op4_shards(spark, spark.createDataFrame(rows, "doc_id long, text string"), 12).collect():
+        shards.setdefault(r["text_crc32"], set()).add(r["shard"])
+        sizes[r["shard"]] += r["size"]
+    assert max(sizes.values()) < 1.1 * min(sizes.values()) and len(sizes) == 12
+    assert all(len(s) == 1 for s in shards.values())
 
 
 def test_sharding_splits_a_hot_text(spark):
