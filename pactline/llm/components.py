@@ -1,4 +1,4 @@
-"""Connected components of an edge table by alternating large-star and small-star joins."""
+"""Connected components of edge tables by hooking and pointer jumping, kept up as edges come in."""
 
 from __future__ import annotations
 
@@ -8,42 +8,8 @@ from pyspark.sql import functions as F
 from pactline.llm.common import drop_stage, stage
 
 
-def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    """``edges(a long, b long)`` to ``(node, root)``: the least node of each component; nodes without edges are left out.
-
-    Each round is two group-and-join steps over the edges, written to the
-    shared folder; a node's neighbours are never gathered in one row, so a
-    component that holds a third of all nodes is spread like any other.
-    """
-    now = stage(spark, edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
-    while True:
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("m", "a").alias("m"))
-        # large star: every greater neighbour of a node points at the node's least neighbour
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        large = stage(spark, large, "cc")
-        # small star: a node's lesser neighbours, and the node, point at the least of them
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
-        new = stage(spark, small.select("e.*").where("a <> b").distinct(), "cc")
-        drop_stage(spark, large)
-        # a star forest: no node is both a leaf and a root, and no leaf has two roots
-        leaves = new.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-        roots = new.select(F.col("b").alias("a")).distinct()
-        unfinished = leaves.where("n > 1").select("a").unionByName(leaves.join(roots, "a", "left_semi").select("a")).limit(1).count()
-        drop_stage(spark, now)
-        now = new
-        if not unfinished:
-            break
-    leaves = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return leaves.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-
-
-def partial_labels(spark: SparkSession, edges: DataFrame, jumps: int = 2) -> DataFrame:
-    """``edges(a, b)`` to (node, root) such that equal roots mean one component, at a few joins' cost; the reverse need not hold.
-
-    Each node points at its least neighbour, or itself, and then at that node's target, ``jumps`` times.
-    """
+def hooked(spark: SparkSession, edges: DataFrame, jumps: int = 2) -> DataFrame:
+    """``edges(a, b)`` to (node, root): each node points at its least neighbour, or itself, and ``jumps`` times at its target's target."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     now = stage(spark, both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("root")), "hooks")
     for _ in range(jumps):
@@ -52,3 +18,51 @@ def partial_labels(spark: SparkSession, edges: DataFrame, jumps: int = 2) -> Dat
         drop_stage(spark, now)
         now = jumped
     return now
+
+
+def between(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """``edges`` as distinct edges between the roots of their ends; ends without a label stand for themselves."""
+    own = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    ends = edges.join(own("a"), "a", "left").join(own("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    return ends.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def extend_components(spark: SparkSession, labels: DataFrame | None, edges: DataFrame) -> DataFrame | None:
+    """``labels(node, root)`` of components, None for none, with ``edges(a long, b long)`` added.
+
+    The root is a component's least node; nodes without an edge to another node are left out.
+    Each round works on the edges between roots alone and writes them to the shared folder; a
+    node's neighbours are never gathered in one row, so a component that holds
+    a third of all nodes is spread like any other.
+    """
+    none = spark.createDataFrame([], "node long, root long")
+    open_ = stage(spark, between(edges, none if labels is None else labels), "cc")
+    moves = None
+    while not open_.isEmpty():
+        hooks = hooked(spark, open_)
+        rest = stage(spark, between(open_, hooks), "cc")
+        if moves is None:
+            moves = hooks
+        else:
+            target = hooks.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            moved = stage(spark, moves.join(target, "root", "left").select("node", F.coalesce("next", "root").alias("root")), "moves")
+            drop_stage(spark, moves)
+            drop_stage(spark, hooks)
+            moves = moved
+        drop_stage(spark, open_)
+        open_ = rest
+    drop_stage(spark, open_)
+    if labels is None or moves is None:
+        return moves if labels is None else labels
+    target = moves.select(F.col("node").alias("root"), F.col("root").alias("next"))
+    old = labels.join(target, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    out = stage(spark, old.unionByName(moves.join(labels, "node", "left_anti")), "labels")
+    drop_stage(spark, moves)
+    drop_stage(spark, labels)
+    return out
+
+
+def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """``edges(a long, b long)`` to ``(node, root)``: the least node of each component; nodes without edges are left out."""
+    found = extend_components(spark, None, edges)
+    return spark.createDataFrame([], "node long, root long") if found is None else found

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pactline.llm.common import LOWER_ASCII, drop_stage, stage, text_of
-from pactline.llm.components import connected_components, partial_labels
+from pactline.llm.components import extend_components
 
 PERMUTATIONS = 30
 ROWS = 3
@@ -129,8 +129,16 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
         run, "doc_id long, tid long, n long, node long, bands array<long>, bits array<long>")
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) of ``wanted(node, doc, tid)``: one row of each wanted document."""
+def candidate_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, t) of ``wanted(node, doc, tid)``: one whole text of each wanted node."""
+    text = text_of(docs)
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("tid"), text.cast("binary").alias("t"))
+    # the list grows with the corpus: never broadcast, so the plan is the same at every size
+    return texts.hint("merge").join(wanted, ["doc", "tid"]).select("node", "t").dropDuplicates(["node"])
+
+
+def shingle_sets(texts: DataFrame, named: DataFrame, size: int) -> DataFrame:
+    """(node, shingles) of the nodes in ``named(node)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
@@ -138,10 +146,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             sets = [shingles(t.as_py(), size, words).view(np.int64) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    text = text_of(docs)
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("tid"), text.cast("binary").alias("t"))
-    # the list grows with the corpus: never broadcast, so the plan is the same at every size
-    return texts.hint("merge").join(wanted, ["doc", "tid"]).select("node", "t").mapInArrow(run, "node long, shingles array<long>")
+    return texts.hint("merge").join(named, "node").mapInArrow(run, "node long, shingles array<long>")
 
 
 def ranked_members(members: DataFrame) -> DataFrame:
@@ -153,11 +158,10 @@ def ranked_members(members: DataFrame) -> DataFrame:
     return cut.withColumn("own", own).join(bases, ["band", "salt"]).select("band", "node", "n", (F.col("own") + F.col("base")).alias("rank"))
 
 
-def confirmed(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+def confirmed(spark: SparkSession, texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """The ``pairs(a, b)`` whose full shingle sets are similar enough; sets are made for their nodes alone."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.select("node", "at.doc", "at.tid").join(named, "node", "left_semi")
-    sets = stage(spark, shingle_sets(docs, wanted, size), "sets")
+    sets = stage(spark, shingle_sets(texts, named, size), "sets")
     side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a").withColumn("common", F.size(F.array_intersect("sa", "sb")))
     out = stage(spark, both.where(f"100 * common >= {percent} * (size(sa) + size(sb) - common)").select("a", "b"), "links")
@@ -165,13 +169,13 @@ def confirmed(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: Dat
     return out
 
 
-def find_links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, ranked: DataFrame, size: int, percent: int) -> DataFrame | None:
+def find_links(spark: SparkSession, texts: DataFrame, nodes: DataFrame, ranked: DataFrame, size: int, percent: int) -> DataFrame | None:
     """Confirmed links, enough of them to join every component, as (node, root); None without links.
 
     ``ranked`` is a staged table of band, node, size and rank; a node's bitmap is joined to its rows in open
     buckets alone. The tables of each round are dropped when the next has been written.
     """
-    labels = links = None
+    labels = None
     low, high = 1, 2  # nodes of these ranks are compared in this round
     while True:
         now = ranked.withColumn("label", F.col("node"))
@@ -182,8 +186,7 @@ def find_links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, ranked: D
         left = stage(spark, now.join(ends.where(f"l < g and last > {low}").select("band"), "band"), "open")
         if left.isEmpty():
             drop_stage(spark, left)
-            drop_stage(spark, labels)
-            return None if links is None else connected_components(spark, links)
+            return labels
         # of each node the rows from its first turn on; as the list grows with the corpus, bitmaps are not broadcast
         mapped = left.hint("merge").join(nodes.select("node", "bits"), "node")
         a = mapped.where(f"rank >= {low} and rank < {high}").select(*(F.col(c).alias(f"{c}_a") for c in mapped.columns))
@@ -193,12 +196,10 @@ def find_links(spark: SparkSession, docs: DataFrame, nodes: DataFrame, ranked: D
         test = (f"band_a = band_b and rank_a < rank_b and label_a <> label_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
                 f" and {100 + percent} * {differing_bits('bits_a', 'bits_b')} <= {100 - percent} * (n_a + n_b)")
         pairs = stage(spark, a.join(b, F.expr(test)).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "pairs")
-        new = None if pairs.isEmpty() else confirmed(spark, docs, nodes, pairs, size, percent)
+        new = None if pairs.isEmpty() else confirmed(spark, texts, pairs, size, percent)
         drop_stage(spark, pairs)
         if new is not None and not new.isEmpty():
-            links = new if links is None else links.unionByName(new)
-            drop_stage(spark, labels)
-            labels = partial_labels(spark, links)
+            labels = extend_components(spark, labels, new)
         drop_stage(spark, ranked)
         ranked = left.drop("label")
         ranked._llm_path = left._llm_path
@@ -214,7 +215,11 @@ def find_components(spark: SparkSession, docs: DataFrame, size: int = 4, percent
     shared = stage(spark, member.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("band"), "shared-bands")
     ranked = stage(spark, ranked_members(member.join(shared, "band")), "ranks")
     drop_stage(spark, shared)
-    labels = find_links(spark, docs, nodes, ranked, size, percent)
+    # texts of the nodes that share a bucket at all; no later step reads the documents
+    wanted = nodes.select("node", "at.doc", "at.tid").join(ranked.select("node").distinct(), "node", "left_semi")
+    texts = stage(spark, candidate_texts(docs, wanted), "candidate-texts")
+    labels = find_links(spark, texts, nodes, ranked, size, percent)
+    drop_stage(spark, texts)
     rooted = nodes.select("node", F.col("at.doc").alias("doc"))
     if labels is None:
         named = rooted.select("node", F.col("node").alias("root"), F.col("doc").alias("least"))

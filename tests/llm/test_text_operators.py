@@ -173,3 +173,21 @@ def test_differing_bits_never_exceed_differing_shingles(spark):
     found = spark.createDataFrame(rows, "a array<long>, b array<long>, d long").selectExpr("d", f"{neardup.differing_bits('a', 'b')} AS bits", "size(a) <> size(b) AS folded").collect()
     assert any(r.folded for r in found)
     assert all(r.bits <= r.d and (r.d - r.bits) % 2 == 0 for r in found)
+
+
+def test_neardup_bitmap_test_stands_in_the_join(spark, monkeypatch):
+    plans, columns = {}, {}
+    real = neardup.stage
+
+    def watched(session, df, label):
+        plans.setdefault(label, df._jdf.queryExecution().optimizedPlan().toString())
+        columns.setdefault(label, df.columns)
+        return real(session, df, label)
+
+    monkeypatch.setattr(neardup, "stage", watched)
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"{text} end{i}") for i in range(6)], "doc_id long, text string")
+    assert {r["component_id"] for r in neardup.op9_neardup(spark, docs).collect()} == {0}
+    lines = [x for x in plans["pairs"].splitlines() if "zip_with" in x]
+    assert lines and all(x.lstrip(" :+-").startswith("Join") for x in lines)
+    assert columns["ranks"] == columns["open"][:-1] == ["band", "node", "n", "rank"]
