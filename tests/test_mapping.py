@@ -17,7 +17,7 @@ WORDS = ["", "  ", "caf\u00e9", "\u00d1and\u00fa", "Stra\u00dfe", f"{SPACES}Luc\
 VALUES = {
     "string": [*WORDS, None],
     "integer": [0, 7, -3, 10**12, 7.9, -3.5, 1e3, True, False, " 7 ", "12", None],
-    "timestamp": ["2026-08-16T15:53:07-05:00", "2026-08-16T20:53:07.250000+00:00", "2026-01-01T00:00:00Z", "2026-02-28", "2026-08-16 01:02:03", "20260816T010203+0130", None],
+    "timestamp": ["2026-08-16T03:04:05-05:00", "2026-08-16T08:04:05.250000+00:00", "2026-01-01T00:00:00Z", "2026-02-28", "2026-08-16 01:02:03", "20260816T010203+0130", None],
     "json": [{"z": [1, None], "a": "\u00f1"}, [], [True, {"k": 1.5}], 5, 1.5, False, *WORDS, None],
 }
 RULES = {"trim": str.strip, "uppercase": str.upper,
@@ -121,11 +121,11 @@ def test_own_patterns_come_before_iso_text(spark, records):
     raw = copy.deepcopy(dict(shipped_contract().raw))
     raw["columns"][7]["input_formats"] = ["dd/MM/yyyy HH:mm:ss XXX"]
     contract = load_contract(raw)
-    rec = dict(records[0], started_at="16/08/2026 15:53:07 -05:00")
+    rec = dict(records[0], started_at="01/03/2026 08:01:05 +02:00")
     out = mapped(spark, [rec], contract=contract, opts=stages.Options(honor_input_formats=True)).first()
-    assert out.interaccion_fecha_inicio == datetime(2026, 8, 16, 20, 53, 7)
+    assert out.interaccion_fecha_inicio == datetime(2026, 3, 1, 6, 1, 5)
     iso = mapped(spark, records[:1], contract=contract, opts=stages.Options(honor_input_formats=True)).first()
-    assert iso.interaccion_fecha_inicio == datetime(2026, 8, 16, 20, 53, 7)
+    assert iso.interaccion_fecha_inicio == datetime(2026, 3, 1, 6, 1, 5)
 
 
 def test_python_json_text_matches_json_dumps(spark):

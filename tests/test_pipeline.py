@@ -34,9 +34,9 @@ def test_end_to_end(spark, records, workdir):
     assert _remaining(workdir) == ["notes.txt"]
     core = read_hive_parquet(spark, cfg.core_path)
     assert core.count() == 2
-    row = core.where("interaccion_id = '9f8e7d6c5b4a39281706f5e4d3c2b1a0'").first()
-    assert row.consumidor_id == "52001234"
-    assert json.loads(row.mensajes)[0]["role"] == "assistant"
+    row = {r.interaccion_id: r for r in core.collect()}[records[0]["trace_id"]]
+    assert (row.consumidor_id, row.consumidor_nombre, row.consumidor_apellido) == (records[0]["client_dni"], "INIGO1", "ANGSTROM")
+    assert json.loads(row.mensajes) == records[0]["messages"]
     assert row.base_nombre == "record_a.json"
     assert (row.cliente_prefijo, row.operacion_prefijo, row.year, row.month, row.day) == ("CLX", "SAC", "2026", "08", "21")
     atts = read_hive_parquet(spark, cfg.atts_path)

@@ -1,8 +1,8 @@
 from pactline.contract import shipped_endpoints
 from pactline.operators.requests import build_requests, conversation_ids
-from tests.helpers import mapped
+from tests.helpers import landed_record, mapped
 
-IDS = ["0b6f1c2e-5d3a-4c8e-9f10-2a3b4c5d6e7f", "7c2d9e41-0a1b-4c3d-8e5f-6a7b8c9d0e1f"]
+IDS = [landed_record(n)["cloud_conversation_id"] for n in (1, 2)]
 
 
 def test_url_template_is_filled(spark):

@@ -20,14 +20,14 @@ def _forms(n=2000, seed=3):
         date = rng.choice([f"{y:04d}-{mo:02d}-{d:02d}", f"{y:04d}{mo:02d}{d:02d}"])
         time = rng.choice([f"{h:02d}:{mi:02d}:{s:02d}{frac}", f"{h:02d}:{mi:02d}", f"{h:02d}{mi:02d}{s:02d}", f"{h:02d}"])
         out.append(rng.choice([f"{date}{sep}{time}{off}", date, f"{date}{sep}{time}"]))
-    return out + ["2026-02-30T10:00:00", "2026-08-16T24:00:00", "nonsense", "2026-08-16T15:53:07+25:00",
-                  "2026-08-16T15:53:60", "2026-08-16T15:53:07-03:30:15", "2026-08-16T15:53:07+18:00"]
+    return out + ["2026-02-30T10:00:00", "2026-08-16T24:00:00", "nonsense", "2026-08-16T04:05:06+25:00",
+                  "2026-08-16T15:53:60", "2026-08-16T04:05:06-03:30:15", "2026-08-16T04:05:06+18:00"]
 
 
 # Offsets fromisoformat reads but Java's ZoneOffset does not (beyond +-18:00,
 # minute or second overflow, fractional seconds): rejected here.
-EXOTIC_OFFSETS = ["2026-08-16T15:53:07+23:59", "2026-08-16T15:53:07+05:75", "2026-08-16T15:53:07-05:30:75",
-                  "2026-08-16T15:53:07-03:30:15.5"]
+EXOTIC_OFFSETS = ["2026-08-16T04:05:06+23:59", "2026-08-16T04:05:06+05:75", "2026-08-16T04:05:06-05:30:75",
+                  "2026-08-16T04:05:06-03:30:15.5"]
 
 
 def _python(text):
